@@ -20,6 +20,7 @@ def build_session(master: str | None = None, app: str = "loadkit", **conf) -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         cores = master[master.find("[") + 1 : -1] if "[" in master else "8"
