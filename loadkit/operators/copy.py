@@ -26,8 +26,6 @@ from .versioned import Table, new_load_id
 DEFAULT_POLICY = "ABORT_STATEMENT"
 POLICY_BY_ENVIRONMENT = {"dev": "ABORT_STATEMENT", "staging": "SKIP_FILE_10", "prod": "CONTINUE"}
 
-_INTERNAL = ("_file", "_block", "_mid", "_row", "_error", "_error_column", "_error_value", "_record")
-
 
 class LoadAborted(RuntimeError):
     """ABORT_STATEMENT met an error; nothing was written."""
@@ -100,51 +98,76 @@ def _cast(raw: Column, to: T.DataType, fmt: FileFormat) -> Column:
     return raw.try_cast(to)
 
 
-def _scan(spark: SparkSession, paths, root: str, fmt: FileFormat, cols: Columns) -> tuple[DataFrame, dict[str, Column]]:
-    """Raw frame with bookkeeping columns, and a raw field expression per target column."""
+def _place(root: str) -> list[Column]:
+    return [file_name(root).alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.col("_metadata.file_size").alias("_size")]
+
+
+def _text_schema(names) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_corrupt"]])
+
+
+def scan(load, root: str, fmt: FileFormat, cols: Columns) -> DataFrame:
+    """Raw rows with `_file`, `_block`, `_size` and, for text formats, `_corrupt`.
+
+    `load(kind, options, schema)` reads the files, once (spark.read) or as a stream.
+    """
     names = [f.name for f in cols.schema]
-    place = [
-        file_name(root).alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mid"),
-    ]
-    if fmt.kind == "csv":
-        schema = T.StructType([T.StructField(f"c{i + 1}", T.StringType()) for i in range(len(names))] + [T.StructField("_corrupt", T.StringType())])
-        df = reader(spark, fmt, columnNameOfCorruptRecord="_corrupt", mode="PERMISSIVE").schema(schema).load(paths)
-        return df.select("*", *place), {n: F.col(f"c{i + 1}") for i, n in enumerate(names)}
-    if fmt.kind == "json" and cols.raw_column and not (fmt.multi_line or fmt.strip_outer_array):
-        # the whole record is wanted, so read lines and parse the fields beside them
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_corrupt", T.StringType())])
-        text = spark.read.option("recursiveFileLookup", "true").text(paths).where("trim(value) <> ''")
-        fields = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
-        df = text.select(fields.alias("_f"), F.col("value").alias("_line"), *place).withColumn("_corrupt", F.col("_f._corrupt"))
-        return df, {n: F.col(f"_f.`{n}`") for n in names}
-    if fmt.kind == "json" and cols.match == "CASE_INSENSITIVE" and not (fmt.multi_line or fmt.strip_outer_array):
-        text = spark.read.option("recursiveFileLookup", "true").text(paths).where("trim(value) <> ''")
-        fields = F.map_entries(F.from_json("value", "map<string,string>"))
-        df = text.select(fields.alias("_entries"), F.col("value").alias("_line"), *place)
-        df = df.withColumn("_corrupt", F.when(F.col("_entries").isNull() | ~F.trim("_line").startswith("{"), F.col("_line")))
+    whole_lines = fmt.kind == "json" and not (fmt.multi_line or fmt.strip_outer_array) and (cols.raw_column or cols.match == "CASE_INSENSITIVE")
+    if whole_lines:
+        lines = load("text", {"recursiveFileLookup": "true"}, T.StructType([T.StructField("value", T.StringType())])).where("trim(value) <> ''")
+        return lines.select(F.col("value").alias("_line"), *_place(root))
+    if fmt.text:
+        text = [f"c{i + 1}" for i in range(len(names))] if fmt.kind == "csv" else names
+        options = fmt.options() | {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
+        return load(fmt.kind, options, _text_schema(text)).select("*", *_place(root))
+    return load(fmt.kind, fmt.options() | {"ignoreCorruptFiles": "true"}, None).select("*", *_place(root))
 
-        def find(n):
-            return F.filter("_entries", lambda e: F.lower(e["key"]) == n.lower())[0]["value"]
 
-        return df, {n: find(n) for n in names}
+def _entry(name: str) -> Column:
+    """Value of the first key that equals `name` in any case."""
+    return F.filter("_entries", lambda e: F.lower(e["key"]) == name.lower())[0]["value"]
+
+
+def _fields(df: DataFrame, fmt: FileFormat, cols: Columns) -> tuple[DataFrame, dict[str, Column]]:
+    """A raw field expression per target column, with `_corrupt` present in the frame."""
+    names = [f.name for f in cols.schema]
+    if fmt.kind == "csv":
+        return df, {n: F.col(f"c{i + 1}") for i, n in enumerate(names)}
+    if "_line" in df.columns and cols.match == "CASE_INSENSITIVE":
+        df = df.withColumn("_entries", F.map_entries(F.from_json("_line", "map<string,string>")))
+        df = df.withColumn("_corrupt", F.when(F.col("_entries").isNull() | ~F.trim("_line").startswith("{"), F.col("_line")))
+        return df, {n: _entry(n) for n in names}
+    if "_line" in df.columns:
+        parsed = F.from_json("_line", _text_schema(names), {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
+        df = df.withColumn("_f", parsed).withColumn("_corrupt", F.col("_f._corrupt"))
+        return df, {n: F.col(f"_f.`{n}`") for n in names}
     if fmt.kind == "json":
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_corrupt", T.StringType())])
-        df = reader(spark, fmt, columnNameOfCorruptRecord="_corrupt", mode="PERMISSIVE").schema(schema).load(paths)
-        return df.select("*", *place), {n: F.col(f"`{n}`") for n in names}
-    df = reader(spark, fmt, ignoreCorruptFiles="true").load(paths) if not isinstance(paths, DataFrame) else paths
-    have = {n.lower(): n for n in df.columns} if cols.match == "CASE_INSENSITIVE" else {n: n for n in df.columns}
+        return df, {n: F.col(f"`{n}`") for n in names}
+    have = [c for c in df.columns if c not in ("_file", "_block", "_size", "_mid")]
+    missing = F.lit(None).cast("string")
     if cols.match == "NONE":
-        raw = {n: F.col(f"`{df.columns[i]}`") if i < len(df.columns) else F.lit(None).cast("string") for i, n in enumerate(names)}
+        raw = {n: F.col(f"`{have[i]}`") if i < len(have) else missing for i, n in enumerate(names)}
     else:
-        key = (lambda n: n.lower()) if cols.match == "CASE_INSENSITIVE" else (lambda n: n)
-        raw = {n: F.col(f"`{have[key(n)]}`") if key(n) in have else F.lit(None).cast("string") for n in names}
-    return df.select("*", *place, F.lit(None).cast("string").alias("_corrupt")), raw
+        fold = str.lower if cols.match == "CASE_INSENSITIVE" else str
+        known = {fold(c): c for c in have}
+        raw = {n: F.col(f"`{known[fold(n)]}`") if fold(n) in known else missing for n in names}
+    return df.withColumn("_corrupt", F.lit(None).cast("string")), raw
 
 
 def parse(spark: SparkSession, paths, root: str, fmt: FileFormat, cols: Columns) -> DataFrame:
+    """Parsed rows of the given files, see parse_rows."""
+    def load(kind, options, schema):
+        if kind == "avro":
+            reader(spark, fmt)
+        r = spark.read.format(kind).options(**options)
+        return (r.schema(schema) if schema is not None else r).load(paths)
+
+    return parse_rows(scan(load, root, fmt, cols), fmt, cols)
+
+
+def parse_rows(df: DataFrame, fmt: FileFormat, cols: Columns) -> DataFrame:
     """Typed target columns plus `_file`, `_block`, `_mid`, and for bad rows `_error`, `_error_column`, `_error_value`, `_record`."""
-    df, raw = _scan(spark, paths, root, fmt, cols)
+    df, raw = _fields(df.withColumn("_mid", F.monotonically_increasing_id()), fmt, cols)
     nulls = list(fmt.null_if) + ([""] if fmt.empty_as_null and fmt.kind == "csv" else [])
     lengths = cols.lengths or {}
     values, errors = [], []
@@ -307,20 +330,20 @@ def copy_into(
 def load_files(
     spark, table, stage, fmt, cols, as_of, chosen, *, on_error, select=None, where=None, distinct=False, target_columns=None,
     audit=False, purge=False, return_failed_only=False, table_name="table", pipe=None, partition_by=(), cluster_by=(), load_id=None, paths=(),
+    work=None,
 ) -> DataFrame:
-    """The load proper, for files already chosen."""
+    """The load proper, for files already chosen or rows already parsed and stored (`work`)."""
     load_id = load_id or new_load_id()
     policy = Policy.parse(on_error)
     broken = None
-    if not fmt.text:
+    if work is None and not fmt.text:
         broken = unreadable_files(spark, list(paths), stage, fmt, chosen)
         dead = {r["path"] for r in broken.select("path").collect()}
         paths = [p for p in paths if p not in dead]
         broken = broken if dead else None
         if dead and policy.kind == "ABORT_STATEMENT":
             raise LoadAborted(f"{table_name}: {len(dead)} files cannot be read, first {sorted(dead)[0]}")
-    work = None
-    if paths:
+    if work is None and paths:
         work = _drop_header_rows(staged(parse(spark, list(paths), stage, fmt, cols), "parsed"), fmt)
     if work is None:
         work = spark.createDataFrame([], _work_schema(cols))
