@@ -67,20 +67,24 @@ class Policy:
 
 @dataclass(frozen=True)
 class Columns:
-    """Target columns and their rules.
+    """Target columns, as a StructType or DDL text, and their rules.
 
     match: NONE (by position), CASE_SENSITIVE or CASE_INSENSITIVE names; lengths: maximum
     length of string columns, an error unless `truncate`; required: columns that must not
     be NULL; raw_column: keep the whole record under this name, as VARIANT where it parses.
     """
 
-    schema: T.StructType
+    schema: T.StructType | str
     match: str = "CASE_SENSITIVE"
     lengths: dict | None = None
     truncate: bool = False
     required: tuple[str, ...] = ()
     raw_column: str | None = None
 
+    def __post_init__(self):
+        if isinstance(self.schema, str):
+            object.__setattr__(self, "schema", T.StructType.fromDDL(self.schema))
+
 
 def _cast(raw: Column, to: T.DataType, fmt: FileFormat) -> Column:
     name = to.typeName()
@@ -298,7 +302,7 @@ def choose(
 
 
 def copy_into(
-    spark: SparkSession, table: Table, stage: str, fmt: FileFormat, columns: Columns | T.StructType, as_of, *,
+    spark: SparkSession, table: Table, stage: str, fmt: FileFormat, columns: Columns | T.StructType | str, as_of, *,
     on_error: str = DEFAULT_POLICY, files=None, pattern=None, prefix=None, size_limit=None, force=False, load_uncertain=False,
     tracking_days=ledger.BULK_TRACKING_DAYS, select: list[Column] | None = None, where: Column | None = None, distinct=False,
     target_columns: list[str] | None = None, audit=False, purge=False, return_failed_only=False, table_name: str | None = None,
@@ -406,7 +410,7 @@ def _project(work, good, cols, select, where, distinct, target_columns, audit, a
 # ---- validation without loading ----------------------------------------------------------
 
 
-def validate(spark, stage: str, fmt: FileFormat, columns: Columns | T.StructType, mode: str, *, files=None, pattern=None, prefix=None) -> DataFrame:
+def validate(spark, stage: str, fmt: FileFormat, columns: Columns | T.StructType | str, mode: str, *, files=None, pattern=None, prefix=None) -> DataFrame:
     """VALIDATION_MODE: RETURN_ALL_ERRORS, RETURN_ERRORS (first of each file) or RETURN_<n>_ROWS."""
     cols = columns if isinstance(columns, Columns) else Columns(columns)
     chosen = select_files(list_stage(spark, stage), files=files, pattern=pattern, prefix=prefix)

@@ -1,6 +1,6 @@
 """Bulk loads, validation and stage reads."""
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
 from ..functions.times import parse_timestamp
 from ..operators import copy as C, ledger
@@ -12,8 +12,7 @@ from . import derive as D, stages as G
 from .derive import AS_OF, with_sql
 from .registry import query
 
-EVENT_SCHEMA = T.StructType.fromDDL(
-    "event_id bigint, event_type string, event_timestamp timestamp_ntz, user_id bigint, value double, payload string")
+EVENT_SCHEMA = "event_id bigint, event_type string, event_timestamp timestamp_ntz, user_id bigint, value double, payload string"
 W = with_sql("raw_events") + G.STAGED_SQL
 
 
@@ -100,7 +99,7 @@ _reg("copy_raw_record", lambda s, d: _load(s, d, columns=C.Columns(EVENT_SCHEMA,
     "event_id", F.expr("variant_get(raw_data, '$.payload.k', 'int')").alias("k"), F.expr("raw_data:event_type::string").alias("kind")), """
 SELECT event_id, json_extract_string(props, '$.k')::INTEGER AS k, event_type AS kind FROM staged WHERE NOT b1 AND NOT b2 """)
 _reg("copy_case_insensitive", lambda s, d: _load(s, d, columns=C.Columns(
-    T.StructType.fromDDL("EVENT_ID bigint, Event_Type string, VALUE double"), match="CASE_INSENSITIVE"))[0].read(), """
+    "EVENT_ID bigint, Event_Type string, VALUE double", match="CASE_INSENSITIVE"))[0].read(), """
 SELECT event_id AS "EVENT_ID", event_type AS "Event_Type", value AS "VALUE" FROM staged WHERE NOT b1 AND NOT b2 """)
 _reg("copy_length_errors", lambda s, d: _load(s, d, columns=C.Columns(EVENT_SCHEMA, lengths={"event_type": 6}))[0].read().groupBy("event_type").count()
      .withColumnRenamed("count", "n"), """
@@ -139,7 +138,7 @@ _reg("error_summary", lambda s, d: C.error_summary(_validate(s, d, "RETURN_ALL_E
 query("validate_n_rows")(lambda s, d: C.validate(s, G.json_stage(s, d), FileFormat.json(), EVENT_SCHEMA, "RETURN_10_ROWS"))
 
 # ---- other formats -----------------------------------------------------------------------
-ORDER_SCHEMA = T.StructType.fromDDL("order_id bigint, customer_id bigint, status string, order_total double, order_date date")
+ORDER_SCHEMA = "order_id bigint, customer_id bigint, status string, order_total double, order_date date"
 
 
 def _csv(s, d, **kw):
@@ -162,7 +161,7 @@ SELECT o_orderkey, o_custkey::VARCHAR AS o_custkey, o_orderstatus, o_totalprice
 
 def _columnar(s, d, kind):
     t = _new_table(s)
-    schema = T.StructType.fromDDL("o_orderkey bigint, o_custkey string, o_orderstatus string, o_totalprice double")
+    schema = "o_orderkey bigint, o_custkey string, o_orderstatus string, o_totalprice double"
     C.copy_into(s, t, G.parquet_stage(s, d, "orders", kind), FileFormat(kind), schema, AS_OF)
     return t.read()
 

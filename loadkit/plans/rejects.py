@@ -1,6 +1,6 @@
 """Reject lifecycle and recovery."""
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
 from ..functions.times import parse_timestamp
 from ..operators import copy as C, ledger, merge as M, rejects as R
@@ -52,10 +52,15 @@ _reg("rejects_by_column", lambda s, d: R.rejects_by_column(rejected(s, d)), """
 SELECT error_column, error_message, count(*)::BIGINT AS row_count FROM rej GROUP BY 1, 2 """)
 _reg("rejects_hourly", lambda s, d: R.rejects_hourly(rejected(s, d), AS_OF, days=30), f"""
 SELECT date_trunc('hour', rejection_time)::TIMESTAMP AS hour, count(*)::BIGINT AS rejected_count FROM rej WHERE rejection_time > {S} - INTERVAL 30 DAY GROUP BY 1 """)
-_FIXED = {"event_id": F.get_json_object("rejected_data", "$.event_id").cast("bigint"), "event_type": F.get_json_object("rejected_data", "$.event_type")}
-_reg("retry_rejects_rows", lambda s, d: R.retry_rejects(rejected(s, d), R.fixed_timestamp(), AS_OF, _FIXED | {"event_timestamp": R.fixed_timestamp()})[0], """
+
+
+def _fixed():
+    return {"event_id": F.get_json_object("rejected_data", "$.event_id").cast("bigint"), "event_type": F.get_json_object("rejected_data", "$.event_type")}
+
+
+_reg("retry_rejects_rows", lambda s, d: R.retry_rejects(rejected(s, d), R.fixed_timestamp(), AS_OF, _fixed() | {"event_timestamp": R.fixed_timestamp()})[0], """
 SELECT event_id, event_type, date_trunc('day', event_timestamp)::TIMESTAMP AS event_timestamp FROM raw_events WHERE event_type = 'error' AND user_id % 3 = 0 AND user_id % 5 <> 0 """)
-_reg("retry_rejects_status", lambda s, d: R.retry_rejects(rejected(s, d), R.fixed_timestamp(), AS_OF, _FIXED)[1].groupBy("retry_status", "resolved_at").agg(
+_reg("retry_rejects_status", lambda s, d: R.retry_rejects(rejected(s, d), R.fixed_timestamp(), AS_OF, _fixed())[1].groupBy("retry_status", "resolved_at").agg(
     F.count(F.lit(1)).alias("n")), f"""
 , z AS (SELECT CASE WHEN user_id % 5 = 0 THEN 'RESOLVED' WHEN event_type = 'error' AND user_id % 3 = 0 THEN 'RESOLVED' ELSE 'PENDING' END AS retry_status,
   CASE WHEN user_id % 5 <> 0 AND event_type = 'error' AND user_id % 3 = 0 THEN {S} END AS resolved_at FROM raw_events WHERE event_type IN ('error', 'signup'))
