@@ -14,8 +14,19 @@ def row_hash(columns) -> Column:
 
 
 def _word(md5: Column, start: int) -> Column:
-    # 15 hex digits = 60 bits, safe in BIGINT; DECIMAL(28) leaves room for 1e10 x 1e10 rows
-    return F.conv(F.substring(md5, start, 15), 16, 10).cast("decimal(28,0)")
+    # 15 hex digits = 60 bits, safe in BIGINT
+    return F.conv(F.substring(md5, start, 15), 16, 10).cast("bigint")
+
+
+def _wide_sum(word: Column) -> Column:
+    """Sum of 60-bit words without overflow: three 20-bit limbs summed as BIGINT (good for
+    8e12 rows) and put together as DECIMAL once per group, not once per row.
+    """
+    mask, limb = (1 << 20) - 1, "decimal(38,0)"
+    high = F.sum(F.shiftright(word, 40)).cast(limb) * F.lit(1 << 40).cast("decimal(13,0)")
+    middle = F.sum(F.shiftright(word, 20).bitwiseAND(F.lit(mask))).cast(limb) * F.lit(1 << 20).cast("decimal(7,0)")
+    low = F.sum(word.bitwiseAND(F.lit(mask))).cast(limb)
+    return F.coalesce((high + middle + low).cast(limb), F.lit(0).cast(limb))
 
 
 def checksum(md5: Column) -> Column:
@@ -24,14 +35,8 @@ def checksum(md5: Column) -> Column:
     Count and two 60-bit sums, hashed once more. Duplicated, lost or edited rows change it,
     and partial sums combine on the map side.
     """
-    return F.md5(
-        F.concat_ws(
-            ":",
-            F.count(md5).cast("string"),
-            F.coalesce(F.sum(_word(md5, 1)), F.lit(0)).cast("string"),
-            F.coalesce(F.sum(_word(md5, 17)), F.lit(0)).cast("string"),
-        )
-    )
+    return F.md5(F.concat_ws(
+        ":", F.count(md5).cast("string"), _wide_sum(_word(md5, 1)).cast("string"), _wide_sum(_word(md5, 17)).cast("string")))
 
 
 def hash_sum(*columns) -> Column:

@@ -18,9 +18,9 @@ from ..functions.times import ntz
 from ..session import staged
 from ..sources import fs
 from ..sources.formats import FileFormat, reader
-from ..sources.stage import file_name, list_stage, select_files, untracked, with_row_number
+from ..sources.stage import file_name, list_stage, number_in_file, rows_by_file, select_files, untracked, with_row_number
 from . import ledger
-from .versioned import Table, new_load_id
+from .versioned import Table, cluster, new_load_id
 
 # Default policy and the policy by environment.
 DEFAULT_POLICY = "ABORT_STATEMENT"
@@ -245,7 +245,9 @@ def unreadable_files(spark: SparkSession, paths: list[str], root: str, fmt: File
     A scan of no columns touches footers only; with corrupt files ignored, a broken file is
     one that yields nothing and does not end with the format's mark.
     """
-    seen = reader(spark, fmt, ignoreCorruptFiles="true").schema("_none int").load(paths).select(file_name(root).alias("name")).distinct()
+    seen = rows_by_file(reader(spark, fmt, ignoreCorruptFiles="true").schema("_none int").load(paths), root)
+    # using the count keeps the aggregate below the join, so names are made per file and not per row
+    seen = seen.where("row_count > 0").select("name")
     silent = listing.join(seen, "name", "left_anti")
     suspects = [r["path"] for r in silent.select("path").collect()]
     if not suspects:
@@ -262,12 +264,21 @@ def _file_report(
     """One history row per chosen file."""
     bad = F.col("_error").isNotNull()
     kept = ~bad & (F.coalesce(where, F.lit(False)) if where is not None else F.lit(True))
-    first = F.min_by(F.struct("_error", "_error_column", "_error_value", "_record", "_block", "_mid"), F.when(bad, F.struct("_block", "_mid")))
-    counts = work.groupBy("_file").agg(
-        F.count(F.lit(1)).alias("row_parsed"), F.count_if(bad).alias("errors_seen"), F.count_if(kept).alias("_kept"), first.alias("_first"))
-    flat = counts.select("_file", "row_parsed", "errors_seen", "_kept", "_first.*")
-    numbered = with_row_number(work, "_file", "_line", flat.where(bad)).select("_file", "_line")
-    rows = chosen.withColumnRenamed("name", "_file").join(flat, "_file", "left").join(numbered, "_file", "left")
+    # one small row per split carries the counts and the offset that numbers its rows
+    splits = work.groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("_count"), F.min("_mid").alias("_first"), F.count_if(bad).alias("_bad"), F.count_if(kept).alias("_kept"))
+    place = F.struct("_block", "_mid")
+    first = work.where(bad).groupBy("_file").agg(
+        F.min_by(F.struct("_error", "_error_column", "_error_value", "_record", "_block", "_mid"), place).alias("_e")).select("_file", "_e.*")
+    numbered = number_in_file(first, splits, "_file", "_line").drop("_block", "_mid")
+    return _report_rows(splits, numbered, chosen, policy, as_of, table_name, root, pipe, broken)
+
+
+def _report_rows(splits, first, chosen, policy: Policy, as_of, table_name, root, pipe, broken) -> DataFrame:
+    """History rows from per-split counts and the first error of each file."""
+    counts = splits.groupBy("_file").agg(
+        F.sum("_count").alias("row_parsed"), F.sum("_bad").alias("errors_seen"), F.sum("_kept").alias("_kept"))
+    rows = chosen.withColumnRenamed("name", "_file").join(counts, "_file", "left").join(first, "_file", "left")
     dead = F.lit(False)
     if broken is not None:
         rows = rows.join(broken.select(F.col("name").alias("_file"), F.lit(True).alias("_dead")), "_file", "left")
@@ -347,6 +358,11 @@ def load_files(
         broken = broken if dead else None
         if dead and policy.kind == "ABORT_STATEMENT":
             raise LoadAborted(f"{table_name}: {len(dead)} files cannot be read, first {sorted(dead)[0]}")
+    if work is None and paths and trusted(spark, list(paths), fmt, cols, select, where, audit):
+        return _load_trusted(
+            spark, table, stage, fmt, cols, as_of, chosen, list(paths), policy, broken, distinct=distinct, target_columns=target_columns,
+            return_failed_only=return_failed_only, purge=purge, table_name=table_name, pipe=pipe, partition_by=partition_by,
+            cluster_by=cluster_by, load_id=load_id)
     if work is None and paths:
         work = _drop_header_rows(staged(parse(spark, list(paths), stage, fmt, cols), "parsed"), fmt)
     if work is None:
@@ -363,18 +379,57 @@ def load_files(
         skipped = report.where("status = 'LOAD_FAILED'").select(F.col("file_name").alias("_file"))
         good = good.join(skipped, "_file", "left_anti")
     rows = _project(work, good, cols, select, where, distinct, target_columns, audit, as_of)
-    if cluster_by:
-        from .versioned import cluster
+    _publish(table, rows, load_id, as_of, partition_by, cluster_by)
+    if purge:
+        _purge(spark, report, chosen)
+    return ledger.load_report(report, return_failed_only)
+
 
+def _publish(table: Table, rows: DataFrame, load_id: str, as_of, partition_by, cluster_by) -> None:
+    if cluster_by:
         rows = cluster(rows, cluster_by)
     table.write_data(rows, load_id, partition_by)
     table.publish_append(load_id, rows.schema, as_of, "copy", partition_by)
+
+
+def _purge(spark: SparkSession, report: DataFrame, chosen: DataFrame) -> None:
+    """Delete the fully loaded files of this load; failed and partial ones stay."""
+    done = report.where("status = 'LOADED'").select(F.col("file_name").alias("name"))
+    for r in chosen.join(done, "name", "left_semi").select("path").toLocalIterator():
+        fs.delete(spark, r["path"])
+
+
+def trusted(spark, paths: list[str], fmt: FileFormat, cols: Columns, select, where, audit) -> bool:
+    """No row can be in error: a columnar file set whose columns have the target's types, taken as they are."""
+    if fmt.text or select or where is not None or audit or cols.lengths or cols.required or cols.raw_column or cols.match == "NONE":
+        return False
+    fold = str.lower if cols.match == "CASE_INSENSITIVE" else str
+    found = {fold(f.name): f.dataType for f in reader(spark, fmt).load(paths).schema}
+    return all(found.get(fold(f.name)) == f.dataType for f in cols.schema)
+
+
+def _load_trusted(
+    spark, table, stage, fmt, cols, as_of, chosen, paths, policy, broken, *, distinct, target_columns, return_failed_only, purge, table_name,
+    pipe, partition_by, cluster_by, load_id,
+) -> DataFrame:
+    """Columnar load without a working copy: counts come from footers, rows are written straight from the source."""
+    source = reader(spark, fmt).load(paths)
+    fold = str.lower if cols.match == "CASE_INSENSITIVE" else str
+    known = {fold(c): c for c in source.columns}
+    rows = source.select(*[F.col(f"`{known[fold(f.name)]}`").alias(f.name) for f in cols.schema])
+    none = F.lit(None).cast("string")
+    counts = rows_by_file(source, stage, "_file", "_count")
+    splits = counts.select(
+        "_file", F.lit(0).cast("bigint").alias("_block"), "_count", F.lit(0).cast("bigint").alias("_first"), F.lit(0).cast("bigint").alias("_bad"),
+        F.col("_count").alias("_kept"))
+    no_errors = counts.where("false").select(
+        "_file", none.alias("_error"), none.alias("_error_column"), none.alias("_error_value"), none.alias("_record"), F.lit(0).cast("bigint").alias("_line"))
+    report = ledger.record(table, _report_rows(splits, no_errors, chosen, policy, as_of, table_name, stage, pipe, broken), load_id)
+    if target_columns:
+        rows = rows.toDF(*target_columns)
+    _publish(table, rows.dropDuplicates() if distinct else rows, load_id, as_of, partition_by, cluster_by)
     if purge:
-        # files named in this load's own list; failed files stay
-        done = {r["file_name"] for r in report.where("status = 'LOADED'").select("file_name").collect()}
-        for r in chosen.collect():
-            if r["name"] in done:
-                fs.delete(spark, r["path"])
+        _purge(spark, report, chosen)
     return ledger.load_report(report, return_failed_only)
 
 

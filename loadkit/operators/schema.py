@@ -144,28 +144,35 @@ def _type_name(v):
 def json_keys(df: DataFrame, variant: str) -> DataFrame:
     """Top-level keys of all documents with value type and number of occurrences."""
     docs = df.select(F.col(variant).alias("v")).where("v is not null")
-    pairs = docs.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer())) if hasattr(docs, "lateralJoin") else docs
+    pairs = docs.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer()))
     return pairs.select(F.col("key").alias("column_name"), _type_name(F.col("value")).alias("data_type")).groupBy(
         "column_name", "data_type").agg(rows("occurrence_count")).orderBy("column_name", "data_type")
 
 
+def _children(item):
+    """(path, value) of the members of an object or the elements of an array, as an array."""
+    path, v = item["path"], item["v"]
+    fields = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+    elements = F.try_variant_get(v, "$", "array<variant>")
+    named = F.transform(fields, lambda e: F.struct(
+        F.when(path == "", e["key"]).otherwise(F.concat_ws(".", path, e["key"])).alias("path"), e["value"].alias("v")))
+    listed = F.transform(elements, lambda e: F.struct(F.concat(path, F.lit("[]")).alias("path"), e.alias("v")))
+    return F.coalesce(named, listed, F.array().cast("array<struct<path:string,v:variant>>"))
+
+
 def json_paths(df: DataFrame, variant: str, depth: int = 5) -> DataFrame:
     """Every path down to `depth` with its value types and occurrences.
 
-    One explode per level, each level counted before levels are stacked; array elements
-    share the path `name[]`. No row is sampled away.
+    Each document is unrolled inside its row, level by level, and exploded once; array
+    elements share the path `name[]`. No document is sampled away.
     """
-    spark = df.sparkSession
-    level = df.select(F.lit("").alias("path"), F.col(variant).alias("v")).where("v is not null")
-    out = None
-    for _ in range(depth):
-        step = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-        name = F.when(F.col("key").isNull(), F.concat("path", F.lit("[]"))).when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key"))
-        level = step.select(name.alias("path"), F.col("value").alias("v"))
-        counted = level.groupBy("path", _type_name(F.col("v")).alias("t")).agg(rows("n"))
-        out = counted if out is None else out.unionByName(counted)
-        level = level.where(_type_name(F.col("v")).isin("object", "array"))
-    return out.groupBy(F.col("path").alias("json_path")).agg(
+    level = F.array(F.struct(F.lit("").alias("path"), F.col(variant).alias("v")))
+    out = df.where(F.col(variant).isNotNull()).select(level.alias("l0"))
+    for i in range(depth):
+        out = out.withColumn(f"l{i + 1}", F.flatten(F.transform(F.col(f"l{i}"), _children)))
+    nodes = out.select(F.explode(F.concat(*[F.col(f"l{i + 1}") for i in range(depth)])).alias("n"))
+    counted = nodes.groupBy(F.col("n.path").alias("path"), _type_name(F.col("n.v")).alias("t")).agg(rows("n"))
+    return counted.groupBy(F.col("path").alias("json_path")).agg(
         # at most six type names per path
         F.array_join(F.array_sort(F.collect_set("t")), ", ").alias("value_types"), F.sum("n").alias("occurrences"),
     ).orderBy("json_path")

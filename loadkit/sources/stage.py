@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.times import back, ntz
 from ..functions.windows import running_before
@@ -24,10 +24,22 @@ def relative_name(path: Column, root: str) -> Column:
     return F.substring(path, F.instr(path, root_key(root)) + F.length(key), F.length(path))
 
 
+def decoded(path: Column) -> Column:
+    """Plain text of a URI-encoded path. Most paths have nothing to decode, and that test is cheap per row."""
+    return F.when(F.instr(path, "%") > 0, F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+
+
 def file_name(root: str) -> Column:
     """relative_name of the row's file. The hidden path is URI-encoded, listing paths are not."""
-    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return relative_name(decoded, root)
+    return relative_name(decoded(F.col("_metadata.file_path")), root)
+
+
+def rows_by_file(df: DataFrame, root: str, file: str = "name", count: str = "row_count") -> DataFrame:
+    """Rows of each file of a direct read: counted by raw path (footers only for columnar files), named afterwards."""
+    counted = df.groupBy(F.col("_metadata.file_path").alias("_p")).agg(F.count(F.lit(1)).alias(count))
+    # never NULL by construction: a join on the name must not push a null test of it back to every row
+    name = F.coalesce(relative_name(decoded(F.col("_p")), root), F.lit(""))
+    return counted.select(name.alias(file), count)
 
 
 def list_stage(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
@@ -130,13 +142,18 @@ def with_row_number(df: DataFrame, file: str, out: str, rows: DataFrame | None =
     `df` is a stored frame with `_block` (split start) and `_mid` (scan order); offsets of
     splits come from all of it, even when only some rows are to be numbered.
     """
-    from pyspark.sql import Window
-
     splits = df.groupBy(file, "_block").agg(F.count(F.lit(1)).alias("_count"), F.min("_mid").alias("_first"))
+    return number_in_file(df if rows is None else rows, splits, file, out)
+
+
+def number_in_file(rows: DataFrame, splits: DataFrame, file: str, out: str) -> DataFrame:
+    """Number rows from their split's `_count` and `_first`. Joins on (file, split), so that
+    a huge file spreads over as many tasks as it has splits.
+    """
     # one row per split of a file
     ahead = Window.partitionBy(file).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(file, "_block", "_first", F.coalesce(F.sum("_count").over(ahead), F.lit(0)).alias("_offset"))
-    numbered = (df if rows is None else rows).join(offsets, [file, "_block"])
+    numbered = rows.join(offsets, [file, "_block"])
     return numbered.withColumn(out, F.col("_offset") + F.col("_mid") - F.col("_first") + 1).drop("_offset", "_first")
 
 
