@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.times import ntz
-from ..session import staged
+from ..session import release, staged
 from ..sources import fs
 from ..sources.formats import FileFormat, reader
 from ..sources.stage import file_name, list_stage, number_in_file, rows_by_file, select_files, untracked, with_row_number
@@ -363,28 +363,40 @@ def load_files(
             spark, table, stage, fmt, cols, as_of, chosen, list(paths), policy, broken, distinct=distinct, target_columns=target_columns,
             return_failed_only=return_failed_only, purge=purge, table_name=table_name, pipe=pipe, partition_by=partition_by,
             cluster_by=cluster_by, load_id=load_id)
+    copy = None
     if work is None and paths:
-        work = _drop_header_rows(staged(parse(spark, list(paths), stage, fmt, cols), "parsed"), fmt)
+        copy = staged(parse(spark, list(paths), stage, fmt, cols), "parsed")
+        work = _drop_header_rows(copy, fmt)
     if work is None:
         work = spark.createDataFrame([], _work_schema(cols))
-    report = ledger.record(table, _file_report(work, chosen, policy, where, as_of, table_name, stage, pipe, broken), load_id)
-    if policy.kind == "ABORT_STATEMENT":
-        first = report.where("errors_seen > 0").orderBy("file_name").head()
-        if first is not None:
-            raise LoadAborted(
-                f"{table_name}: {first['first_error_message']} in {first['file_name']} line {first['first_error_line_number']} "
-                f"column {first['first_error_column_name']}")
-    good = work.where(F.col("_error").isNull())
-    if policy.kind == "SKIP_FILE":
-        skipped = report.where("status = 'LOAD_FAILED'").select(F.col("file_name").alias("_file"))
-        good = good.join(skipped, "_file", "left_anti")
-    rows = _project(work, good, cols, select, where, distinct, target_columns, audit, as_of)
-    _publish(table, rows, load_id, as_of, partition_by, cluster_by)
+    try:
+        report = ledger.record(table, _file_report(work, chosen, policy, where, as_of, table_name, stage, pipe, broken), load_id)
+        _abort_on_error(policy, report, table_name)
+        good = work.where(F.col("_error").isNull())
+        if policy.kind == "SKIP_FILE":
+            skipped = report.where("status = 'LOAD_FAILED'").select(F.col("file_name").alias("_file"))
+            good = good.join(skipped, "_file", "left_anti")
+        rows = _project(work, good, cols, select, where, distinct, target_columns, audit, as_of)
+        _publish(table, rows, load_id, as_of, partition_by, cluster_by)
+    finally:
+        # the report is read from the history, so the parsed copy has served
+        if copy is not None:
+            release(copy)
     if purge:
         _purge(spark, report, chosen)
     return ledger.load_report(report, return_failed_only)
 
 
+def _abort_on_error(policy: Policy, report: DataFrame, table_name: str) -> None:
+    if policy.kind != "ABORT_STATEMENT":
+        return
+    first = report.where("errors_seen > 0").orderBy("file_name").head()
+    if first is not None:
+        raise LoadAborted(
+            f"{table_name}: {first['first_error_message']} in {first['file_name']} line {first['first_error_line_number']} "
+            f"column {first['first_error_column_name']}")
+
+
 def _publish(table: Table, rows: DataFrame, load_id: str, as_of, partition_by, cluster_by) -> None:
     if cluster_by:
         rows = cluster(rows, cluster_by)

@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.numbers import rows
 from ..functions.times import as_datetime, ntz, older
 from ..functions.windows import latest_by
-from ..session import staged
-from .versioned import Table
+from .versioned import Table, new_load_id
 
 _KEEP, _UPDATE, _INSERT, _DELETE = "unchanged", "updated", "inserted", "deleted"
 
@@ -211,14 +210,22 @@ def clone_schema(df: DataFrame) -> DataFrame:
 def apply(table: Table, build, as_of, operation="merge") -> DataFrame:
     """Run build(current rows) -> merged rows and publish them as the next version.
 
-    The merged rows are written once with their action; the data files hold the survivors,
-    the counts by action are returned. The version fails to publish if another writer was
+    The surviving rows are written once, with their action as an extra column that readers
+    of the table never select. Counts by action come from that one column; deleted rows are
+    those missing from the arithmetic. The version fails to publish if another writer was
     first, so no change is lost.
     """
     base = table.current()
-    merged = staged(build(table.read(base["snapshot_id"])), "merged")
-    table.overwrite(result(merged), as_of, operation, base)
-    return stats(merged)
+    merged = build(table.read(base["snapshot_id"]))
+    load_id = new_load_id()
+    survivors = merged.where(F.col("_action") != _DELETE)
+    table.write_data(survivors, load_id, tuple(base["partition_by"]))
+    written = table.spark.read.schema("_action string").option("recursiveFileLookup", "true").parquet(f"{table.path}/data/load_id={load_id}")
+    n = {r["_action"]: r["n"] for r in written.groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n[_DELETE] = base["rows"] + n.get(_INSERT, 0) - sum(n.values())
+    schema = survivors.drop("_action").schema
+    table.commit([load_id], schema, as_of, operation, load_id, base)
+    return table.spark.createDataFrame([(a, n[a]) for a in (_INSERT, _UPDATE, _DELETE) if n.get(a)], "_action string, row_count bigint")
 
 
 def replace_rows(table: Table, build, as_of, operation: str) -> int:

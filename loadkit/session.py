@@ -63,8 +63,19 @@ def staged(df, label: str = "staged"):
     """Write `df` to the working folder and read it back.
 
     Used where a frame feeds several jobs: the written copy survives lost executors and
-    pins non-deterministic columns, which a cache would not.
+    pins non-deterministic columns, which a cache would not. `release` drops the copy.
     """
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._work_path = path
+    return out
+
+
+def release(df) -> None:
+    """Delete the working copy behind a staged frame, once nothing will read it any more."""
+    from .sources import fs
+
+    path = getattr(df, "_work_path", None)
+    if path:
+        fs.delete(df.sparkSession, path)

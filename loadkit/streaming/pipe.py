@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.times import as_datetime, back, ntz
 from ..operators import copy as C, ledger
 from ..operators.versioned import Table
-from ..session import staged
+from ..session import release, staged
 from ..sources.formats import FileFormat
 from ..sources.stage import list_stage
 
@@ -61,12 +61,13 @@ class Pipe:
         sized = C.parse_rows(batch, self.fmt, self.columns)
         work = staged(sized.join(recent, "_file", "left_anti").select(*sized.columns), "pipe")
         if work.isEmpty():
-            return
+            return release(work)
         sizes = list_stage(self.spark, self.stage)
         chosen = sizes.join(work.select(F.col("_file").alias("name")).distinct(), "name", "left_semi").select("path", "name", "size", "last_modified")
         C.load_files(
             self.spark, self.table, self.stage, self.fmt, self.columns, at, chosen, on_error=self.on_error, select=self.select, where=self.where,
             audit=self.audit, table_name=self.table_name, pipe=self.name, load_id=load_id, work=work)
+        release(work)
 
     def _writer(self, prefix: str = "", checkpoint: str | None = None):
         where = checkpoint or self.checkpoint

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators import merge as M
 from ..operators.versioned import SNAPSHOT_SCHEMA, Table
-from ..session import staged
+from ..session import release, staged
 
 
 def _published(table: Table, load_id: str) -> bool:
@@ -51,6 +51,7 @@ def row_stream(
         # published last: a replay after a crash in between repeats only this step
         good = marked.where("not _bad").select(*[F.col(c).try_cast(casts[c]).alias(c) if c in casts else F.col(c) for c in batch.columns])
         _append_once(table, good, as_of, load_id)
+        release(marked)
 
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
@@ -110,6 +111,7 @@ def ingest_topics(messages: DataFrame, topic_tables: dict[str, Table], checkpoin
         stored = staged(batch.select("topic", "value"), "messages")
         for topic, table in topic_tables.items():
             _append_once(table, land(stored.where(F.col("topic") == topic), landing), as_of, f"{topic}-{run}-{batch_id:010d}")
+        release(stored)
 
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
@@ -172,6 +174,7 @@ def cdc_merge_stream(documents: DataFrame, table: Table, content: str, key: str,
         changes = staged(M.cdc_changes(batch, content, key, columns), "changes")
         if not changes.isEmpty():
             M.apply(table, lambda now: M.merge_cdc(now, changes, key), as_of, "cdc merge")
+        release(changes)
 
     writer = documents.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
@@ -183,10 +186,11 @@ def late_merge_stream(source: DataFrame, table: Table, key: str, event_time: str
     def apply(batch: DataFrame, _: int) -> None:
         rows = staged(batch, "late")
         if rows.isEmpty():
-            return
+            return release(rows)
         if table.current() is None:
             table.append(M.clone_schema(rows), as_of, "create")
         M.apply(table, lambda now: M.upsert(now, rows, key, event_time), as_of, "late merge")
+        release(rows)
 
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
