@@ -10,6 +10,7 @@ expressions; the only shuffles are the per-file counts, combined before they are
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -201,11 +202,14 @@ def parse_rows(df: DataFrame, fmt: FileFormat, cols: Columns) -> DataFrame:
                 errors.append(error(F.length(value) > lengths[f.name], f"String: longer than {lengths[f.name]}", f.name, field))
         values.append(value.alias(f.name))
     broken = error(corrupt, "Record: cannot be parsed", None, F.col("_corrupt"))
-    found = F.coalesce(broken, *errors) if fmt.text or errors else F.lit(None).cast("struct<m:string,c:string,v:string>")
     record = _record(df, fmt, raw)
     extra = []
     if cols.raw_column:
-        extra = [(_document(record, fmt) if fmt.kind == "json" else record).alias(cols.raw_column)]
+        document = _document(record, fmt) if fmt.kind == "json" else record
+        extra = [document.alias(cols.raw_column)]
+        if fmt.kind == "json":
+            errors.append(error(document.isNull(), "Document: not recognized", cols.raw_column, record))
+    found = F.coalesce(broken, *errors) if fmt.text or errors else F.lit(None).cast("struct<m:string,c:string,v:string>")
     out = df.select(*values, *extra, "_file", "_block", "_mid", found.alias("_e"), record.alias("_r"))
     return out.select(
         *[f"`{c}`" for c in out.columns if c not in ("_e", "_r")], F.col("_e.m").alias("_error"), F.col("_e.c").alias("_error_column"),
@@ -232,6 +236,18 @@ def _record(df: DataFrame, fmt: FileFormat, raw: dict[str, Column]) -> Column:
     return F.coalesce("_corrupt", whole) if fmt.text else whole
 
 
+@contextmanager
+def _duplicate_keys(spark: SparkSession, fmt: FileFormat):
+    """ALLOW_DUPLICATE for documents parsed inside: the last of repeated keys is kept, else the record is bad."""
+    key = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(fmt.allow_duplicate).lower())
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _drop_header_rows(df: DataFrame, fmt: FileFormat) -> DataFrame:
     """SKIP_HEADER above one: the reader drops the first line, the rest go by row number."""
     if fmt.kind != "csv" or fmt.skip_header <= 1:
@@ -365,7 +381,8 @@ def load_files(
             cluster_by=cluster_by, load_id=load_id)
     copy = None
     if work is None and paths:
-        copy = staged(parse(spark, list(paths), stage, fmt, cols), "parsed")
+        with _duplicate_keys(spark, fmt):
+            copy = staged(parse(spark, list(paths), stage, fmt, cols), "parsed")
         work = _drop_header_rows(copy, fmt)
     if work is None:
         work = spark.createDataFrame([], _work_schema(cols))
@@ -486,7 +503,8 @@ def validate(spark, stage: str, fmt: FileFormat, columns: Columns | T.StructType
     some = re.fullmatch(r"RETURN_(\d+)_ROWS", mode.upper())
     if some:
         return parsed.where("_error is null").select(*[f.name for f in cols.schema]).limit(int(some[1]))
-    work = _drop_header_rows(staged(parsed, "validate"), fmt)
+    with _duplicate_keys(spark, fmt):
+        work = _drop_header_rows(staged(parsed, "validate"), fmt)
     errors = errors_of(work)
     if mode.upper() == "RETURN_ALL_ERRORS":
         return errors

@@ -198,6 +198,20 @@ _reg("wildcard_read", lambda s, d: ST.read_stage(
 SELECT event_id, event_type FROM staged WHERE d BETWEEN '2024-01-20' AND '2024-01-29' """)
 
 
+def _manifest(s, d):
+    """A manifest written for the staged files and read back."""
+    def make():
+        path = work_path(s, "manifest")
+        stage = G.json_stage(s, d)
+        ST.file_checksums(s, stage, stage).select(G.file_dir("file_name").alias("file_name"), "row_count", "checksum").coalesce(1).write.json(path)
+        return path
+
+    return ST.read_manifest(s, G.once(s, (d, "manifest"), make)).select("file_name", "expected_rows", (F.length("expected_checksum") == 32).alias("has_checksum"))
+
+
+_reg("read_manifest", _manifest, "SELECT file AS file_name, parsed AS expected_rows, true AS has_checksum FROM files")
+
+
 def _copied_twice(s, d):
     """The stage beside an identical copy of its files of one batch."""
     from ..session import work_path as wp

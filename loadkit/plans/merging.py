@@ -58,6 +58,25 @@ _reg("merge_audit", _incremental, _UPSERT + f"""
 SELECT 'customers' AS job_id, DATE '{AS_OF[:10]}' AS execution_date, 'raw.customers' AS table_name, i AS rows_inserted, u AS rows_updated, 0::BIGINT AS rows_deleted,
   TIMESTAMP '{AS_OF}' AS completed_at, 1::INTEGER AS run FROM c
 UNION ALL SELECT 'customers', DATE '{AS_OF[:10]}', 'raw.customers', 0, 0, 0, TIMESTAMP '{AS_OF}', 2 FROM c """, *_C)
+def _staged_merge(s, d):
+    """Changed customers staged as files, loaded into a staging table, deduplicated and merged."""
+    from ..sources.formats import FileFormat
+    from . import stages as G
+
+    def make():
+        path = work_path(s, "stage-customers")
+        D.customer_changes(s, d).write.parquet(path)
+        return path
+
+    t, staging = Table(s, work_path(s, "customers")), Table(s, work_path(s, "staging"))
+    t.append(D.raw_customers(s, d), AS_OF, "create")
+    schema = "customer_id string, customer_name string, email string, status string, updated_at timestamp_ntz"
+    audit = M.load_incremental(s, t, staging, G.once(s, (d, "customers"), make), FileFormat.parquet(), schema, "customer_id", "updated_at", AS_OF)
+    return audit.select("rows_staged", "rows_inserted", "rows_updated", "rows_deleted")
+
+
+_reg("load_incremental", _staged_merge, _UPSERT + """
+SELECT (SELECT count(*) FROM customer_changes)::BIGINT AS rows_staged, count(*) FILTER (a = 'inserted')::BIGINT AS rows_inserted, count(*) FILTER (a = 'updated')::BIGINT AS rows_updated, 0::BIGINT AS rows_deleted FROM m """, *_C)
 _reg("merge_insert_only", lambda s, d: M.insert_only(D.raw_customers(s, d), D.customer_changes(s, d), ["customer_id"], "updated_at"), """
 , s AS (SELECT * FROM customer_changes QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC) = 1)
 SELECT * FROM raw_customers UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM raw_customers t WHERE t.customer_id = s.customer_id) """, *_C)

@@ -237,3 +237,51 @@ def test_avro_says_what_is_missing(spark, folder):
     if not avro_available(spark):
         with pytest.raises(RuntimeError, match="spark-avro"):
             reader(spark, FileFormat.avro())
+
+
+def test_duplicate_keys_in_documents(spark, folder):
+    stage = folder("stage")
+    put(stage, "a.json", '{"id": 1, "value": 1, "k": 1, "k": 2}\n{"id": 2, "value": 1, "k": 3}\n')
+    cols = C.Columns(SCHEMA, raw_column="raw")
+    t, report = load(spark, folder, stage, columns=cols)
+    assert report["a.json"]["errors_seen"] == 1
+    t, _ = load(spark, folder, stage, columns=cols, fmt=FileFormat.json(allow_duplicate=True))
+    assert sorted(r["k"] for r in t.read().select(F.expr("raw:k::int").alias("k")).collect()) == [2, 3]
+
+
+def test_policy_by_environment_and_bad_policy():
+    assert [C.policy_for(e) for e in ("dev", "staging", "prod")] == ["ABORT_STATEMENT", "SKIP_FILE_10", "CONTINUE"]
+    with pytest.raises(ValueError):
+        C.Policy.parse("SKIP_EVERYTHING")
+
+
+def test_pipe_pauses_and_resumes(spark, folder):
+    from loadkit.streaming.pipe import Pipe, if_new_files
+
+    stage = folder("stage")
+    put(stage, "1.json", CLEAN)
+    t = Table(spark, folder("table"))
+    pipe = Pipe(spark, "p", stage, JSON, SCHEMA, t, folder("ckpt"), as_of=AS_OF)
+    assert pipe.state() == "PAUSED"
+    assert if_new_files(spark, stage, t, lambda: "go") == "go"
+    pipe.start(1).processAllAvailable()
+    assert pipe.state() == "RUNNING" and t.read().count() == 50
+    pipe.pause()
+    assert pipe.state() == "PAUSED" and if_new_files(spark, stage, t, lambda: "go") is None
+    put(stage, "2.json", CLEAN)
+    assert pipe.status().head()["pending_files"] == 1
+    pipe.resume(1).processAllAvailable()
+    pipe.pause()
+    assert t.read().count() == 100
+    assert pipe.insert_files(["1.json"]).isEmpty() and t.read().count() == 100
+
+
+def test_working_copies_are_dropped(spark, folder):
+    from loadkit.session import work_root
+    from loadkit.sources import fs
+
+    stage = folder("stage")
+    put(stage, "a.json", CLEAN)
+    before = {n for n in fs.children(spark, work_root(spark)) if n.startswith("parsed-")}
+    load(spark, folder, stage)
+    assert {n for n in fs.children(spark, work_root(spark)) if n.startswith("parsed-")} == before
