@@ -141,14 +141,6 @@ def _type_name(v):
     )
 
 
-def json_keys(df: DataFrame, variant: str) -> DataFrame:
-    """Top-level keys of all documents with value type and number of occurrences."""
-    docs = df.select(F.col(variant).alias("v")).where("v is not null")
-    pairs = docs.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer()))
-    return pairs.select(F.col("key").alias("column_name"), _type_name(F.col("value")).alias("data_type")).groupBy(
-        "column_name", "data_type").agg(rows("occurrence_count")).orderBy("column_name", "data_type")
-
-
 def _children(item):
     """(path, value) of the members of an object or the elements of an array, as an array."""
     path, v = item["path"], item["v"]
@@ -160,6 +152,14 @@ def _children(item):
     return F.coalesce(named, listed, F.array().cast("array<struct<path:string,v:variant>>"))
 
 
+def json_keys(df: DataFrame, variant: str) -> DataFrame:
+    """Top-level keys of all documents with value type and number of occurrences."""
+    root = F.struct(F.lit("").alias("path"), F.col(variant).alias("v"))
+    pairs = df.where(F.col(variant).isNotNull()).select(F.explode(_children(root)).alias("n"))
+    return pairs.groupBy(F.col("n.path").alias("column_name"), _type_name(F.col("n.v")).alias("data_type")).agg(
+        rows("occurrence_count")).orderBy("column_name", "data_type")
+
+
 def json_paths(df: DataFrame, variant: str, depth: int = 5) -> DataFrame:
     """Every path down to `depth` with its value types and occurrences.
 
