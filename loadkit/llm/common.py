@@ -23,8 +23,8 @@ def located(docs: DataFrame, name: str = "_locator") -> DataFrame:
     """`docs` with a column that names each row's place: file and row number in it.
 
     The place is the same whenever the files are read again, which a generated row number
-    is not. A frame that doesn't come straight from files is written to the working folder
-    first. A column of the caller's that has the locator's name is left out.
+    is not. `docs` is a table read from files, with columns chosen or rows filtered at most;
+    a frame without files is written to the working folder first. A column of the caller's that has the locator's name is left out.
     """
     docs = docs.drop(name)
     place = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")).alias(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import dedup, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -26,3 +26,17 @@ def query(name: str, oracle: str | None = None):
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query(
+    "op3_exact_dedup",
+    """
+    WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS s FROM documents)
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
+        doc_id = max(doc_id) OVER (PARTITION BY s) AS kept, sha256(s) AS text_sha256
+    FROM t
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
