@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from loadkit.session import work_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, simhash
+from . import dedup, packing, simhash, token_files
 from .common import table
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict = {}
 ORACLE: dict = {}
 
@@ -40,3 +44,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup.exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@query("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write(table(spark, sf_dir, "documents"), work_path(spark, "token-files"), VOCABULARY)
+    return token_files.read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
