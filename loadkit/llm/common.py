@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from loadkit.session import staged
 
-#: ASCII white space, the only characters that part words here.
-SPACE = r"[^\x20\x09-\x0D]+"
+#: A word: only ASCII white space parts words here.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

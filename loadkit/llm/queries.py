@@ -7,7 +7,7 @@ from loadkit.session import work_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, packing, simhash, token_files
+from . import dedup, mixing, packing, simhash, token_files, toxicity
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -56,3 +56,20 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
     return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op1_mixing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known, drawn = mixing.mix(table(spark, sf_dir, "documents"))
+    words = drawn.groupBy("locator").agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("blocks"))
+    found = known.join(words, "locator", "left")
+    zero = F.lit(0).cast("long")
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", zero).alias("taken"), F.coalesce("blocks", zero).alias("blocks"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), held_out)
+    found = toxicity.score(docs, model, ["doc_id"])
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "span_start", "span_end")
