@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from loadkit.session import staged
 
-from .common import raw_texts
+from .common import raw_texts, ship
 from .tokens import END, encoder, widened
 
 MAGIC = b"TOKIDX1\0"
@@ -151,6 +151,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, id_col: str = "doc_id",
     its payload is written as it is made. An empty table gives no shard.
     """
     spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
     dealt = rows.repartitionByRange(F.col("id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("id").asc_nulls_first(), "tie")
 
@@ -222,7 +223,7 @@ def read(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
         a, b, c, d = zip(*rows, strict=True)
         return pa.RecordBatch.from_pydict({id_col: pa.array(a, pa.int64()), "start": pa.array(b, pa.int64()), "n_tokens": pa.array(c, pa.int64()), "ids": pa.array(d, pa.binary())})
 
-    spread = manifest.select("shard", "path", "start").repartition(F.col("shard"))
+    spread = manifest.select("shard", "path", "start").repartitionByRange(max(1, manifest.count()), "shard")
     return spread.mapInArrow(run, f"`{id_col}` bigint, start bigint, n_tokens bigint, ids binary")
 
 

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import os
+import string
+import sys
 import unicodedata
+from array import array
 
 import numpy as np
 
 #: Words that a worker remembers; then it starts anew.
-CACHE = 800_000
+CACHE = 1_200_000
 END = 1
 _loaded: dict = {}
-_MARKS = b".,;:!?"
+_MARKS = string.punctuation.encode()
 _PROBE = ["Word".encode(), "\u00c9t\u00e9".encode(), "\u65e5\u672c".encode(), b"theonward", "stra\u00dfe".encode()]
 #: Byte-level vocabularies write a byte without a visible character of its own as the next one from U+0100.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -26,7 +29,8 @@ class Encoder:
     gives the ids of the whole text only for a tokenizer that drops white space before it looks
     for merges, as the word vocabularies do; `whole=True` encodes texts as they are. Words of
     letters, with or without marks after them, go to the library's merge model directly; the
-    few steps before it are no work for them. A probe at the start tells if that holds.
+    few steps before it are no work for them. A probe at the start tells if that holds, and
+    if case matters; if not, A-Z is lowered first (unless a special token may be meant).
     """
 
     def __init__(self, path: str, whole: bool = False):
@@ -36,14 +40,15 @@ class Encoder:
         self.tokenizer, self.whole = Tokenizer.from_file(path), whole
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache: dict[bytes, bytes] = {}
-        self.direct = True
-        self.direct = all(self._model(w) == self._library([w])[w] for w in _PROBE)
+        self.direct = sys.byteorder == "little"
+        self.cased = self._library([b"Aa"])[b"Aa"] != self._library([b"aa"])[b"aa"]
+        self.direct = self.direct and all(self._model(w) == self._library([w])[w] for w in _PROBE)
 
     def __call__(self, raws: list[bytes]) -> list[bytes]:
         if self.whole:
             found = self.tokenizer.encode_batch([r.decode() for r in raws], add_special_tokens=False)
             return [np.array(e.ids, self.dtype).tobytes() for e in found]
-        return [self._words(r.split()) for r in raws]
+        return [self._words((r if self.cased or b"<|" in r else r.lower()).split()) for r in raws]
 
     def _words(self, words: list[bytes]) -> bytes:
         ids = list(map(self.cache.get, words))
@@ -55,36 +60,37 @@ class Encoder:
         return b"".join(ids)
 
     def _learn(self, words: list[bytes]) -> None:
-        other, marked = [], []
-        for word in words:
-            core = word.rstrip(_MARKS)
-            if not self.direct or not core:
-                other.append(word)
-            elif len(core) < len(word):
-                marked.append((word, core, word[len(core) :]))
-            elif (ids := self._model(word)) is not None:
-                self.cache[word] = ids
-            else:
-                other.append(word)
-        for word, core, marks in marked:
-            ids, tail = self.cache.get(core) if core.isalpha() else self._model(core), self.cache.get(marks)
-            ids = self._model(core) if ids is None else ids
-            if tail is None:
-                tail = self.cache[marks] = self._library([marks])[marks]
-            if ids is None:
-                other.append(word)
-            else:
-                self.cache[word] = ids + tail
-        self.cache |= self._library(other)
+        cache, other, parts = self.cache, [], []
+        if self.direct:
+            for word in words:
+                core = word.rstrip(_MARKS)
+                if core != word and not (core[-1:].isalnum() or core.decode()[-1:].isalpha()):
+                    other.append(word)
+                    continue
+                ids = cache.get(core)
+                if ids is None and (ids := self._model(core) if core else None) is None:
+                    other.append(word)
+                    continue
+                cache[core] = ids
+                if len(core) < len(word):
+                    parts.append((word, ids, word[len(core) :]))
+        else:
+            other = words
+        cache |= self._library([*other, *{marks for _, _, marks in parts}.difference(cache)])
+        for word, ids, marks in parts:
+            cache[word] = ids + cache[marks]
 
     def _model(self, word: bytes) -> bytes | None:
         """Ids of a word of letters; None if it has anything else or isn't in its normal form."""
-        text = word.decode()
-        low = text.lower()
-        if not text.isalpha() or not low.isalpha() or not unicodedata.is_normalized("NFC", text) or "\u03a3" in text:
-            return None
-        found = self.tokenizer.model.tokenize(low.encode().decode("latin-1").translate(_VISIBLE))
-        return np.array([t.id for t in found], self.dtype).tobytes()
+        if word.isalpha():
+            shown = word.lower().decode()
+        else:
+            text = word.decode()
+            low = text.lower()
+            if not text.isalpha() or not low.isalpha() or not unicodedata.is_normalized("NFC", text) or "\u03a3" in text:
+                return None
+            shown = low.encode().decode("latin-1").translate(_VISIBLE)
+        return array(self.dtype.char, [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
     def _library(self, words: list[bytes]) -> dict[bytes, bytes]:
         if not words:
