@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -36,6 +39,20 @@ def located(docs: DataFrame, name: str = "_locator") -> DataFrame:
     return staged(docs.withColumnRenamed("_metadata", "_metadata_"), "located").select("*", place)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers, wherever they run, once."""
+    context = spark.sparkContext
+    if getattr(context, "_has_loadkit", False):
+        return
+    top = Path(__file__).parent.parent
+    where = Path(tempfile.mkdtemp(prefix="loadkit-code-")) / "loadkit_code.zip"
+    with zipfile.ZipFile(where, "w") as out:
+        for path in sorted(top.rglob("*.py")):
+            out.write(path, path.relative_to(top.parent))
+    context.addPyFile(str(where))
+    context._has_loadkit = True
+
+
 def by_batch(df: DataFrame, columns: list, schema: str, fn: Callable[[pa.RecordBatch], dict]) -> DataFrame:
     """fn over Arrow batches of `columns`; it returns a dict of arrays in the order of `schema`."""
 
@@ -44,6 +61,7 @@ def by_batch(df: DataFrame, columns: list, schema: str, fn: Callable[[pa.RecordB
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(fn(batch))
 
+    ship(df.sparkSession)
     return df.select(*columns).mapInArrow(run, schema)
 
 
@@ -59,3 +77,11 @@ def texts(column: pa.Array) -> list[str]:
 def same(a, b):
     """Equality that also holds between nulls."""
     return a.eqNullSafe(b)
+
+
+def spare(df: DataFrame, name: str = "_locator") -> str:
+    """A column name that `df` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loadkit.session import staged
 
-from .common import WORD, located
+from .common import WORD, located, ship
 
 #: Weights of the sources in their order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -120,6 +120,7 @@ def _sharded(drawn: DataFrame) -> DataFrame:
             shard = tree.find(np.array(found), batch.column("rank").to_numpy() + later)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shard)], [*batch.schema.names, "shard"])
 
+    ship(drawn.sparkSession)
     columns = ["locator", "id", "source", "size", "pass", "draw", "rank", "taken"]
     dealt = drawn.select(*columns).mapInArrow(run, "locator string, id bigint, source string, size bigint, pass int, draw bigint, rank bigint, taken bigint, shard bigint")
     position = F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("shard", "draw"), "id", "locator", "pass")) - 1

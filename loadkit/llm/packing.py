@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loadkit.session import staged
 
-from .common import raw_texts
+from .common import raw_texts, ship
 from .tokens import END, encoder, widened
 
 WINDOW = 2048
@@ -55,17 +55,19 @@ def fill(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WIN
 
     A window's seed is the document at its start. The seed's unused neighbours follow by
     falling score, each whole if it fits, else cut: its rest begins the next window and is that
-    window's seed. Without a neighbour that shares a term, the next unused document follows.
+    window's seed. A copy of the seed is no neighbour. Without one that shares a term, the next
+    unused document follows.
     What is left at the end is cut into lengths of falling powers of two, so nothing is padded.
     """
     index = Bm25(docs, idf, mean)
+    same = np.array([hash(d.tobytes()) for d in docs])
     unused = np.ones(len(docs), bool)
     pieces, sequence, used, seed, ranked, next_ = [], 0, 0, None, None, 0
     for _ in range(len(docs)):
         doc = None
         if seed is not None:
             if ranked is None:
-                scores = index.scores(seed) * unused
+                scores = index.scores(seed) * (unused & (same != same[seed]))
                 ranked = np.argsort(-scores, kind="stable")[: np.count_nonzero(scores)][::-1].tolist()
             while ranked and doc is None:
                 doc = ranked.pop()
@@ -109,6 +111,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "
     that repeat are packed each, null ids stay null. A shard holds about `shard_docs` documents.
     """
     spark = docs.sparkSession
+    ship(spark)
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loadkit.session import staged
 
-from .common import by_batch, raw_texts
+from .common import by_batch, located, raw_texts
 from .components import components
 
 SHINGLE = 3
@@ -148,3 +148,130 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text="text", keys: tuple =
     lows = rooted.groupBy("root").agg(F.min("low").alias("component"))
     named = rooted.join(lows, "root").select("fp", "component")
     return rows.join(named, "fp").select(F.col("_id").alias(id_col), *keys, "fp", "component")
+
+
+#: Near-duplicate stages: words of a shingle, least similarity, and bits that fingerprints of such texts differ at most, nearly always.
+WORDS, SIMILARITY, REACH = 5, 0.8, 18
+#: Smallest hashes in a text's sketch (a byte of each), and agreement below which a pair isn't looked at: three deviations.
+SKETCH, LEAST = 64, 0.65
+CELL = 2048
+_MULTIPLY = np.random.default_rng(SEED).integers(1, 2**63, SKETCH, dtype=np.uint64) | np.uint64(1)
+
+
+def shingles(raw: bytes, n: int = WORDS) -> set[bytes]:
+    """Distinct shingles; fewer words are one shingle, none are the empty one."""
+    words = raw.lower().split()
+    return {b" ".join(s) for s in zip(*(words[i:] for i in range(n)), strict=False)} or {b" ".join(words)}
+
+
+def sketch(found: set[bytes]) -> bytes:
+    """Of SKETCH orders of the shingles' hashes a byte of the first one: equal bytes estimate the similarity."""
+    values, least = np.array([xxhash.xxh64_intdigest(s, SEED) for s in found], np.uint64), np.full(SKETCH, 2**64 - 1, np.uint64)
+    for low in range(0, len(values), 4096):
+        mixed = values[low : low + 4096, None] * _MULTIPLY
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(29))).min(axis=0))
+    return ((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFrame:
+    """Every row of `docs`: locator, id, root. Rows of one root are linked by pairs of texts
+    whose sets of five-word shingles have a similarity (shared by all) of 0.8 or more.
+
+    Candidates come from SimHash fingerprints at most REACH bits apart, compared tile by tile:
+    a tile holds texts whose numbers of shingles lie within a factor of 1 / 0.8, and only equal
+    or adjoining tiles can hold similar texts. Of a pair of blocks' candidates a spanning forest
+    of the most similar pairs, as sketches estimate it, is taken, so that a dense group gives as
+    many pairs as members; each of its pairs is then checked on whole texts. Texts without words
+    are similar to each other. Equal rows are returned each, null ids as they are; an empty
+    table gives an empty result.
+    """
+    placed = located(docs).select(F.col("_locator").alias("locator"), F.col(id_col).cast("long").alias("id"), F.col(text).alias("_text"))
+
+    def fn(batch):
+        raws = raw_texts(batch.column("_text"))
+        fps = np.array([simhash(b) for b in raws], np.uint64).view(np.int64)
+        found = [shingles(b) for b in raws]
+        n = [len(s) if b.split(None, 1) else 0 for s, b in zip(found, raws, strict=True)]
+        return {"locator": batch.column("locator"), "id": batch.column("id"), "fp": pa.array(fps), "n": pa.array(n, pa.int64()), "sketch": pa.array([sketch(s) for s in found], pa.binary())}
+
+    made = by_batch(placed, ["locator", "id", "_text"], "locator string, id bigint, fp bigint, n bigint, sketch binary", fn)
+    rows = staged(made.withColumn("row", F.monotonically_increasing_id()), "simhash")
+    tile = F.when(F.col("n") == 0, -1).otherwise(F.floor(F.log("n") / -np.log(SIMILARITY) + 1e-9)).cast("long")
+    tiled = rows.select("row", "fp", "sketch", tile.alias("tile"))
+    counts = tiled.groupBy("tile").agg(F.count(F.lit(1)).alias("m"))
+    block = F.pmod(F.xxhash64("row"), F.ceil(F.col("m") / CELL)).alias("block")
+    dealt = tiled.join(counts, "tile").select("tile", block, F.struct("row", "fp", "sketch").alias("member"))
+    lists = dealt.groupBy("tile", "block").agg(F.collect_list("member").alias("m"))
+    blocks = staged(lists.select("tile", "block", F.col("m.row").alias("row"), F.col("m.fp").alias("fp"), F.col("m.sketch").alias("sketch")), "cells")
+    both = F.array(F.col("tile"), F.col("tile") + 1)
+    other = blocks.select(F.explode(both).alias("tile"), F.col("tile").alias("tile_a"), F.col("block").alias("block_a"), *[F.col(c).alias(f"{c}_a") for c in ("row", "fp", "sketch")])
+    cells = other.join(blocks, "tile").where("tile <> tile_a OR block_a <= block").repartition("tile", "block", "tile_a", "block_a")
+    names = ["row_a", "fp_a", "sketch_a", "row", "fp", "sketch"]
+
+    def forest(batch):
+        a, b = [], []
+        for parts in zip(*(batch.column(c) for c in names), strict=True):
+            ra, fa, rb, fb = (np.asarray(parts[k].values, np.int64) for k in (0, 1, 3, 4))
+            sa, sb = (np.frombuffer(b"".join(parts[k].as_py()), np.uint8).reshape(-1, SKETCH) for k in (2, 5))
+            u, v = closest_forest(ra, fa, sa, rb, fb, sb)
+            a.append(u)
+            b.append(v)
+        return {"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))}
+
+    pairs = staged(by_batch(cells, names, "a bigint, b bigint", forest), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    needed = ends.join(rows.select("row", "locator"), "row")
+    held = staged(placed.select("locator", "_text").join(needed, "locator").select("row", "_text"), "texts")
+    texts = pairs.join(held.toDF("a", "ta"), "a").join(held.toDF("b", "tb"), "b")
+
+    def verify(batch):
+        good = []
+        for x, y in zip(raw_texts(batch.column("ta")), raw_texts(batch.column("tb")), strict=True):
+            s, t = shingles(x), shingles(y)
+            shared = len(s & t)
+            good.append(shared >= SIMILARITY * (len(s) + len(t) - shared))
+        mask = pa.array(good)
+        return {"a": batch.column("a").filter(mask), "b": batch.column("b").filter(mask)}
+
+    roots = components(by_batch(texts, ["a", "b", "ta", "tb"], "a bigint, b bigint", verify)).toDF("row", "root")
+    return rows.join(roots, "row", "left").select("locator", "id", F.coalesce("root", "row").alias("root"))
+
+
+def closest_forest(ra, fa, sa, rb, fb, sb) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (one row of a, one of b) with fingerprints within REACH and sketches that
+    agree, a spanning forest: each part takes its closest pair to another part, round by round."""
+    rows, index = np.unique(np.concatenate([ra, rb]), return_inverse=True)
+    index = index.astype(np.int32)
+    ia, ib, ua, ub = index[: len(ra)], index[len(ra) :], fa.view(np.uint64), fb.view(np.uint64)
+    us, vs, ds = [], [], []
+    for at in range(0, len(ua), 64):
+        i, j = np.nonzero(np.bitwise_count(ua[at : at + 64, None] ^ ub[None, :]) <= REACH)
+        apart = SKETCH - (sa[i + at] == sb[j]).sum(axis=1)
+        near = (apart <= SKETCH * (1 - LEAST)) & (ia[i + at] != ib[j])
+        us.append(ia[i[near] + at])
+        vs.append(ib[j[near]])
+        ds.append(apart[near].astype(np.int16))
+    u, v, d = np.concatenate(us), np.concatenate(vs), np.concatenate(ds)
+    rank = np.empty(len(u), np.int64)
+    rank[np.argsort(d, kind="stable")] = np.arange(len(u))
+    label, chosen = np.arange(len(rows)), []
+    while len(u):
+        best = np.full(len(rows), np.iinfo(np.int64).max)
+        np.minimum.at(best, label[u], rank)
+        np.minimum.at(best, label[v], rank)
+        take = np.nonzero((rank == best[label[u]]) | (rank == best[label[v]]))[0]
+        chosen.append((rows[u[take]], rows[v[take]]))
+        x, y = label[u[take]], label[v[take]]
+        while True:
+            low = np.arange(len(rows))
+            np.minimum.at(low, x, y)
+            np.minimum.at(low, y, x)
+            while (low[low] != low).any():
+                low = low[low]
+            if (low == np.arange(len(rows))).all():
+                break
+            label, x, y = low[label], low[x], low[y]
+        keep = label[u] != label[v]
+        u, v, rank = u[keep], v[keep], rank[keep]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([c[0] for c in chosen] or [none]), np.concatenate([c[1] for c in chosen] or [none])

@@ -6,6 +6,7 @@ import itertools
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,13 +17,13 @@ from pyspark.sql import functions as F
 from .common import by_batch, texts
 
 #: Labelled documents that are learned from at most, of each label, by a hash of their id.
-SAMPLE = {1: 1200, 0: 2400}
+SAMPLE = {1: 1000, 0: 2000}
 LANDMARKS = 1000
 #: Letters of a subsequence, letters skipped within one at most, and the weight of each skipped.
 ORDER, SKIPS, DECAY = 4, 2, 0.6
 ROUNDS = 4
 #: Negatives of each kind, and the chance that some word seems telling by accident.
-NEGATIVES, CHANCE = 4000, 0.01
+NEGATIVES, CHANCE = 2500, 0.01
 RIDGE = 1e-2
 THRESHOLD = 0.7
 #: Words that a Python worker remembers; then it starts anew.
@@ -90,10 +91,12 @@ class Model:
     constant: float | None = None
 
     def values(self, words: list[str]) -> np.ndarray:
-        if not words:
-            return np.zeros(0)
-        which, feature, weight = subsequences(words)
-        return np.bincount(which, self.weights[feature] * weight, len(words)) + self.bias
+        out = np.full(len(words), self.bias)
+        for low in range(0, len(words), 4_000):
+            which, feature, weight = subsequences(words[low : low + 4_000])
+            found = np.bincount(which, self.weights[feature] * weight)
+            out[low : low + len(found)] += found
+        return out
 
     def probability(self, value) -> np.ndarray:
         if self.constant is not None:
@@ -133,15 +136,14 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
     whitened by the landmarks' own kernel (Nyström).
     """
     size = 1 << BITS
-    bags = apart([(sorted(set(words_of(t))), y) for t, y in rows])
-    share = np.mean([y for _, y in bags]) if bags else 0.0
+    number: dict[str, int] = {}
+    holds = [(np.array([number.setdefault(w, len(number)) for w in b], np.int64), y) for b, y in apart(rows)]
+    words = list(number)
+    share = np.mean([y for _, y in holds]) if holds else 0.0
     if share in (0.0, 1.0):
         return Model(np.zeros(size, np.float32), constant=float(share))
-    words = sorted({w for b, _ in bags for w in b})
-    number = {w: i for i, w in enumerate(words)}
-    holds = [(np.array([number[w] for w in b], np.int64), y) for b, y in bags]
     seen = {y: np.bincount(np.concatenate([h for h, k in holds if k == y] or [np.zeros(0, np.int64)]), minlength=len(words)) for y in (0, 1)}
-    n1, n0 = (sum(y == k for _, y in bags) for k in (1, 0))
+    n1, n0 = (sum(y == k for _, y in holds) for k in (1, 0))
     part = n1 / (n1 + n0)
     both = seen[1] + seen[0]
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -150,9 +152,6 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
     telling = (evidence > np.log(len(words) / CHANCE)) & (seen[1] > 10 * seen[0] * n1 / n0)
     if not telling.any():
         telling = (evidence > 0) & (evidence == evidence.max())
-    which, feature, weight = subsequences(words)
-    if not len(which):
-        return Model(np.zeros(size, np.float32), constant=float(share))
     clean = np.nonzero((seen[0] > 0) & ~telling)[0]
     chosen = np.union1d(np.nonzero(telling)[0][np.argsort(-evidence[telling], kind="stable")[: landmarks // 2]], clean[np.argsort(-seen[0][clean], kind="stable")[: landmarks // 4]])
     common = clean[np.argsort(-seen[0][clean], kind="stable")[:NEGATIVES]]
@@ -168,61 +167,57 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model:
         negative = np.union1d(np.union1d(hard, common), clean[:: max(1, len(clean) // NEGATIVES)])
         rows_ = np.concatenate([positive, negative])
         y = np.where(np.arange(len(rows_)) < len(positive), 1.0, -1.0)
-        used, table = _dense(which, feature, weight, chosen)
-        near = _kernel(which, feature, weight, rows_, used, table)
-        values, vectors = np.linalg.eigh(_kernel(which, feature, weight, chosen, used, table))
+        used, table = _dense([words[i] for i in chosen])
+        if not len(used):
+            return Model(np.zeros(size, np.float32), constant=float(share))
+        near = _kernel([words[i] for i in rows_], used, table)
+        values, vectors = np.linalg.eigh(_kernel([words[i] for i in chosen], used, table))
         whiten = vectors[:, values > 1e-6] / np.sqrt(values[values > 1e-6])
         each = np.where(y > 0, np.sqrt(len(negative) / max(1, len(positive))), 1.0)
         u, bias = svm(near @ whiten, y, each)
         model = Model(np.zeros(size, np.float32), float(bias))
         model.weights[used] = table @ (whiten @ u)
-        value = np.bincount(which, model.weights[feature] * weight, len(words)) + bias
+        value = model.values(words)
     worst = np.array([value[h].max() if len(h) else bias for h, _ in holds])
     model.slope, model.offset = _logistic(worst, np.array([y for _, y in holds], float))
     return model
 
 
-def apart(bags: list[tuple[list[str], int]], hashes: int = 16) -> list[tuple[list[str], int]]:
-    """Bags without those that share half of their smallest word hashes with an earlier one."""
+def apart(rows: list[tuple[str, int]], hashes: int = 16) -> Iterator[tuple[list[str], int]]:
+    """Words of each text, but for texts that share half of their smallest word hashes with an earlier one."""
     held: dict[tuple[int, int], list[int]] = {}
-    kept = []
-    for words, label in bags:
+    for i, (text, label) in enumerate(rows):
+        words = sorted(set(words_of(text)))
         base = np.array([zlib.crc32(w.encode()) for w in words] or [0], np.uint64)
         lows = [(k, int(((base * np.uint64(2 * k + 0x9E3779B1) + np.uint64(k * 0x85EBCA6B)) % np.uint64(4294967291)).min())) for k in range(hashes)]
         met = Counter(i for low in lows for i in held.get(low, ()))
-        if met and 2 * max(met.values()) >= hashes:
-            continue
-        for low in lows:
-            held.setdefault(low, []).append(len(kept))
-        kept.append((words, label))
-    return kept
-
-
-def _dense(which, feature, weight, chosen) -> tuple[np.ndarray, np.ndarray]:
-    """Features that the chosen words have, and their weight by feature and word."""
-    at = np.isin(which, chosen)
-    used, row = np.unique(feature[at], return_inverse=True)
-    table = np.zeros((len(used), len(chosen)), np.float32)
-    np.add.at(table, (row, np.searchsorted(chosen, which[at])), weight[at])
+        if not met or 2 * max(met.values()) < hashes:
+            for low in lows:
+                held.setdefault(low, []).append(i)
+            yield words, label
+
+
+def _dense(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features that the words have, and their weight by feature and word."""
+    which, feature, weight = subsequences(words)
+    used, row = np.unique(feature, return_inverse=True)
+    table = np.zeros((len(used), len(words)), np.float32)
+    np.add.at(table, (row, which), weight)
     return used, table
 
 
-def _kernel(which, feature, weight, rows, used, table) -> np.ndarray:
-    """Kernel of the words `rows` with the words of `table`."""
-    place = np.full(1 << BITS, -1)
+def _kernel(words: list[str], used: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Kernel of the words with those of `table`."""
+    place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
-    number = np.full(max(which.max(initial=-1), rows.max(initial=-1)) + 1, -1)
-    number[rows] = np.arange(len(rows))
-    at = np.nonzero((number[which] >= 0) & (place[feature] >= 0))[0]
-    at = at[np.argsort(number[which[at]], kind="stable")]
-    row, column, value = number[which[at]], place[feature[at]], weight[at].astype(np.float32)
-    out = np.zeros((len(rows), table.shape[1]), np.float32)
-    for low in range(0, len(rows), 256):
-        a, b = np.searchsorted(row, [low, low + 256])
-        part = np.zeros((min(256, len(rows) - low), len(used)), np.float32)
-        np.add.at(part, (row[a:b] - low, column[a:b]), value[a:b])
+    out = np.zeros((len(words), table.shape[1]))
+    for low in range(0, len(words), 256):
+        which, feature, weight = subsequences(words[low : low + 256])
+        at = place[feature] >= 0
+        part = np.zeros((min(256, len(words) - low), len(used)), np.float32)
+        np.add.at(part, (which[at], place[feature[at]]), weight[at])
         out[low : low + 256] = part @ table
-    return out.astype(np.float64)
+    return out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
