@@ -7,7 +7,7 @@ from loadkit.session import work_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, mixing, packing, simhash, token_files, toxicity
+from . import dedup, mixing, packing, secrets, simhash, token_files, toxicity
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -73,3 +73,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), held_out)
     found = toxicity.score(docs, model, ["doc_id"])
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "span_start", "span_end")
+
+
+@query("op5_secrets")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
