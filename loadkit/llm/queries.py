@@ -7,7 +7,7 @@ from loadkit.session import work_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, mixing, packing, secrets, simhash, token_files, toxicity
+from . import dedup, language, mixing, packing, secrets, simhash, token_files, toxicity
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -79,3 +79,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"), ["doc_id"])
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    prototypes = language.learn(docs, held_out)
+    found = language.identify(docs, prototypes, ["doc_id"])
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
