@@ -7,7 +7,7 @@ from loadkit.session import work_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, language, mixing, packing, secrets, simhash, token_files, toxicity
+from . import dedup, language, merkle, mixing, packing, secrets, simhash, token_files, toxicity
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -87,3 +87,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     prototypes = language.learn(docs, held_out)
     found = language.identify(docs, prototypes, ["doc_id"])
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_merkle")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.edited(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
