@@ -7,7 +7,7 @@ from loadkit.session import work_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, language, merkle, mixing, packing, secrets, simhash, token_files, toxicity
+from . import dedup, html_text, language, merkle, mixing, packing, secrets, simhash, token_files, toxicity
 from .common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -93,3 +93,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.edited(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query("op2_html_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.withColumns({"n_chars": F.char_length("text").cast("long"), "n_lines": F.size(F.split("text", "\n")).cast("long")})
