@@ -26,3 +26,9 @@ def rounded_sum(c: str | Column, digits: int = 6) -> Column:
 
 def rows(name: str = "rows") -> Column:
     return F.count(F.lit(1)).alias(name)
+
+
+def exact_ratio(num: Column, den: int, digits: int) -> Column:
+    """A whole number (0 or more) by a whole number, rounded half up without leaving whole numbers, so that no tie depends on binary fractions."""
+    doubled = num.cast("decimal(30,0)") * F.lit(2 * 10**digits).cast("decimal(8,0)") + F.lit(den).cast("decimal(20,0)")
+    return F.call_function("div", doubled, F.lit(2 * den).cast("decimal(20,0)")).cast("double") / F.lit(float(10**digits))

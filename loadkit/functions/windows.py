@@ -18,7 +18,10 @@ def lag_over_time(df: DataFrame, keys: list[str], ts: str, out: str, tiebreak: l
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
     before = last.select(*keys, "_slice", F.lag("_last").over(by_slice).alias("_before"))
     inside = Window.partitionBy(*keys, "_slice").orderBy(ts, *tiebreak)
-    joined = sliced.withColumn("_inside", F.lag(ts).over(inside)).join(before, [*keys, "_slice"], "left")
+    # null-safe, so that rows without a time or a key keep their place
+    renamed = before.toDF(*[f"_b_{c}" for c in (*keys, "_slice")], "_before")
+    same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in (*keys, "_slice")]
+    joined = sliced.withColumn("_inside", F.lag(ts).over(inside)).join(renamed, same, "left").drop(*renamed.columns[:-1])
     return joined.withColumn(out, F.coalesce("_inside", "_before")).drop("_slice", "_inside", "_before")
 
 
@@ -35,9 +38,9 @@ def running_before(df: DataFrame, value: str, ts: str, tiebreak: list[str], out:
     inside = Window.partitionBy("_slice").orderBy(ts, *tiebreak).rowsBetween(Window.unboundedPreceding, -1)
     return (
         sliced.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .join(offsets, "_slice")
+        .join(offsets.withColumnRenamed("_slice", "_of"), F.col("_slice").eqNullSafe(F.col("_of")))
         .withColumn(out, F.col("_inside") + F.col("_offset"))
-        .drop("_slice", "_inside", "_offset")
+        .drop("_slice", "_of", "_inside", "_offset")
     )
 
 
@@ -45,11 +48,13 @@ def latest_by(df: DataFrame, keys: list[str], order: list[Column], tiebreak: Col
     """One row per key: the newest (or oldest), as ROW_NUMBER() = 1 would give.
 
     Done as max_by/min_by, which combines before the shuffle, so a key holding a third of
-    all rows sends one row per task instead of all of them. NULL order values lose.
+    all rows sends one row per task instead of all of them. NULL order values lose, whichever
+    end is asked for.
     """
     everything = F.struct(*[F.col(c) for c in df.columns])
     tie = tiebreak if tiebreak is not None else F.xxhash64(*[F.col(c) for c in df.columns if not _complex(df, c)])
-    rank = F.struct(*order, tie)
+    columns = [F.col(o) if isinstance(o, str) else o for o in order]
+    rank = F.struct(*columns, tie) if newest else F.struct(*[x for c in columns for x in (c.isNull(), c)], tie)
     pick = F.max_by if newest else F.min_by
     return df.groupBy(*keys).agg(pick(everything, rank).alias("_row")).select("_row.*")
 
@@ -62,7 +67,9 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, out:
     """PERCENTILE_CONT(p) per key, exact, without gathering a group's values.
 
     A mergeable sketch brackets the quantile; only values inside the bracket (about
-    10 / accuracy of the distinct values) are ranked, everything below is just counted.
+    10 / accuracy of the distinct values) are ranked, everything below is just counted. The
+    sketch is off by n / accuracy ranks at most, so the bracket holds both neighbours once its
+    other four parts in `accuracy` are two rows or more; a group too small for that is ranked whole.
     """
     if not keys:
         return exact_percentile(df.withColumn("_all", F.lit(0)), ["_all"], value, p, out, accuracy).drop("_all")
@@ -71,8 +78,10 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, out:
     present = df.where(F.col(value).isNotNull())
     bounds = present.groupBy(*keys).agg(
         F.count(value).alias("_n"),
-        F.percentile_approx(value, [lo_p, hi_p], accuracy).alias("_b"),
+        F.percentile_approx(value, [lo_p, hi_p], accuracy).alias("_near"),
+        F.array(F.min(value), F.max(value)).alias("_ends"),
     )
+    bounds = bounds.select(*keys, "_n", F.when(F.col("_n") < accuracy, F.col("_ends")).otherwise(F.col("_near")).alias("_b"))
     counted = present.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     placed = counted.join(bounds, keys)
     below = placed.groupBy(*keys).agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.numbers import ratio, rounded_sum, rows, total
+from ..functions.numbers import exact_ratio, ratio, rounded_sum, rows, total
 from ..functions.text import copy_target
 from ..functions.times import back, diff, ntz, trunc, within
 
@@ -204,8 +204,8 @@ def stream_throughput(migrations: DataFrame, as_of, days=7) -> DataFrame:
         rows("migration_count"), rounded_sum("credits_used").alias("hourly_credits"),
         total("num_rows_migrated").alias("rows_migrated"),
         F.round(F.sum("num_bytes_migrated").cast("double") / 1e6, 6).alias("mb_migrated"),
-        F.round(F.sum("num_rows_migrated").cast("double") / 3600.0, 4).alias("rows_per_second"),
-        F.round(F.sum("num_bytes_migrated").cast("double") / 1e6 / 3600.0, 6).alias("mb_per_second"),
+        exact_ratio(F.sum("num_rows_migrated"), 3600, 4).alias("rows_per_second"),
+        exact_ratio(F.sum("num_bytes_migrated"), 3600 * 1000000, 6).alias("mb_per_second"),
     ).orderBy(F.desc("hour"))
 
 

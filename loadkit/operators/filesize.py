@@ -9,21 +9,22 @@ from ..functions.text import path_part
 from ..functions.times import back
 from ..functions.windows import exact_percentile
 
-# Upper limit in bytes and name of each size bucket; the last is open.
+# Upper limit in bytes, whether it belongs to the bucket, and name of each size bucket; the last is open.
 SIZE_BUCKETS = (
-    (1000000, "Under 1MB"), (10000001, "1-10MB"), (100000001, "10-100MB"), (250000001, "100-250MB (optimal)"),
-    (500000001, "250-500MB"), (None, "Over 500MB"),
+    (1000000, False, "Under 1MB"), (10000000, True, "1-10MB"), (100000000, True, "10-100MB"), (250000000, True, "100-250MB (optimal)"),
+    (500000000, True, "250-500MB"), (None, False, "Over 500MB"),
 )
 TINY_BUCKETS = (
-    (100000, "Under 100KB (problem)"), (1000000, "100KB-1MB (suboptimal)"), (10000000, "1-10MB (acceptable)"),
-    (100000000, "10-100MB (good)"), (250000000, "100-250MB (optimal)"), (None, "Over 250MB"),
+    (100000, False, "Under 100KB (problem)"), (1000000, False, "100KB-1MB (suboptimal)"), (10000000, False, "1-10MB (acceptable)"),
+    (100000000, False, "10-100MB (good)"), (250000000, False, "100-250MB (optimal)"), (None, False, "Over 250MB"),
 )
 
 
 def _bucket(size: Column, table, value) -> Column:
-    out = F.lit(value(len(table) - 1, table[-1][1]))
+    out = F.lit(value(len(table) - 1, table[-1][2]))
     for i in range(len(table) - 2, -1, -1):
-        out = F.when(size < table[i][0], F.lit(value(i, table[i][1]))).otherwise(out)
+        limit, inside, name = table[i]
+        out = F.when(size <= limit if inside else size < limit, F.lit(value(i, name))).otherwise(out)
     return out
 
 
