@@ -79,6 +79,18 @@ def same(a, b):
     return a.eqNullSafe(b)
 
 
+_remembered: dict = {}
+
+
+def remembered(name, make: Callable):
+    """What a Python worker keeps from task to task under `name`. Workers outlive operators, so
+    only what was asked for last is kept: an operator's cache goes when another one's begins."""
+    if name not in _remembered:
+        _remembered.clear()
+        _remembered[name] = make()
+    return _remembered[name]
+
+
 def spare(df: DataFrame, name: str = "_locator") -> str:
     """A column name that `df` doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -10,10 +10,11 @@ from array import array
 
 import numpy as np
 
+from .common import remembered
+
 #: Words that a worker remembers; then it starts anew.
-CACHE = 1_200_000
+CACHE = 900_000
 END = 1
-_loaded: dict = {}
 _MARKS = string.punctuation.encode()
 _PROBE = ["Word".encode(), "\u00c9t\u00e9".encode(), "\u65e5\u672c".encode(), b"theonward", "stra\u00dfe".encode()]
 #: Byte-level vocabularies write a byte without a visible character of its own as the next one from U+0100.
@@ -109,6 +110,4 @@ def widened(raw: bytes, dtype: np.dtype) -> bytes:
 
 def encoder(path: str, whole: bool = False) -> Encoder:
     """One per file and worker; Spark reuses workers, so later tasks find the cache filled."""
-    if (path, whole) not in _loaded:
-        _loaded[path, whole] = Encoder(path, whole)
-    return _loaded[path, whole]
+    return remembered(("encoder", path, whole), lambda: Encoder(path, whole))

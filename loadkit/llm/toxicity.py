@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, texts
+from .common import by_batch, remembered, texts
 
 #: Labelled documents that are learned from at most, of each label, by a hash of their id.
 SAMPLE = {1: 1000, 0: 2000}
@@ -27,7 +27,7 @@ NEGATIVES, CHANCE = 2500, 0.01
 RIDGE = 1e-2
 THRESHOLD = 0.7
 #: Words that a Python worker remembers; then it starts anew.
-CACHE = 1_000_000
+CACHE = 400_000
 #: Features are hashed to so many bits.
 BITS = 20
 _OPEN, _CLOSE, _OTHER, _LETTERS = 27, 28, 29, 64
@@ -248,9 +248,6 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
     return fit(sorted((r.text or "", r.toxic) for r in rows.select("text", "toxic").collect()))
 
 
-_caches: dict = {}
-
-
 def score(docs: DataFrame, model: Model, keys: list, text: str = "text") -> DataFrame:
     """`keys`, score, and of texts at or over THRESHOLD the worst sentence's place (span_start,
     span_end: code points). Null and empty texts have the score of a text without any such word."""
@@ -260,10 +257,7 @@ def score(docs: DataFrame, model: Model, keys: list, text: str = "text") -> Data
     name = f"{hash(model.weights.tobytes())}:{model.bias}"
 
     def fn(batch):
-        if name not in _caches:
-            _caches.clear()
-            _caches[name] = {}
-        cache, found = _caches[name], texts(batch.column("_text"))
+        cache, found = remembered(name, dict), texts(batch.column("_text"))
         worst, start, end = [], [], []
         for t in found:
             split = t.lower().split()
