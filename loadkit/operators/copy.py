@@ -13,6 +13,8 @@ import re
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.times import ntz
@@ -170,6 +172,51 @@ def parse(spark: SparkSession, paths, root: str, fmt: FileFormat, cols: Columns)
     return parse_rows(scan(load, root, fmt, cols), fmt, cols)
 
 
+def same_schema_groups(spark: SparkSession, paths: list[str], fmt: FileFormat) -> list[list[str]]:
+    """Columnar files by the schema in their footers: one group when all can be merged.
+
+    Spark reads files of one frame by one schema. Only if that can't hold for all of them is
+    each footer looked at by itself.
+    """
+    try:
+        reader(spark, fmt, mergeSchema="true").load(paths).schema  # noqa: B018
+        return [paths]
+    except Exception as error:  # the classes differ between file formats
+        if len(paths) == 1:
+            raise
+        found: dict[str, list[str]] = {}
+        for path in paths:
+            try:
+                found.setdefault(reader(spark, fmt).load(path).schema.json(), []).append(path)
+            except Exception:
+                raise error from None
+        return list(found.values())
+
+
+def parse_all(spark: SparkSession, paths: list[str], root: str, fmt: FileFormat, cols: Columns) -> DataFrame:
+    """Parsed rows of files whose schemas may differ."""
+    if fmt.text:
+        return parse(spark, paths, root, fmt, cols)
+    parts = [parse(spark, group, root, fmt, cols) for group in same_schema_groups(spark, paths, fmt)]
+    out = parts[0]
+    for part in parts[1:]:
+        # numbers of rows are apart between the groups, and no file is in two of them
+        out = out.unionByName(part)
+    return out
+
+
+def incomplete_files(spark: SparkSession, work: DataFrame, paths: list[str], root: str, fmt: FileFormat, chosen: DataFrame) -> DataFrame:
+    """Files of which fewer rows were read than their footers promise: damaged inside.
+
+    The reader stops at a damaged page and goes on with the next file; what it gave of such a
+    file is not loaded, and the file is reported as failed.
+    """
+    promised = rows_by_file(reader(spark, fmt).schema("_none int").load(paths), root)
+    got = work.groupBy(F.col("_file").alias("name")).agg(F.count(F.lit(1)).alias("_got"))
+    short = promised.join(got, "name", "left").where(F.coalesce("_got", F.lit(0)) != F.col("row_count"))
+    return chosen.join(short.select("name"), "name", "left_semi")
+
+
 def parse_rows(df: DataFrame, fmt: FileFormat, cols: Columns) -> DataFrame:
     """Typed target columns plus `_file`, `_block`, `_mid`, and for bad rows `_error`, `_error_column`, `_error_value`, `_record`."""
     df, raw = _fields(df.withColumn("_mid", F.monotonically_increasing_id()), fmt, cols)
@@ -312,7 +359,7 @@ def _report_rows(splits, first, chosen, policy: Policy, as_of, table_name, root,
         F.when(dead, "File: cannot be read").otherwise(F.col("_error")).alias("first_error_message"),
         F.col("_line").alias("first_error_line_number"),
         F.when(at > 0, at).cast("bigint").alias("first_error_character"), F.col("_error_column").alias("first_error_column_name"),
-        ntz(as_of).alias("last_load_time"),
+        ntz(as_of).alias("last_load_time"), F.col("last_modified").cast("timestamp_ntz").alias("file_modified"),
     )
 
 
@@ -324,7 +371,7 @@ def choose(
     listing = list_stage(spark, stage)
     chosen = select_files(listing, files=files, pattern=pattern, prefix=prefix)
     if not force:
-        chosen = untracked(chosen, ledger.history(table), as_of, tracking_days, load_uncertain)
+        chosen = untracked(chosen, ledger.history(table), as_of, tracking_days, load_uncertain, stage)
     return select_files(chosen, size_limit=size_limit) if size_limit is not None else chosen
 
 
@@ -375,15 +422,31 @@ def load_files(
         if dead and policy.kind == "ABORT_STATEMENT":
             raise LoadAborted(f"{table_name}: {len(dead)} files cannot be read, first {sorted(dead)[0]}")
     if work is None and paths and trusted(spark, list(paths), fmt, cols, select, where, audit):
-        return _load_trusted(
-            spark, table, stage, fmt, cols, as_of, chosen, list(paths), policy, broken, distinct=distinct, target_columns=target_columns,
-            return_failed_only=return_failed_only, purge=purge, table_name=table_name, pipe=pipe, partition_by=partition_by,
-            cluster_by=cluster_by, load_id=load_id)
+        try:
+            return _load_trusted(
+                spark, table, stage, fmt, cols, as_of, chosen, list(paths), policy, broken, distinct=distinct, target_columns=target_columns,
+                return_failed_only=return_failed_only, purge=purge, table_name=table_name, pipe=pipe, partition_by=partition_by,
+                cluster_by=cluster_by, load_id=load_id)
+        except UNREADABLE as error:
+            if not _is_read_error(error):
+                raise
+            # a file is damaged inside: nothing was published; the checked way below finds out which one
+            load_id = new_load_id()
     copy = None
     if work is None and paths:
         with _duplicate_keys(spark, fmt):
-            copy = staged(parse(spark, list(paths), stage, fmt, cols), "parsed")
+            copy = staged(parse_all(spark, list(paths), stage, fmt, cols), "parsed")
         work = _drop_header_rows(copy, fmt)
+        if not fmt.text:
+            damaged = incomplete_files(spark, copy, list(paths), stage, fmt, chosen)
+            names = [r["name"] for r in damaged.select("name").collect()]
+            if names and policy.kind == "ABORT_STATEMENT":
+                release(copy)
+                raise LoadAborted(f"{table_name}: {len(names)} files cannot be read, first {sorted(names)[0]}")
+            if names:
+                found = spark.createDataFrame([(n,) for n in names], "name string")
+                broken = found if broken is None else broken.select("name").union(found)
+                work = work.join(found.withColumnRenamed("name", "_file"), "_file", "left_anti").select(*work.columns)
     if work is None:
         work = spark.createDataFrame([], _work_schema(cols))
     try:
@@ -428,12 +491,23 @@ def _purge(spark: SparkSession, report: DataFrame, chosen: DataFrame) -> None:
         fs.delete(spark, r["path"])
 
 
+UNREADABLE = (PySparkException, Py4JJavaError)
+
+
+def _is_read_error(error: Exception) -> bool:
+    return bool(re.search(r"FAILED_READ_FILE|Encountered error while reading file|CANNOT_READ_FILE", str(error)))
+
+
 def trusted(spark, paths: list[str], fmt: FileFormat, cols: Columns, select, where, audit) -> bool:
     """No row can be in error: a columnar file set whose columns have the target's types, taken as they are."""
     if fmt.text or select or where is not None or audit or cols.lengths or cols.required or cols.raw_column or cols.match == "NONE":
         return False
     fold = str.lower if cols.match == "CASE_INSENSITIVE" else str
-    found = {fold(f.name): f.dataType for f in reader(spark, fmt).load(paths).schema}
+    try:
+        schema = reader(spark, fmt, mergeSchema="true").load(paths).schema
+    except Exception:  # the files don't have one schema; the classes differ between file formats
+        return False
+    found = {fold(f.name): f.dataType for f in schema}
     return all(found.get(fold(f.name)) == f.dataType for f in cols.schema)
 
 
@@ -442,7 +516,7 @@ def _load_trusted(
     pipe, partition_by, cluster_by, load_id,
 ) -> DataFrame:
     """Columnar load without a working copy: counts come from footers, rows are written straight from the source."""
-    source = reader(spark, fmt).load(paths)
+    source = reader(spark, fmt, mergeSchema="true").load(paths)
     fold = str.lower if cols.match == "CASE_INSENSITIVE" else str
     known = {fold(c): c for c in source.columns}
     rows = source.select(*[F.col(f"`{known[fold(f.name)]}`").alias(f.name) for f in cols.schema])

@@ -15,7 +15,7 @@ HISTORY_SCHEMA = (
     "table_name string, stage_location string, file_name string, pipe_name string, status string, row_parsed bigint, "
     "row_count bigint, file_size bigint, error_limit bigint, errors_seen bigint, first_error_message string, "
     "first_error_line_number bigint, first_error_character bigint, first_error_column_name string, "
-    "last_load_time timestamp_ntz, load_id string"
+    "last_load_time timestamp_ntz, file_modified timestamp_ntz, load_id string"
 )
 
 

@@ -1,10 +1,10 @@
 """Deduplication, MERGE, updates and deletes as DataFrames, and their commits to a Table.
 
 A merge returns target and source rows combined by key with an `_action` column
-(unchanged, updated, inserted, deleted). How the join runs depends on the measured size of
-the source: a small one is broadcast, so the target is rewritten without being shuffled; a
-large one is joined by a full outer shuffle join. Keys are unique on both sides after
-deduplication, so no key can be hot, and NULL keys, which never match, bypass the join.
+(unchanged, updated, inserted, deleted). It is a left join for the rows of the target and an
+anti join for new rows, without hints: Spark picks how each runs from the sizes it sees. Keys
+are unique on both sides after deduplication, so no key can be hot, and NULL keys, which never
+match, bypass the join.
 """
 
 from __future__ import annotations
@@ -47,18 +47,7 @@ def _cond(c) -> Column:
     return F.lit(c) if isinstance(c, bool) else F.coalesce(c, F.lit(False))
 
 
-def source_is_small(source: DataFrame) -> bool:
-    """The optimizer's size of the source is within the session's broadcast limit.
-
-    The source of a table merge is a written table, so this is a measured size.
-    """
-    spark = source.sparkSession
-    limit = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    size = source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= int(str(size)) <= limit
-
-
-def merge(target: DataFrame, source: DataFrame, on: list[str] | str, rules: Rules = Rules(), small: bool | None = None) -> DataFrame:
+def merge(target: DataFrame, source: DataFrame, on: list[str] | str, rules: Rules = Rules()) -> DataFrame:
     """All rows after the merge plus those deleted, told apart by `_action`."""
     on = [on] if isinstance(on, str) else list(on)
     names = target.columns
@@ -81,21 +70,8 @@ def merge(target: DataFrame, source: DataFrame, on: list[str] | str, rules: Rule
     condition = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on]
     action = F.when(deletes, _DELETE).when(updates, _UPDATE).otherwise(_KEEP)
     values = [F.when(updates, update[c].cast(types[c])).otherwise(F.col(f"t.{c}")).alias(c) if c in update else F.col(f"t.{c}").alias(c) for c in names]
-    if small if small is not None else source_is_small(source):
-        # the hint is given only behind the size check above
-        kept = t.alias("t").join(F.broadcast(s).alias("s"), condition, "left").select(*values, action.alias("_action"))
-        known = t.select(*on).join(F.broadcast(s.select(*on)), on, "left_semi")
-        out = kept.unionByName(inserted(s.join(known, on, "left_anti")))
-    else:
-        is_new = F.col("t._t").isNull()
-        both = t.withColumn("_t", F.lit(True)).alias("t").join(s.alias("s"), condition, "full_outer")
-        both = both.where(~is_new | _cond(rules.insert_when))
-        picked = [
-            F.when(is_new, insert[c].cast(types[c]) if c in insert else F.lit(None).cast(types[c])).otherwise(
-                F.when(updates, update[c].cast(types[c])).otherwise(F.col(f"t.{c}")) if c in update else F.col(f"t.{c}")).alias(c)
-            for c in names
-        ]
-        out = both.select(*picked, F.when(is_new, _INSERT).otherwise(action).alias("_action"))
+    kept = t.alias("t").join(s.alias("s"), condition, "left").select(*values, action.alias("_action"))
+    out = kept.unionByName(inserted(s.join(t.select(*on), on, "left_anti")))
     return out.unionByName(t_null.withColumn("_action", F.lit(_KEEP))).unionByName(inserted(s_null))
 
 
@@ -112,9 +88,9 @@ def stats(merged: DataFrame) -> DataFrame:
 # ---- named merges ------------------------------------------------------------------------
 
 
-def upsert(target, source, key, order_by, small=None) -> DataFrame:
+def upsert(target, source, key, order_by) -> DataFrame:
     """Newest wins, against the target and among repeated source keys."""
-    return merge(target, latest(source, [key], order_by), key, Rules(update_when=F.col(f"s.{order_by}") > F.col(f"t.{order_by}")), small)
+    return merge(target, latest(source, [key], order_by), key, Rules(update_when=F.col(f"s.{order_by}") > F.col(f"t.{order_by}")))
 
 
 def insert_only(target, source, keys: list[str], order_by: str | None = None) -> DataFrame:
@@ -123,7 +99,7 @@ def insert_only(target, source, keys: list[str], order_by: str | None = None) ->
     return target.unionByName(src.join(target.select(*keys), keys, "left_anti").select(*target.columns))
 
 
-def merge_changes(target, feed, key, operation="operation", changed_at="change_timestamp", updated_at="updated_at", small=None) -> DataFrame:
+def merge_changes(target, feed, key, operation="operation", changed_at="change_timestamp", updated_at="updated_at") -> DataFrame:
     """Row-operation feed (I / U / D): the last operation per key acts, if it is newer."""
     last = latest(feed, [key], changed_at)
     shared = [c for c in target.columns if c in feed.columns and c not in (key, updated_at)]
@@ -131,7 +107,7 @@ def merge_changes(target, feed, key, operation="operation", changed_at="change_t
     op = F.col(f"s.{operation}")
     return merge(target, last, key, Rules(
         delete_when=op == "D", update_when=op.isin("I", "U") & (F.col(f"s.{changed_at}") > F.col(f"t.{updated_at}")),
-        update=values, insert_when=op != "D", insert=values | {key: F.col(f"s.{key}")}), small)
+        update=values, insert_when=op != "D", insert=values | {key: F.col(f"s.{key}")}))
 
 
 CDC_SCHEMA = "struct<payload:struct<op:string,before:map<string,string>,after:map<string,string>,source:struct<ts_ms:bigint>>>"
@@ -161,12 +137,28 @@ def cdc_state(changes: DataFrame, key: str) -> DataFrame:
     return latest(changes, [key], "updated_at").where("operation <> 'd'").drop("operation")
 
 
-def merge_cdc(target, changes, key, small=None) -> DataFrame:
-    """Apply flat CDC changes: last per key, newer than the target, deletes included."""
+GONE = "_deleted"
+
+
+def merge_cdc(target, changes, key) -> DataFrame:
+    """Apply flat CDC changes: last per key, newer than the target, deletes included.
+
+    If the target has a boolean column `_deleted`, a deleted key stays as a row that says when
+    it went (a tombstone). Then the newest change wins in whatever order batches arrive: an
+    older change of a deleted key, coming later, finds the tombstone. `cdc_live` leaves them out.
+    """
     last = latest(changes, [key], "updated_at")
     newer = F.col("s.updated_at") >= F.col("t.updated_at")
     op = F.col("s.operation")
-    return merge(target, last, key, Rules(delete_when=(op == "d") & newer, update_when=(op != "d") & newer, insert_when=op != "d"), small)
+    if GONE in target.columns:
+        gone = last.withColumn(GONE, F.col("operation") == "d")
+        return merge(target, gone, key, Rules(update_when=newer))
+    return merge(target, last, key, Rules(delete_when=(op == "d") & newer, update_when=(op != "d") & newer, insert_when=op != "d"))
+
+
+def cdc_live(table: DataFrame) -> DataFrame:
+    """Rows of a table with tombstones that are not deleted."""
+    return table.where(~F.coalesce(F.col(GONE), F.lit(False))).drop(GONE)
 
 
 # ---- plain row changes ---------------------------------------------------------------------

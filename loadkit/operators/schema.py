@@ -160,16 +160,22 @@ def json_keys(df: DataFrame, variant: str) -> DataFrame:
         rows("occurrence_count")).orderBy("column_name", "data_type")
 
 
-def json_paths(df: DataFrame, variant: str, depth: int = 5) -> DataFrame:
-    """Every path down to `depth` with its value types and occurrences.
+def json_paths(df: DataFrame, variant: str, depth: int = 4) -> DataFrame:
+    """Every path, at any depth, with its value types and occurrences.
 
     Each document is unrolled inside its row, level by level, and exploded once; array
-    elements share the path `name[]`. No document is sampled away.
+    elements share the path `name[]`. No document is sampled away. `depth` is a first guess
+    at the number of levels: while some document has values below, it is doubled.
     """
     level = F.array(F.struct(F.lit("").alias("path"), F.col(variant).alias("v")))
-    out = df.where(F.col(variant).isNotNull()).select(level.alias("l0"))
-    for i in range(depth):
-        out = out.withColumn(f"l{i + 1}", F.flatten(F.transform(F.col(f"l{i}"), _children)))
+    start = df.where(F.col(variant).isNotNull()).select(level.alias("l0"))
+    while True:
+        out = start
+        for i in range(depth):
+            out = out.withColumn(f"l{i + 1}", F.flatten(F.transform(F.col(f"l{i}"), _children)))
+        if out.where(F.size(F.flatten(F.transform(F.col(f"l{depth}"), _children))) > 0).isEmpty():
+            break
+        depth *= 2
     nodes = out.select(F.explode(F.concat(*[F.col(f"l{i + 1}") for i in range(depth)])).alias("n"))
     counted = nodes.groupBy(F.col("n.path").alias("path"), _type_name(F.col("n.v")).alias("t")).agg(rows("n"))
     return counted.groupBy(F.col("path").alias("json_path")).agg(

@@ -75,14 +75,26 @@ def select_files(
     return out.select("path", "name", "size", "last_modified")
 
 
-def untracked(listing: DataFrame, tracked: DataFrame, as_of, days: int, load_uncertain=False) -> DataFrame:
+def untracked(listing: DataFrame, tracked: DataFrame, as_of, days: int, load_uncertain=False, stage: str | None = None) -> DataFrame:
     """Files without a load inside the tracking window.
 
+    A file is known by stage, name, size and time of change; one that was rewritten or lies in
+    another stage is new. Only loads that put rows into the table count: a file that failed is
+    taken again. History without times of change is compared on the rest.
+
     A file last changed before the window may have been loaded by a load no longer on
     record; it is left out unless `load_uncertain`.
     """
-    recent = tracked.where(F.col("last_load_time") > ntz(back(as_of, days=days))).select(F.col("file_name").alias("name")).distinct()
-    fresh = listing.join(recent, "name", "left_anti")
+    recent = tracked.where((F.col("last_load_time") > ntz(back(as_of, days=days))) & F.col("status").isin("LOADED", "PARTIALLY_LOADED"))
+    if stage is not None:
+        recent = recent.where(F.regexp_replace("stage_location", "/+$", "") == stage.rstrip("/"))
+    changed = F.col("file_modified") if "file_modified" in tracked.columns else F.lit(None).cast("timestamp_ntz")
+    recent = recent.select(F.col("file_name").alias("name"), F.col("file_size").alias("_size"), changed.alias("_changed")).distinct()
+    same = (
+        (listing["name"] == recent["name"]) & (listing["size"] == recent["_size"])
+        & (recent["_changed"].isNull() | (recent["_changed"] == listing["last_modified"].cast("timestamp_ntz")))
+    )
+    fresh = listing.join(recent, same, "left_anti")
     return fresh if load_uncertain else fresh.where(F.col("last_modified") > ntz(back(as_of, days=days)))
 
 

@@ -168,8 +168,13 @@ def on_new_data(table: Table, consumer: str, action, checkpoint: str, min_rows:
 
 def cdc_merge_stream(documents: DataFrame, table: Table, content: str, key: str, columns: list[str], checkpoint: str, as_of, interval: str | None = None):
     """Merge a stream of CDC envelopes into a table, batch by batch. Replays change nothing: changes
-    no newer than the target are equal to what is there already.
+    no newer than the target are equal to what is there already. The table needs a boolean column
+    `_deleted` for tombstones, else an old change that comes after a delete brings its key back;
+    read it through `merge.cdc_live`.
     """
+    if M.GONE not in table.read().columns:
+        raise ValueError(f"a table that a CDC stream is merged into needs a column {M.GONE}")
+
     def apply(batch: DataFrame, _: int) -> None:
         changes = staged(M.cdc_changes(batch, content, key, columns), "changes")
         if not changes.isEmpty():

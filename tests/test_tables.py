@@ -30,8 +30,7 @@ def newest(rows):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("small", [True, False])
-def test_merge_order_does_not_matter(spark, folder, seed, small):
+def test_merge_order_does_not_matter(spark, folder, seed):
     all_rows = events(spark, seed, 400, 60)
     rows = [tuple(r) for r in all_rows.collect()]
     random.Random(seed).shuffle(rows)
@@ -40,7 +39,7 @@ def test_merge_order_does_not_matter(spark, folder, seed, small):
         now = spark.createDataFrame([], all_rows.schema)
         for i in range(cut):
             part = spark.createDataFrame(rows[i::cut], all_rows.schema)
-            now = spark.createDataFrame(M.result(M.upsert(now, part, "k", "ts", small)).collect(), all_rows.schema)
+            now = spark.createDataFrame(M.result(M.upsert(now, part, "k", "ts")).collect(), all_rows.schema)
         got = {r["k"]: r["ts"] for r in now.collect()}
         assert got == expected and now.count() == len(expected)
 
@@ -49,7 +48,13 @@ def test_merge_paths_agree_and_null_keys_stay(spark):
     t = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (None, 1, "n")], "k bigint, ts bigint, v string")
     s = spark.createDataFrame([(1, 2, "A"), (3, 1, "c"), (None, 5, "m")], "k bigint, ts bigint, v string")
     rules = M.Rules(update_when=F.col("s.ts") > F.col("t.ts"))
-    a, b = (sorted(M.merge(t, s, "k", rules, small).collect(), key=str) for small in (True, False))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    found = []
+    for limit in (before, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        found.append(sorted(M.merge(t, s, "k", rules).collect(), key=str))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    a, b = found
     assert a == b
     assert {(r["k"], r["v"], r["_action"]) for r in a} == {
         (1, "A", "updated"), (2, "b", "unchanged"), (None, "n", "unchanged"), (3, "c", "inserted"), (None, "m", "inserted")}
