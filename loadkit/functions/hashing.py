@@ -42,3 +42,8 @@ def checksum(md5: Column) -> Column:
 def hash_sum(*columns) -> Column:
     """Aggregate: SUM of the native 64-bit hash; fastest, engine-specific."""
     return F.sum(F.xxhash64(*[col(c) for c in columns]).cast("decimal(28,0)"))
+
+
+def word_sum(column) -> Column:
+    """Aggregate: sum of the first 60 bits of each value's MD5, the same in any engine."""
+    return _wide_sum(_word(F.md5(col(column).cast("string")), 1))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.hashing import checksum, hash_sum, row_hash
+from ..functions.hashing import checksum, row_hash, word_sum
 from ..functions.numbers import pct, rows, total
 from ..functions.times import ntz, within
 
@@ -149,9 +149,9 @@ def batch_checksum(df: DataFrame, columns: list[str], by: list[str] = ()) -> Dat
 
 
 def numeric_sums(df: DataFrame, key: str, sums: dict[str, str]) -> DataFrame:
-    """Count, hash-sum of the key and plain sums of numeric columns (NULL as 0)."""
+    """Count, sum of the key's hashes (60 bits of its MD5, as text) and plain sums of numeric columns (NULL as 0)."""
     return df.agg(
-        rows("row_count"), hash_sum(key).alias("id_checksum"),
+        rows("row_count"), word_sum(key).cast("string").alias("id_checksum"),
         *[F.round(F.sum(F.coalesce(F.col(c), F.lit(0))), 2).alias(name) for name, c in sums.items()],
     )
 

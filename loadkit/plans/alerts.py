@@ -33,7 +33,7 @@ UNION ALL SELECT 'pipe_stalled', 'error', count(*)::DOUBLE, count(*) > 0 FROM pi
 UNION ALL SELECT 'no_recent_data', 'error', (epoch({S})::BIGINT - floor(epoch(max(ts)))::BIGINT) / 3600.0::DOUBLE, (epoch({S})::BIGINT - floor(epoch(max(ts)))::BIGINT) / 3600.0::DOUBLE > 4 FROM events
 UNION ALL SELECT 'error_rate', 'error', round(e::DOUBLE, 6), e > 5 FROM r UNION ALL SELECT 'skip_rate', 'error', round(e::DOUBLE, 6), e > 50 FROM r
 UNION ALL SELECT 'daily_cost', 'error', round(sum(credits_used), 6), sum(credits_used) > 20 FROM (SELECT start_time, credits_used FROM pipe_usage UNION ALL SELECT start_time, credits_used FROM stream_migration) WHERE start_time > {S} - INTERVAL 30 DAY
-UNION ALL SELECT 'reject_rate', 'error', count(*)::DOUBLE, count(*) > 100 FROM events WHERE event_type IN ('error', 'signup') AND ts > {S} - INTERVAL 720 HOUR
+UNION ALL SELECT 'reject_rate', 'error', count(*)::DOUBLE, count(*) > 100 FROM events WHERE ts > {S} - INTERVAL 720 HOUR
 UNION ALL SELECT 'duplicate_keys', 'error', (count(*) - count(DISTINCT event_id))::DOUBLE, count(*) > count(DISTINCT event_id) FROM doubled_events
 UNION ALL SELECT 'schema_drift', 'error', 0::DOUBLE, false
 UNION ALL SELECT 'stale_source', 'error', count(*)::DOUBLE, count(*) > 0 FROM (SELECT date_diff('minute', max(_loaded_at), {S}) >= 30 AS bad FROM raw_events UNION ALL SELECT date_diff('minute', max(o_orderdate), {S}) >= 120 FROM orders) WHERE bad

@@ -135,7 +135,16 @@ _reg("validate_first_errors", lambda s, d: _validate(s, d, "RETURN_ERRORS").sele
      "QUALIFY row_number() OVER (PARTITION BY d, batch ORDER BY line) = 1")
 _reg("error_summary", lambda s, d: C.error_summary(_validate(s, d, "RETURN_ALL_ERRORS")).select("error", "file", "line", "column_name", "occurrence_count"),
      _ERR.replace("AS column_name FROM", "AS column_name, 1::BIGINT AS occurrence_count FROM"))
-query("validate_n_rows")(lambda s, d: C.validate(s, G.json_stage(s, d), FileFormat.json(), EVENT_SCHEMA, "RETURN_10_ROWS"))
+
+
+def _some_rows(s, d):
+    """Ten rows are asked for: how many came, and how many of them are rows of the source."""
+    some = C.validate(s, G.json_stage(s, d), FileFormat.json(), EVENT_SCHEMA, "RETURN_10_ROWS")
+    known = D.table(s, d, "events").select("event_id", "event_type", F.lit(True).alias("known"))
+    return some.join(known, ["event_id", "event_type"], "left").agg(F.count(F.lit(1)).alias("n"), F.count("known").alias("known"))
+
+
+query("validate_n_rows", "SELECT least(10, count(*))::BIGINT AS n, least(10, count(*))::BIGINT AS known FROM events")(_some_rows)
 
 # ---- other formats -----------------------------------------------------------------------
 ORDER_SCHEMA = "order_id bigint, customer_id bigint, status string, order_total double, order_date date"
@@ -175,7 +184,17 @@ SELECT 'raw.events' AS table_name, sum(parsed)::BIGINT AS rows_parsed, sum(parse
 UNION ALL SELECT 'raw.orders', count(*)::BIGINT, count(*)::BIGINT, 0.0::DOUBLE, 'PASS' FROM orders """)
 
 # ---- staged reads ------------------------------------------------------------------------
-query("list_stage")(lambda s, d: ST.list_stage(s, G.json_stage(s, d)))
+
+
+def _listed(s, d):
+    """Every file of the stage, its size against the bytes of its lines, and whether its time is known."""
+    stage = G.json_stage(s, d)
+    read = s.read.text(stage, recursiveFileLookup=True).groupBy(ST.file_name(stage).alias("name")).agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
+    listing = ST.list_stage(s, stage)
+    return listing.join(read, "name").select(G.file_dir("name").alias("file"), (F.col("size") == F.col("bytes")).alias("size_right"), F.col("last_modified").isNotNull().alias("has_time"))
+
+
+_reg("list_stage", _listed, "SELECT file, true AS size_right, true AS has_time FROM files")
 _reg("stage_file_count", lambda s, d: ST.list_stage(s, G.json_stage(s, d)).select(G.file_dir("name").alias("file")), "SELECT file FROM files")
 _reg("stage_size_limit", lambda s, d: ST.select_files(
     ST.list_stage(s, G.json_stage(s, d)), size_limit=1).agg(F.count(F.lit(1)).alias("files")), "SELECT 1::BIGINT AS files", head="")

@@ -63,7 +63,17 @@ query("path_date", "SELECT event_id, ts::DATE AS event_date FROM events")(
     lambda s, d: O.path_date(s.read.option("recursiveFileLookup", "true").parquet(_flat(s, d))).select("event_id", "event_date"))
 query("date_layout_rows", "SELECT count(*)::BIGINT AS n, count(DISTINCT ts::DATE)::BIGINT AS days FROM events")(
     lambda s, d: _hive(s, d).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("year", "month", "day").alias("days")))
-query("pruning_report")(lambda s, d: O.pruning_report(_hive(s, d), _hive(s, d).where("year = 2024 and month = 1 and day = 15")))
+
+
+def _pruned(s, d):
+    """Whether the files that a day's read touches are just those of its directory, and not all."""
+    day, everything = _hive(s, d).where("year = 2024 and month = 1 and day = 15"), _hive(s, d)
+    own = sum("/month=1/day=15/" in f or "/month=01/day=15/" in f for f in everything.inputFiles())
+    found = O.pruning_report(everything, day)
+    return found.select((F.col("partitions_scanned") == own).alias("own_files_only"), (F.col("partitions_scanned") < F.col("partitions_total")).alias("fewer_than_all"))
+
+
+query("pruning_report", "SELECT true AS own_files_only, count(DISTINCT ts::DATE) > 1 AS fewer_than_all FROM events")(_pruned)
 query("external_rows_per_file", "SELECT count(*)::BIGINT AS row_count FROM orders")(
     lambda s, d: O.rows_per_file(O.external_table(s, G.parquet_stage(s, d), FileFormat.parquet())).agg(F.sum("row_count").alias("row_count")))
 

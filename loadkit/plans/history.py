@@ -108,13 +108,13 @@ _hist("load_health_issues", O.load_health, _HEALTH + "WHERE skip_pct > 1 OR fail
 
 def _rejects(s, d):
     """Reject rows name their table; a third of them has no table name (the NULL trap)."""
-    return D.raw_events(s, d).where("event_type = 'error'").select(
+    return D.raw_events(s, d).select(
         F.when(F.col("user_id") % 3 != 0, "raw.orders").alias("target_table"))
 
 
 _reg("unmonitored_tables", lambda s, d: O.unmonitored_tables(D.load_history(s, d), _rejects(s, d), AS_OF, days=30), """
 SELECT DISTINCT table_name FROM load_history h WHERE row_parsed > row_count AND last_load_time > {as_of} - INTERVAL 30 DAY
-  AND NOT EXISTS (SELECT 1 FROM raw_events e WHERE e.event_type = 'error' AND e.user_id % 3 <> 0 AND h.table_name = 'raw.orders') """,
+  AND NOT EXISTS (SELECT 1 FROM raw_events e WHERE e.user_id % 3 <> 0 AND h.table_name = 'raw.orders') """,
      "load_history", "raw_events")
 _reg("load_tracking", lambda s, d: O.load_tracking(D.load_history(s, d), AS_OF), """
 SELECT md5(table_name || '|' || file_name || '|' || strftime(last_load_time, '%Y-%m-%d %H:%M:%S')

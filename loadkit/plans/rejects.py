@@ -20,12 +20,12 @@ _REJ = """
 , rej AS (SELECT event_id AS rejection_id, event_timestamp AS rejection_time, 'raw.' || CASE WHEN user_id % 2 = 0 THEN 'events' ELSE 'orders' END AS target_table, _source_file AS source_file,
   CASE WHEN event_type = 'error' THEN 'Timestamp: timestamp not recognized' ELSE 'Numeric value: not recognized' END AS error_message,
   CASE WHEN event_type = 'error' THEN 'event_timestamp' ELSE 'value' END AS error_column,
-  CASE WHEN user_id % 5 = 0 THEN 'RESOLVED' ELSE 'PENDING' END AS retry_status FROM raw_events WHERE event_type IN ('error', 'signup')) """
+  CASE WHEN user_id % 5 = 0 THEN 'RESOLVED' ELSE 'PENDING' END AS retry_status FROM raw_events) """
 W = with_sql("raw_events") + _REJ
 
 
 def rejected(s, d):
-    e = D.raw_events(s, d).where(F.col("event_type").isin("error", "signup"))
+    e = D.raw_events(s, d)
     is_time = F.col("event_type") == "error"
     text = F.when(F.col("user_id") % 3 == 0, F.date_format("event_timestamp", "MM/dd/yyyy")).otherwise("unknown")
     return e.select(
@@ -63,7 +63,7 @@ SELECT event_id, event_type, date_trunc('day', event_timestamp)::TIMESTAMP AS ev
 _reg("retry_rejects_status", lambda s, d: R.retry_rejects(rejected(s, d), R.fixed_timestamp(), AS_OF, _fixed())[1].groupBy("retry_status", "resolved_at").agg(
     F.count(F.lit(1)).alias("n")), f"""
 , z AS (SELECT CASE WHEN user_id % 5 = 0 THEN 'RESOLVED' WHEN event_type = 'error' AND user_id % 3 = 0 THEN 'RESOLVED' ELSE 'PENDING' END AS retry_status,
-  CASE WHEN user_id % 5 <> 0 AND event_type = 'error' AND user_id % 3 = 0 THEN {S} END AS resolved_at FROM raw_events WHERE event_type IN ('error', 'signup'))
+  CASE WHEN user_id % 5 <> 0 AND event_type = 'error' AND user_id % 3 = 0 THEN {S} END AS resolved_at FROM raw_events)
 SELECT retry_status, resolved_at, count(*)::BIGINT AS n FROM z GROUP BY 1, 2 """)
 _EXPIRED = f"""
 , old AS (SELECT *, CASE WHEN retry_status = 'PENDING' AND rejection_time < {S} - INTERVAL 7 DAY THEN 'PERMANENT_FAILURE' ELSE retry_status END AS st FROM rej) """
@@ -76,11 +76,11 @@ def _dead_letters(s, d):
     rej = R.expire_rejects(rejected(s, d), AS_OF)
     queue = R.to_dead_letters(rej.where("target_table = 'raw.orders'"), None, AS_OF)
     queue = queue.withColumn("original_rejection_id", F.when(F.col("original_rejection_id") > 0, F.col("original_rejection_id")))
-    return R.to_dead_letters(rej.where("rejection_id > 0"), queue, AS_OF).select("original_rejection_id", "target_table", "source_file", "error_message", "moved_at")
+    return R.to_dead_letters(rej, queue, AS_OF).select("original_rejection_id", "target_table", "source_file", "error_message", "moved_at")
 
 
 _reg("to_dead_letters", _dead_letters, _EXPIRED + f"""
-SELECT rejection_id AS original_rejection_id, target_table, source_file, error_message, {S} AS moved_at FROM old WHERE st = 'PERMANENT_FAILURE' AND target_table <> 'raw.orders' AND rejection_id > 0 """)
+SELECT rejection_id AS original_rejection_id, target_table, source_file, error_message, {S} AS moved_at FROM old WHERE st = 'PERMANENT_FAILURE' AND (target_table <> 'raw.orders' OR rejection_id = 0) """)
 _reg("reject_report", lambda s, d: R.reject_report(rejected(s, d), AS_OF), f"""
 SELECT date_trunc('day', rejection_time)::TIMESTAMP AS day, target_table, retry_status, count(*)::BIGINT AS row_count FROM rej WHERE rejection_time > {S} - INTERVAL 30 DAY GROUP BY 1, 2, 3 """)
 _reg("resolution_rate", lambda s, d: R.resolution_rate(R.expire_rejects(rejected(s, d), AS_OF)), _EXPIRED + """

@@ -46,7 +46,10 @@ SELECT o_orderpriority, count(*) FILTER (o_totalprice > 200000)::BIGINT AS large
   round(100.0::DOUBLE * count(*) FILTER (o_totalprice > 200000) / count(*), 1) AS large_pct FROM orders GROUP BY 1 """)
 _reg("named_table", lambda s, d: (table(s, d, "nation").createOrReplaceTempView("loadkit_nation"), s.sql(
     "SELECT count(*) AS n FROM identifier(:t)", args={"t": "loadkit_nation"}))[1], "SELECT count(*)::BIGINT AS n FROM nation")
-query("sample_fraction")(lambda s, d: table(s, d, "lineitem").sample(0.01, 7).select("l_orderkey", "l_linenumber"))
+# a hundredth of the rows, decided by a hash of their key: the same rows wherever they lie
+query("sample_fraction", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE substr(md5(l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR), 1, 4) < '028f'")(
+    lambda s, d: table(s, d, "lineitem").where(F.substring(F.md5(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))), 1, 4) < "028f")
+    .select("l_orderkey", "l_linenumber"))
 _reg("grouped_aggregates", lambda s, d: table(s, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
     F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"),
     F.round(F.avg("l_extendedprice"), 4).alias("avg_price"), F.count_if(F.col("l_discount") > 0.05).alias("discounted"), F.count_distinct("l_suppkey").alias("suppliers")), """

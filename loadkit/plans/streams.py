@@ -147,7 +147,7 @@ def _consumed(s, d):
         seen.append(fresh.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumn("step", F.lit(next(step))), AS_OF)
 
     first_of_each = latest(e, ["event_type"], "event_timestamp", newest=False)
-    for load in (e.where("event_type = 'click'"), e.where("event_type = 'view'"), first_of_each, e.where("event_type = 'signup'")):
+    for load in (e.where("event_type = 'click'"), e.where("event_type = 'view'"), first_of_each, e.where("event_type NOT IN ('click', 'view')")):
         t.append(load, AS_OF)
         R.on_new_data(t, "rollup", act, ckpt, min_rows=6).awaitTermination()
     return seen.read()
@@ -156,7 +156,7 @@ def _consumed(s, d):
 query("on_new_data", W + """
 SELECT 'click' AS event_type, count(*)::BIGINT AS n, 1::INTEGER AS step FROM raw_events WHERE event_type = 'click'
 UNION ALL SELECT 'view', count(*)::BIGINT, 2 FROM raw_events WHERE event_type = 'view'
-UNION ALL SELECT event_type, count(*)::BIGINT, 3 FROM (SELECT DISTINCT event_type FROM raw_events UNION ALL SELECT event_type FROM raw_events WHERE event_type = 'signup') GROUP BY 1 """)(_consumed)
+UNION ALL SELECT event_type, count(*)::BIGINT, 3 FROM (SELECT DISTINCT event_type FROM raw_events UNION ALL SELECT event_type FROM raw_events WHERE event_type NOT IN ('click', 'view')) GROUP BY 1 """)(_consumed)
 
 
 def _cdc_stream(s, d):

@@ -11,16 +11,15 @@ from .derive import AS_OF, table, with_sql
 from .registry import query
 
 W = with_sql("raw_events")
-# one version per event type, a day apart
-KINDS = ("click", "error", "purchase", "signup", "view")
 
 
 def _grown(s, d) -> Table:
-    """A table grown by one load per event type on consecutive days."""
+    """A table grown by one load per event type, in their order, on consecutive days."""
     t = Table(s, work_path(s, "grown"))
     e = D.raw_events(s, d)
-    for i, kind in enumerate(KINDS):
-        t.append(e.where(F.col("event_type") == kind), f"2024-02-0{i + 1} 00:00:00")
+    kinds = sorted(r["event_type"] for r in e.select("event_type").distinct().collect())
+    for i, kind in enumerate(kinds):
+        t.append(e.where(F.col("event_type") == kind), f"2024-02-{i + 1:02d} 00:00:00")
     return t
 
 
@@ -47,7 +46,7 @@ def _expired(s, d):
 
 
 query("expire_snapshots", """
-SELECT v AS snapshot_id, CASE WHEN v < 4 THEN 'expired' ELSE 'kept' END AS state FROM (SELECT unnest([1, 2, 3, 4, 5])::BIGINT AS v) """)(_expired)
+SELECT v AS snapshot_id, CASE WHEN v < 4 THEN 'expired' ELSE 'kept' END AS state FROM (SELECT DISTINCT dense_rank() OVER (ORDER BY event_type)::BIGINT AS v FROM events) """)(_expired)
 
 
 def _compacted(s, d):
