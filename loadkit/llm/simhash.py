@@ -154,7 +154,7 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text="text", keys: tuple =
 WORDS, SIMILARITY, REACH = 5, 0.8, 18
 #: Smallest hashes in a text's sketch (a byte of each), and agreement below which a pair isn't looked at: three deviations.
 SKETCH, LEAST = 64, 0.65
-CELL = 2048
+CELL, FEW = 2048, 4
 _MULTIPLY = np.random.default_rng(SEED).integers(1, 2**63, SKETCH, dtype=np.uint64) | np.uint64(1)
 
 
@@ -218,7 +218,8 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
             b.append(v)
         return {"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))}
 
-    pairs = staged(by_batch(cells, names, "a bigint, b bigint", forest), "pairs")
+    found = by_batch(cells, names, "a bigint, b bigint", forest)
+    pairs = staged(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
     needed = ends.join(rows.select("row", "locator"), "row")
     held = staged(placed.select("locator", "_text").join(needed, "locator").select("row", "_text"), "texts")
@@ -239,11 +240,13 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
 
 def closest_forest(ra, fa, sa, rb, fb, sb) -> tuple[np.ndarray, np.ndarray]:
     """Of the pairs (one row of a, one of b) with fingerprints within REACH and sketches that
-    agree, a spanning forest: each part takes its closest pair to another part, round by round."""
+    agree, a spanning forest: each part takes its closest pair to another part, round by round.
+    The closest few of each row of a come along, since the pair that sketches call closest may
+    be the one that the check of whole texts turns down."""
     rows, index = np.unique(np.concatenate([ra, rb]), return_inverse=True)
     index = index.astype(np.int32)
     ia, ib, ua, ub = index[: len(ra)], index[len(ra) :], fa.view(np.uint64), fb.view(np.uint64)
-    us, vs, ds = [], [], []
+    us, vs, ds, chosen = [], [], [], []
     for at in range(0, len(ua), 64):
         i, j = np.nonzero(np.bitwise_count(ua[at : at + 64, None] ^ ub[None, :]) <= REACH)
         apart = SKETCH - (sa[i + at] == sb[j]).sum(axis=1)
@@ -251,10 +254,14 @@ def closest_forest(ra, fa, sa, rb, fb, sb) -> tuple[np.ndarray, np.ndarray]:
         us.append(ia[i[near] + at])
         vs.append(ib[j[near]])
         ds.append(apart[near].astype(np.int16))
+        order = np.lexsort((ds[-1], us[-1]))
+        sorted_u = us[-1][order]
+        few = order[np.arange(len(order)) - np.searchsorted(sorted_u, sorted_u) < FEW]
+        chosen.append((rows[us[-1][few]], rows[vs[-1][few]]))
     u, v, d = np.concatenate(us), np.concatenate(vs), np.concatenate(ds)
     rank = np.empty(len(u), np.int64)
     rank[np.argsort(d, kind="stable")] = np.arange(len(u))
-    label, chosen = np.arange(len(rows)), []
+    label = np.arange(len(rows))
     while len(u):
         best = np.full(len(rows), np.iinfo(np.int64).max)
         np.minimum.at(best, label[u], rank)
