@@ -53,10 +53,15 @@ def ship(spark: SparkSession) -> None:
     context._has_loadkit = True
 
 
-def by_batch(df: DataFrame, columns: list, schema: str, fn: Callable[[pa.RecordBatch], dict]) -> DataFrame:
-    """fn over Arrow batches of `columns`; it returns a dict of arrays in the order of `schema`."""
+def by_batch(df: DataFrame, columns: list, schema: str, fn: Callable[[pa.RecordBatch], dict], keeps: bool = False) -> DataFrame:
+    """fn over Arrow batches of `columns`; it returns a dict of arrays in the order of `schema`.
+
+    Unless fn `keeps` something from task to task, what others kept in the worker goes first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(fn(batch))
@@ -91,6 +96,10 @@ def remembered(name, make: Callable):
     return _remembered[name]
 
 
+def forget() -> None:
+    _remembered.clear()
+
+
 def spare(df: DataFrame, name: str = "_locator") -> str:
     """A column name that `df` doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loadkit.session import staged
 
-from .common import WORD, located, ship
+from .common import WORD, forget, located, ship
 
 #: Weights of the sources in their order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -111,6 +111,7 @@ def _sharded(drawn: DataFrame) -> DataFrame:
     number = {s: i for i, s in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         tree = SplittingTree(quotas, shards)
         for batch in batches:
             if not batch.num_rows:

@@ -277,7 +277,7 @@ def score(docs: DataFrame, model: Model, keys: list, text: str = "text") -> Data
             end.append(b)
         return {n: batch.column(n) for n in names} | {"score": pa.array(model.probability(np.array(worst)), pa.float64()), "span_start": pa.array(start, pa.int64()), "span_end": pa.array(end, pa.int64())}
 
-    return by_batch(kept, kept.columns, f"{schema}, score double, span_start bigint, span_end bigint", fn)
+    return by_batch(kept, kept.columns, f"{schema}, score double, span_start bigint, span_end bigint", fn, keeps=True)
 
 
 def sentence(text: str, word: str) -> tuple[int | None, int | None]:
