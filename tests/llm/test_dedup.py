@@ -54,3 +54,9 @@ def test_state_goes_on(spark, folder):
         rows._work_path = path
         got = {r.digest: r.keep.id for r in dedup.remember(rows, state, check).collect()}
         assert got == want
+
+
+def test_against_its_sql(spark, sf):
+    import oracle
+
+    assert oracle.difference(queries.op3(spark, sf), oracle.connect(sf), queries.ORACLE["op3_exact_dedup"]) is None
