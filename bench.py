@@ -2,7 +2,7 @@
 
 Loads, merges and streams write real tables; other queries write to the noop sink, so that
 every row of their result is computed. Each query runs once to warm up code and files,
-then $BENCH_RUNS times (2); the median counts. Stages (input files) are made before timing.
+then $BENCH_RUNS times (3); the median counts. Stages (input files) are made before timing.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from loadkit.sources.formats import FileFormat
 from loadkit.streaming.rowstream import row_stream
 
 AS_OF = D.AS_OF
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 # analytic queries of every family, timed as registered
 REGISTERED = (

@@ -35,7 +35,8 @@ def build_session(master: str | None = None, app: str = "loadkit", **conf) -> Sp
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process: driver and executors share their machine's folders (`local-cluster` does not count)."""
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def work_root(spark: SparkSession) -> str:
