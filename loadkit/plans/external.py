@@ -4,6 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from ..operators import external as O
 from ..session import work_path
+from ..sources import fs
 from ..sources.formats import FileFormat
 from . import derive as D, stages as G
 from .derive import AS_OF, table, with_sql
@@ -37,9 +38,11 @@ def _flat(s, d) -> str:
     """The same rows in yyyy/mm/dd directories without key names."""
     def make():
         path = work_path(s, "flat")
-        for day in range(1, 32):  # a layout writer for the test input: one directory per day of the month
-            O_day = table(s, d, "events").where(F.day("ts") == day)
-            O_day.coalesce(1).write.parquet(f"{path}/2024/01/{day:02d}")
+        keyed = f"{path}-keyed"
+        table(s, d, "events").withColumn("_day", F.date_format("ts", "yyyy/MM/dd")).repartition("_day").write.partitionBy("_day").parquet(keyed)
+        for name in fs.children(s, keyed):
+            if name.startswith("_day="):
+                fs.rename(s, f"{keyed}/{name}", f"{path}/{name[5:].replace('%2F', '/')}")
         return path
 
     return G.once(s, (d, "flat"), make)
@@ -56,7 +59,7 @@ query("hive_partitions", "SELECT event_id, year(ts)::INTEGER AS year, month(ts):
     lambda s, d: _hive(s, d).where("year = 2024 and month = 1 and day = 15 and value > 10").select("event_id", "year", "month", "day"))
 query("partition_range", "SELECT event_id FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-12 18:00:00'")(
     lambda s, d: O.with_partition_filter(_hive(s, d), "ts", "2024-01-10 06:00:00", "2024-01-12 18:00:00").select("event_id"))
-query("positional_partitions", "SELECT event_id, 2024::INTEGER AS year, 1::INTEGER AS month, day(ts)::INTEGER AS day FROM events")(
+query("positional_partitions", "SELECT event_id, year(ts)::INTEGER AS year, month(ts)::INTEGER AS month, day(ts)::INTEGER AS day FROM events")(
     lambda s, d: O.positional_partitioned(s.read.option("recursiveFileLookup", "true").parquet(_flat(s, d)), {
         "year": (-4, "int"), "month": (-3, "int"), "day": (-2, "int")}).select("event_id", "year", "month", "day"))
 query("path_date", "SELECT event_id, ts::DATE AS event_date FROM events")(

@@ -56,3 +56,12 @@ def copy_file(spark, source: str, target: str) -> None:
 def make_dirs(spark, path: str) -> None:
     fs, where = _fs(spark, path)
     fs.mkdirs(where)
+
+
+def rename(spark, source: str, target: str) -> None:
+    """Rename within one file system; the folders above the target are made."""
+    fs, src = _fs(spark, source)
+    dst = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot rename {source} to {target}")
