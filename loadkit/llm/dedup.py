@@ -80,7 +80,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     full = located(docs).select(F.col(id_col).cast("long").alias("id"), F.col("_locator").alias("locator"), lowered(F.col(text)).alias("text"))
     hashed = full.select("id", "locator", digest(F.col("text")).alias("digest"))
     rows = staged(hashed, "digests")
-    state = remember(rows, work_path(spark, "dedup-state"), work_path(spark, "dedup-checkpoint"))
+    state = staged(remember(rows, work_path(spark, "dedup-state"), work_path(spark, "dedup-checkpoint")), "state")
+    # two written tables, so that the join's shuffle is its own and a hot digest's rows can be split
     told = staged(rows.join(state, "digest"), "told")
     seen = told.where("size > 1").select("locator", "digest")
     bytes_of = full.select("locator", "text").join(seen, "locator")

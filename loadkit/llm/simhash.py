@@ -190,9 +190,12 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
     def fn(batch):
         raws = raw_texts(batch.column("_text"))
         fps = np.array([simhash(b) for b in raws], np.uint64).view(np.int64)
-        found = [shingles(b) for b in raws]
-        n = [len(s) if b.split(None, 1) else 0 for s, b in zip(found, raws, strict=True)]
-        return {"locator": batch.column("locator"), "id": batch.column("id"), "fp": pa.array(fps), "n": pa.array(n, pa.int64()), "sketch": pa.array([sketch(s) for s in found], pa.binary())}
+        sizes, sketches = [], []
+        for b in raws:  # one text's shingles at a time
+            some = shingles(b)
+            sizes.append(len(some) if b.split(None, 1) else 0)
+            sketches.append(sketch(some))
+        return {"locator": batch.column("locator"), "id": batch.column("id"), "fp": pa.array(fps), "n": pa.array(sizes, pa.int64()), "sketch": pa.array(sketches, pa.binary())}
 
     made = by_batch(placed, ["locator", "id", "_text"], "locator string, id bigint, fp bigint, n bigint, sketch binary", fn)
     rows = staged(made.withColumn("row", F.monotonically_increasing_id()), "simhash")
