@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loadkit.session import staged
 
-from .common import by_batch, located, raw_texts
+from .common import by_batch, located, raw_texts, ship
 from .components import components
 
 SHINGLE = 3
@@ -150,11 +150,14 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text="text", keys: tuple =
     return rows.join(named, "fp").select(F.col("_id").alias(id_col), *keys, "fp", "component")
 
 
-#: Near-duplicate stages: words of a shingle, least similarity, and bits that fingerprints of such texts differ at most, nearly always.
+#: Near-duplicate stages: words of a shingle, least similarity (also as a fraction), and bits of fingerprints that make a first candidate.
 WORDS, SIMILARITY, REACH = 5, 0.8, 18
-#: Smallest hashes in a text's sketch (a byte of each), and agreement below which a pair isn't looked at: three deviations.
+_PARTS, _WHOLE = 4, 5
+#: Smallest hashes in a text's sketch (a byte of each), and agreement that makes a first candidate.
 SKETCH, LEAST = 64, 0.65
 CELL, FEW = 2048, 4
+#: Counters of the shingles' rareness, and rows of a shingle's block at most, about.
+SLOTS, BUCKET = 1 << 18, 512
 _MULTIPLY = np.random.default_rng(SEED).integers(1, 2**63, SKETCH, dtype=np.uint64) | np.uint64(1)
 
 
@@ -164,9 +167,24 @@ def shingles(raw: bytes, n: int = WORDS) -> set[bytes]:
     return {b" ".join(s) for s in zip(*(words[i:] for i in range(n)), strict=False)} or {b" ".join(words)}
 
 
-def sketch(found: set[bytes]) -> bytes:
+def hashes(found: set[bytes]) -> np.ndarray:
+    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in found], np.uint64))
+
+
+def prefix(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The rarest of a text's shingles, by their hashes: so many that each similar text has one of its own rarest among them."""
+    order = np.lexsort((values, counts[values % SLOTS]))
+    return values[order[: len(values) - _rest(len(values))]]
+
+
+def _rest(n):
+    """Shingles out of `n` that are not among the rarest: one fewer than a similar text shares at least."""
+    return (_PARTS * n + _WHOLE - 1) // _WHOLE - 1
+
+
+def sketch(values: np.ndarray) -> bytes:
     """Of SKETCH orders of the shingles' hashes a byte of the first one: equal bytes estimate the similarity."""
-    values, least = np.array([xxhash.xxh64_intdigest(s, SEED) for s in found], np.uint64), np.full(SKETCH, 2**64 - 1, np.uint64)
+    least = np.full(SKETCH, 2**64 - 1, np.uint64)
     for low in range(0, len(values), 4096):
         mixed = values[low : low + 4096, None] * _MULTIPLY
         least = np.minimum(least, (mixed ^ (mixed >> np.uint64(29))).min(axis=0))
@@ -177,27 +195,35 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
     """Every row of `docs`: locator, id, root. Rows of one root are linked by pairs of texts
     whose sets of five-word shingles have a similarity (shared by all) of 0.8 or more.
 
-    Candidates come from SimHash fingerprints at most REACH bits apart, compared tile by tile:
-    a tile holds texts whose numbers of shingles lie within a factor of 1 / 0.8, and only equal
-    or adjoining tiles can hold similar texts. Of a pair of blocks' candidates a spanning forest
-    of the most similar pairs, as sketches estimate it, is taken, so that a dense group gives as
-    many pairs as members; each of its pairs is then checked on whole texts. Texts without words
-    are similar to each other. Equal rows are returned each, null ids as they are; an empty
-    table gives an empty result.
+    First candidates come from SimHash fingerprints at most REACH bits apart, compared tile by
+    tile: a tile holds texts whose numbers of shingles lie within a factor of 1 / 0.8, and only
+    equal or adjoining tiles can hold similar texts. Of a pair of blocks' candidates a spanning
+    forest of the most similar pairs, as sketches estimate it, is taken, so that a dense group
+    gives as many pairs as members; each of its pairs is then checked on whole texts. These only
+    spare work: all pairs that they leave apart and that can be similar are found exactly, by
+    the rarest fifth of each text's shingles (see `remaining`), and checked on whole texts too,
+    so no link is lost. Texts without words are similar to each other. Equal rows are returned
+    each, null ids as they are; an empty table gives an empty result.
     """
     placed = located(docs).select(F.col("_locator").alias("locator"), F.col(id_col).cast("long").alias("id"), F.col(text).alias("_text"))
 
+    rareness = _rareness(placed.select("_text"))
+
     def fn(batch):
         raws = raw_texts(batch.column("_text"))
         fps = np.array([simhash(b) for b in raws], np.uint64).view(np.int64)
-        sizes, sketches = [], []
+        sizes, sketches, rarest = [], [], []
         for b in raws:  # one text's shingles at a time
-            some = shingles(b)
-            sizes.append(len(some) if b.split(None, 1) else 0)
-            sketches.append(sketch(some))
-        return {"locator": batch.column("locator"), "id": batch.column("id"), "fp": pa.array(fps), "n": pa.array(sizes, pa.int64()), "sketch": pa.array(sketches, pa.binary())}
-
-    made = by_batch(placed, ["locator", "id", "_text"], "locator string, id bigint, fp bigint, n bigint, sketch binary", fn)
+            values = hashes(shingles(b))
+            sizes.append(len(values) if b.split(None, 1) else 0)
+            sketches.append(sketch(values))
+            rarest.append(prefix(values, rareness).view(np.int64))
+        return {
+            "locator": batch.column("locator"), "id": batch.column("id"), "fp": pa.array(fps), "n": pa.array(sizes, pa.int64()),
+            "sketch": pa.array(sketches, pa.binary()), "rarest": pa.array(rarest, pa.list_(pa.int64())),
+        }
+
+    made = by_batch(placed, ["locator", "id", "_text"], "locator string, id bigint, fp bigint, n bigint, sketch binary, rarest array<bigint>", fn)
     rows = staged(made.withColumn("row", F.monotonically_increasing_id()), "simhash")
     tile = F.when(F.col("n") == 0, -1).otherwise(F.floor(F.log("n") / -np.log(SIMILARITY) + 1e-9)).cast("long")
     tiled = rows.select("row", "fp", "sketch", tile.alias("tile"))
@@ -223,6 +249,35 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
 
     found = by_batch(cells, names, "a bigint, b bigint", forest)
     pairs = staged(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    near = components(_checked(pairs, rows, placed)).toDF("row", "root")
+    first = staged(near, "near")
+    held = rows.join(first, "row", "left").select("row", F.greatest("n", F.lit(1)).alias("n"), F.coalesce("root", "row").alias("label"), "rarest")
+    more = staged(remaining(held).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    links = first.toDF("a", "b").union(_checked(more, rows, placed))
+    roots = components(links).toDF("row", "root")
+    return rows.join(roots, "row", "left").select("locator", "id", F.coalesce("root", "row").alias("root"))
+
+
+def _rareness(texts: DataFrame) -> np.ndarray:
+    """Texts that hold a shingle of each slot of hashes, summed over its shingles: one number a slot, whatever the corpus."""
+
+    def run(batches):
+        held = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for b in raw_texts(batch.column("_text")):
+                held += np.bincount((hashes(shingles(b)) % SLOTS).astype(np.int64), minlength=SLOTS)
+        some = np.nonzero(held)[0]
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(some), "n": pa.array(held[some])})
+
+    ship(texts.sparkSession)
+    found = texts.mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def _checked(pairs: DataFrame, rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) of rows those whose whole texts are similar."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
     needed = ends.join(rows.select("row", "locator"), "row")
     held = staged(placed.select("locator", "_text").join(needed, "locator").select("row", "_text"), "texts")
@@ -234,11 +289,48 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
             s, t = shingles(x), shingles(y)
             shared = len(s & t)
             good.append(shared >= SIMILARITY * (len(s) + len(t) - shared))
-        mask = pa.array(good)
+        mask = pa.array(good, pa.bool_())
         return {"a": batch.column("a").filter(mask), "b": batch.column("b").filter(mask)}
 
-    roots = components(by_batch(texts, ["a", "b", "ta", "tb"], "a bigint, b bigint", verify)).toDF("row", "root")
-    return rows.join(roots, "row", "left").select("locator", "id", F.coalesce("root", "row").alias("root"))
+    return by_batch(texts, ["a", "b", "ta", "tb"], "a bigint, b bigint", verify)
+
+
+def remaining(rows: DataFrame) -> DataFrame:
+    """Rows (row, n, label, rarest) -> every pair (a, b) of different labels that can be similar.
+
+    Similar texts share one of their rarest shingles, so pairs meet at a shingle. Shingles whose
+    rows have one label are left out. A shingle's rows are dealt over blocks of bounded size and
+    each pair of blocks is one row. Of a pair the shared ones among the rarest are counted: what
+    else it shares lies in the rest of one of its texts, so a pair for which both together are
+    too few is not similar, and no other pair is left out.
+    """
+    placed = rows.select("row", "n", "label", F.explode("rarest").alias("token"))
+    sizes = placed.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
+    met = placed.join(sizes.where("low <> high").select("token", "m"), "token")
+    block = F.pmod(F.xxhash64("row"), F.ceil(F.col("m") / BUCKET)).alias("block")
+    lists = met.select("token", block, "row", "n", "label").groupBy("token", "block").agg(F.collect_list(F.struct("row", "n", "label")).alias("m"))
+    blocks = staged(lists.select("token", "block", *[F.col(f"m.{c}").alias(c) for c in ("row", "n", "label")]), "buckets")
+    other = blocks.select("token", F.col("block").alias("block_a"), *[F.col(c).alias(f"{c}_a") for c in ("row", "n", "label")])
+    names = ["row_a", "n_a", "label_a", "row", "n", "label"]
+    cells = other.join(blocks, "token").where("block_a <= block")
+
+    def meet(batch):
+        found = []
+        for parts in zip(*(batch.column(c) for c in names), strict=True):
+            ra, na, la, rb, nb, lb = (np.asarray(p.values, np.int64) for p in parts)
+            low, high = np.minimum(na[:, None], nb[None, :]), np.maximum(na[:, None], nb[None, :])
+            i, j = np.nonzero((la[:, None] != lb[None, :]) & (_WHOLE * low >= _PARTS * high))
+            a, b, x, y = ra[i], rb[j], na[i], nb[j]
+            turned = a > b
+            both = np.stack([np.where(turned, b, a), np.where(turned, a, b), np.where(turned, y, x), np.where(turned, x, y)])
+            found.append(np.unique(both, axis=1) if both.shape[1] else both)
+        pairs, counts = np.unique(np.concatenate(found, axis=1), axis=1, return_counts=True)
+        return {c: pa.array(v) for c, v in zip(("a", "b", "x", "y", "c"), [*pairs, counts], strict=True)}
+
+    counted = by_batch(cells, names, "a bigint, b bigint, x bigint, y bigint, c bigint", meet).groupBy("a", "b", "x", "y").agg(F.sum("c").alias("c"))
+    larger = F.greatest("x", "y")
+    rest = F.floor((_PARTS * larger + _WHOLE - 1) / _WHOLE) - 1
+    return counted.where((F.col("c") + rest) * (_PARTS + _WHOLE) >= _PARTS * (F.col("x") + F.col("y"))).select("a", "b")
 
 
 def closest_forest(ra, fa, sa, rb, fb, sb) -> tuple[np.ndarray, np.ndarray]:

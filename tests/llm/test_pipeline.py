@@ -125,3 +125,35 @@ def test_run_packs_the_mix(spark):
     check_pieces([(r.doc_id, r.text) for r in mixed.collect()], found)
     assert sorted((p.ids_crc32, p.length) for p in pieces.collect()) == sorted((zlib.crc32(bytes(p.ids)), p.length) for p in found)
     assert pieces.agg(F.count(F.lit(1))).first()[0] == len(found)
+
+
+def changed(rng, base, share):
+    """`base` with words replaced until about `share` of its five-word shingles is shared by both."""
+    text = list(base)
+    left = list(range(2, len(text) - 2))
+    rng.shuffle(left)
+    mine = simhash.shingles(" ".join(base).encode())
+    while left:
+        text[left.pop()] = f"x{rng.random()}"
+        now = simhash.shingles(" ".join(text).encode())
+        if len(now & mine) <= share * len(now | mine):
+            return text
+    return text
+
+
+def test_no_link_is_lost_in_a_family_of_false_partners(spark):
+    """Many texts just below the threshold of each other hide the ones just over it."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(150):
+        member = changed(rng, base, 0.86)
+        texts += [" ".join(member), " ".join(changed(rng, member, 0.82))]
+    rng.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.root for r in simhash.similar_documents(df).collect()}
+    want = plain_groups(texts)
+    assert len(set(want)) > 50
+    assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(texts)) for j in range(i))
+
+
