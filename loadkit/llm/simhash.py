@@ -40,6 +40,11 @@ def simhash(raw: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def set_fingerprint(values: np.ndarray) -> int:
+    """64-bit fingerprint of a set given by its members' hashes: how often a text repeats one doesn't matter."""
+    return int.from_bytes(np.packbits(2 * _bit_counts(values.astype(">u8")) > len(values)).tobytes(), "big")
+
+
 def _bit_counts(values: np.ndarray) -> np.ndarray:
     """How many values have each bit, highest first; sums of up to 255 rows stay in bytes."""
     rows = np.zeros((-(-len(values) // 255) * 255, 8), np.uint8)
@@ -195,7 +200,7 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
     """Every row of `docs`: locator, id, root. Rows of one root are linked by pairs of texts
     whose sets of five-word shingles have a similarity (shared by all) of 0.8 or more.
 
-    First candidates come from SimHash fingerprints at most REACH bits apart, compared tile by
+    First candidates come from SimHash fingerprints of those sets at most REACH bits apart, compared tile by
     tile: a tile holds texts whose numbers of shingles lie within a factor of 1 / 0.8, and only
     equal or adjoining tiles can hold similar texts. Of a pair of blocks' candidates a spanning
     forest of the most similar pairs, as sketches estimate it, is taken, so that a dense group
@@ -211,15 +216,15 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
 
     def fn(batch):
         raws = raw_texts(batch.column("_text"))
-        fps = np.array([simhash(b) for b in raws], np.uint64).view(np.int64)
-        sizes, sketches, rarest = [], [], []
+        fps, sizes, sketches, rarest = [], [], [], []
         for b in raws:  # one text's shingles at a time
             values = hashes(shingles(b))
+            fps.append(set_fingerprint(values))
             sizes.append(len(values) if b.split(None, 1) else 0)
             sketches.append(sketch(values))
             rarest.append(prefix(values, rareness).view(np.int64))
         return {
-            "locator": batch.column("locator"), "id": batch.column("id"), "fp": pa.array(fps), "n": pa.array(sizes, pa.int64()),
+            "locator": batch.column("locator"), "id": batch.column("id"), "fp": pa.array(np.array(fps, np.uint64).view(np.int64)), "n": pa.array(sizes, pa.int64()),
             "sketch": pa.array(sketches, pa.binary()), "rarest": pa.array(rarest, pa.list_(pa.int64())),
         }
 

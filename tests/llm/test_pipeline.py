@@ -157,3 +157,16 @@ def test_no_link_is_lost_in_a_family_of_false_partners(spark):
     assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(texts)) for j in range(i))
 
 
+def test_repeated_lines_hide_no_copy(spark):
+    """Texts that differ only in how often a line stands in them: near-equal sets of shingles."""
+    rng = random.Random(9)
+    texts = []
+    for n in [5, 10, 40] * 4:
+        words, line = ([f"w{rng.randrange(10**6)}" for _ in range(k)] for k in (200, 12))
+        texts += [" ".join(words) + "\n" + "\n".join([" ".join(line)] * k) for k in (1, n)]
+    assert any((simhash.simhash(a.encode()) ^ simhash.simhash(b.encode())).bit_count() > simhash.REACH for a, b in zip(texts[::2], texts[1::2], strict=True))
+    prints = [simhash.set_fingerprint(simhash.hashes(simhash.shingles(t.encode()))) for t in texts]
+    assert all((a ^ b).bit_count() <= simhash.REACH for a, b in zip(prints[::2], prints[1::2], strict=True))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.root for r in simhash.similar_documents(df).collect()}
+    assert all(got[i] == got[i + 1] for i in range(0, len(texts), 2)) and len(set(got.values())) == len(texts) // 2
