@@ -22,8 +22,11 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = bytes(49 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 _ID = re.compile(r"""(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,64})""", re.A | re.I)
-_LONG = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+_LONG = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 _ENDPOINT = re.compile(r"""(?:https?|ftp|jdbc:\w+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3|ssh)://[^\s"'<>]+""", re.A | re.I)
+#: The part of a name that lies before an identifier's word, and what makes such a name a secret's.
+_NAME = re.compile(r"[A-Za-z0-9_.-]*\Z")
+_OF_SECRET = re.compile(r"secret|private", re.I)
 _BLANK = re.compile(r"\n[ \t\r]*\n")
 
 
@@ -70,7 +73,7 @@ def linked(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int,
     """
     strong = [(a, b) for _, a, b in spans]
     covered = lambda a, b: any(x < b and a < y for x, y in strong)
-    ids = [(m.start(), m.end()) for m in _ID.finditer(text)]
+    ids = [m.span() for m in _ID.finditer(text) if not _OF_SECRET.search(_NAME.search(text[max(0, m.start() - 64) : m.start()])[0])]
     ends = [(m.start(), m.end()) for m in _ENDPOINT.finditer(text)]
     known_ids, known_secrets = [s[1:] for s in spans if s[0] == "access"], [s[1:] for s in spans if s[0] != "access"]
     if not (ids or known_ids):
