@@ -227,16 +227,17 @@ class Table:
         return df.agg(F.sum("length")).head()[0] or 0
 
     def add_files(self, stage: str, as_of) -> int:
-        """Register Parquet files of a stage by byte copy, unread, after checking their footers.
+        """Append the rows of a stage's Parquet files by one Spark write, after checking their footers.
 
-        Every file must have the table's columns with the same types; files are copied in
-        parallel by the executors' side of the store, driver threads only start the copies.
+        Every file must have the table's columns with the same types. A staged file whose name
+        does not end in .parquet is an error. Names that begin with _ or . are no files of a stage.
         """
-        from concurrent.futures import ThreadPoolExecutor
-
         from ..sources.stage import list_stage
 
-        listing = [(r["path"], r["name"]) for r in list_stage(self.spark, stage).where(F.col("name").endswith(".parquet")).collect()]
+        left = list_stage(self.spark, stage).where(~F.col("name").endswith(".parquet"))
+        some = [r["name"] for r in left.orderBy("name").limit(10).collect()]
+        if some:
+            raise ValueError(f"files of the stage that are not taken: {some}")
         found = self.spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(stage).schema
         base = self.current()
         want = self.schema() if base else found
@@ -244,12 +245,8 @@ class Table:
         extra = [n for n in found.names if n not in want.names]
         if wrong or extra:
             raise ValueError(f"files do not match the table: missing or retyped {wrong}, unknown {extra}")
-        load_id = new_load_id()
-        home = f"{self.path}/data/load_id={load_id}"
-        fs.make_dirs(self.spark, home)
-        with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda p: fs.copy_file(self.spark, p[0], f"{home}/{p[1].replace('/', '_')}"), listing))
-        return self.publish_append(load_id, want, as_of, "add files")
+        rows = self.spark.read.option("recursiveFileLookup", "true").schema(want).parquet(stage)
+        return self.append(rows, as_of, "add files")
 
 
 def new_load_id() -> str:

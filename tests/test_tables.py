@@ -224,3 +224,19 @@ def test_inferred_payload_schema(spark):
 def test_kafka_says_what_is_missing(spark):
     with pytest.raises(RuntimeError, match="kafka"):
         RS.kafka_messages(spark, "localhost:1", ["t"])
+
+
+def test_add_files_takes_every_file(spark, folder, tmp_path):
+    """Names that differ in a slash only are all taken; a file that isn't is an error."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    (tmp_path / "a").mkdir()
+    for name, values in (("a/b.parquet", [1, 2, 3]), ("a_b.parquet", [4, 5, 6, 7, 8])):
+        pq.write_table(pa.table({"k": pa.array(values, pa.int64())}), tmp_path / name)
+    t = Table(spark, folder("t"))
+    t.add_files(str(tmp_path), AS_OF)
+    assert sorted(r.k for r in t.read().collect()) == [1, 2, 3, 4, 5, 6, 7, 8]
+    pq.write_table(pa.table({"k": pa.array([9], pa.int64())}), tmp_path / "c.parq")
+    with pytest.raises(ValueError, match="c.parq"):
+        t.add_files(str(tmp_path), AS_OF)
