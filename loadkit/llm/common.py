@@ -26,17 +26,23 @@ def located(docs: DataFrame, name: str = "_locator") -> DataFrame:
     """`docs` with a column that names each row's place: file and row number in it.
 
     The place is the same whenever the files are read again, which a generated row number
-    is not. `docs` is a table read from files, with columns chosen or rows filtered at most;
-    a frame without files is written to the working folder first. A column of the caller's that has the locator's name is left out.
+    is not. `docs` is a table read from files, with columns chosen or rows filtered at most; a
+    frame without files is written to the working folder, once for each frame object, so that
+    every call for one object gives the same places. A column of the caller's that has the
+    locator's name is left out (`spare` finds a free one); one called `_metadata` stays as it is.
     """
-    docs = docs.drop(name)
-    place = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")).alias(name)
-    if "_metadata" not in docs.columns:
-        try:
-            return docs.select("*", place)
-        except AnalysisException:
-            pass
-    return staged(docs.withColumnRenamed("_metadata", "_metadata_"), "located").select("*", place)
+    try:
+        return _placed(docs, name)
+    except AnalysisException:
+        if getattr(docs, "_written", None) is None:
+            docs._written = staged(docs, "located")
+        return _placed(docs._written, name)
+
+
+def _placed(docs: DataFrame, name: str) -> DataFrame:
+    origin = docs.metadataColumn("_metadata")
+    place = F.concat_ws("#", origin["file_path"], origin["row_index"].cast("string")).alias(name)
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != name.lower()], place)
 
 
 def ship(spark: SparkSession) -> None:

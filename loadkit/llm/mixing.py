@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loadkit.session import staged
 
-from .common import WORD, forget, located, ship
+from .common import WORD, forget, located, ship, spare
 
 #: Weights of the sources in their order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -205,12 +205,15 @@ def draw(rng: np.random.Generator, counts: np.ndarray, n: int) -> np.ndarray:
 def mixed_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The mix itself: a row of `docs` for each drawn block, by shard and position.
 
-    A block that is taken in part keeps its text up to the end of its last word taken.
+    A block that is taken in part keeps its text up to the end of its last word taken. Columns of
+    any name come along as they are; nulls, ties, repeated rows and empty tables are as in `mix`.
     """
     _, drawn = mix(docs)
+    place = spare(docs)
     words = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     cut = F.array_join(F.slice(words, 1, F.col("_b.taken").cast("int")), "")
-    rows = located(docs).alias("_d").join(drawn.alias("_b"), F.col("_d._locator") == F.col("_b.locator"))
+    rows = located(docs, place).alias("_d").join(drawn.alias("_b"), F.col(f"_d.{place}") == F.col("_b.locator"))
     whole = F.when(F.col("_b.taken") < F.col("_b.size"), cut).otherwise(F.col(f"_d.{text}")).alias(text)
-    out = rows.select(*[whole if c == text else F.col(f"_d.`{c}`") for c in docs.columns], F.col("_b.shard").alias("_shard"), F.col("_b.position").alias("_position"))
-    return out.repartition("_shard").sortWithinPartitions("_shard", "_position").drop("_shard", "_position")
+    shard, position = spare(docs, "_shard"), spare(docs, "_position")
+    out = rows.select(*[whole if c == text else F.col(f"_d.`{c}`") for c in docs.columns], F.col("_b.shard").alias(shard), F.col("_b.position").alias(position))
+    return out.repartition(shard).sortWithinPartitions(shard, position).drop(shard, position)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadkit.session import staged
+from loadkit.session import release, staged
 
 from .common import by_batch, located, raw_texts, ship
 from .components import components
@@ -161,8 +161,10 @@ _PARTS, _WHOLE = 4, 5
 #: Smallest hashes in a text's sketch (a byte of each), and agreement that makes a first candidate.
 SKETCH, LEAST = 64, 0.65
 CELL, FEW = 2048, 4
-#: Counters of the shingles' rareness, and rows of a shingle's block at most, about.
-SLOTS, BUCKET = 1 << 18, 512
+#: Counters of the shingles' rareness, rows of a list's block at most, about, and rows of a label that get blocks of their own.
+SLOTS, BUCKET, OWN = 1 << 18, 512, 64
+#: Least bits of a parity sketch.
+PARITY = 2048
 _MULTIPLY = np.random.default_rng(SEED).integers(1, 2**63, SKETCH, dtype=np.uint64) | np.uint64(1)
 
 
@@ -196,6 +198,21 @@ def sketch(values: np.ndarray) -> bytes:
     return ((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes()
 
 
+def parity(values: np.ndarray) -> bytes:
+    """A bit for each of 2 len(values) or more slots of hashes, a power of two: whether an odd number
+    of values falls there. A value that only one of two sets has turns one bit, so the bits in which
+    two sketches differ are no more than such values. The larger of two sketches is folded."""
+    size = max(PARITY, 1 << (2 * len(values) - 1).bit_length())
+    slots = ((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+    return np.packbits(np.bincount(slots, minlength=size).astype(np.uint8) & 1).tobytes()
+
+
+def _folded(bits: np.ndarray) -> np.ndarray:
+    """Sketches of half the slots: neighbouring slots of the larger one fall together."""
+    pairs = np.unpackbits(bits, axis=1)
+    return np.packbits(pairs[:, 0::2] ^ pairs[:, 1::2], axis=1)
+
+
 def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFrame:
     """Every row of `docs`: locator, id, root. Rows of one root are linked by pairs of texts
     whose sets of five-word shingles have a similarity (shared by all) of 0.8 or more.
@@ -205,9 +222,12 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
     equal or adjoining tiles can hold similar texts. Of a pair of blocks' candidates a spanning
     forest of the most similar pairs, as sketches estimate it, is taken, so that a dense group
     gives as many pairs as members; each of its pairs is then checked on whole texts. These only
-    spare work: all pairs that they leave apart and that can be similar are found exactly, by
-    the rarest fifth of each text's shingles (see `remaining`), and checked on whole texts too,
-    so no link is lost. Texts without words are similar to each other. Equal rows are returned
+    spare work: what they leave apart is found exactly. Similar texts share one of their rarest
+    shingles (see `lists`). Where rows that are not linked yet meet at such a shingle, all their
+    pairs are compared by sketches that never call a similar pair unlike (see `open_pairs`), a
+    spanning forest of those left is checked on whole texts, and so on, without the pairs turned
+    down, until no pair is left. So no link is lost, and what is written stays in proportion to
+    the rows that meet. Texts without words are similar to each other. Equal rows are returned
     each, null ids as they are; an empty table gives an empty result.
     """
     placed = located(docs).select(F.col("_locator").alias("locator"), F.col(id_col).cast("long").alias("id"), F.col(text).alias("_text"))
@@ -216,27 +236,52 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
 
     def fn(batch):
         raws = raw_texts(batch.column("_text"))
-        fps, sizes, sketches, rarest = [], [], [], []
+        fps, sizes, sketches, parities, rarest = [], [], [], [], []
         for b in raws:  # one text's shingles at a time
             values = hashes(shingles(b))
             fps.append(set_fingerprint(values))
             sizes.append(len(values) if b.split(None, 1) else 0)
             sketches.append(sketch(values))
+            parities.append(parity(values))
             rarest.append(prefix(values, rareness).view(np.int64))
         return {
             "locator": batch.column("locator"), "id": batch.column("id"), "fp": pa.array(np.array(fps, np.uint64).view(np.int64)), "n": pa.array(sizes, pa.int64()),
-            "sketch": pa.array(sketches, pa.binary()), "rarest": pa.array(rarest, pa.list_(pa.int64())),
+            "sketch": pa.array(sketches, pa.binary()), "parity": pa.array(parities, pa.binary()), "rarest": pa.array(rarest, pa.list_(pa.int64())),
         }
 
-    made = by_batch(placed, ["locator", "id", "_text"], "locator string, id bigint, fp bigint, n bigint, sketch binary, rarest array<bigint>", fn)
+    made = by_batch(placed, ["locator", "id", "_text"], "locator string, id bigint, fp bigint, n bigint, sketch binary, parity binary, rarest array<bigint>", fn)
     rows = staged(made.withColumn("row", F.monotonically_increasing_id()), "simhash")
+    pairs = staged(_first_pairs(rows).withColumn("a_", F.least("a", "b")).select(F.col("a_").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    told = _checked(pairs, rows, placed)
+    met = staged(lists(rows), "lists")
+    found = staged(components(told.where("good").select("a", "b")).toDF("row", "root"), "near")
+    while True:
+        labelled = rows.join(found, "row", "left").select("row", F.greatest("n", F.lit(1)).alias("n"), F.coalesce("root", "row").alias("label"), "parity")
+        more = staged(open_pairs(met, labelled, told.where("NOT good").select("a", "b")).distinct(), "pairs")
+        if more.isEmpty():
+            release(more)
+            break
+        now = _checked(more, rows, placed)
+        linked_now = now.where("good").select("a", "b").union(found.toDF("a", "b"))
+        before, found = found, staged(components(linked_now).toDF("row", "root"), "near")
+        told = staged(told.union(now), "told")
+        release(before)
+        release(more)
+    release(met)
+    release(pairs)
+    return rows.join(found, "row", "left").select("locator", "id", F.coalesce("root", "row").alias("root"))
+
+
+def _first_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of rows whose fingerprints and sketches are near: enough to span what they connect, block by block."""
     tile = F.when(F.col("n") == 0, -1).otherwise(F.floor(F.log("n") / -np.log(SIMILARITY) + 1e-9)).cast("long")
     tiled = rows.select("row", "fp", "sketch", tile.alias("tile"))
+    # tiles are few whatever the table: their number is the logarithm of the largest text's shingles, to the base 1.25
     counts = tiled.groupBy("tile").agg(F.count(F.lit(1)).alias("m"))
     block = F.pmod(F.xxhash64("row"), F.ceil(F.col("m") / CELL)).alias("block")
-    dealt = tiled.join(counts, "tile").select("tile", block, F.struct("row", "fp", "sketch").alias("member"))
-    lists = dealt.groupBy("tile", "block").agg(F.collect_list("member").alias("m"))
-    blocks = staged(lists.select("tile", "block", F.col("m.row").alias("row"), F.col("m.fp").alias("fp"), F.col("m.sketch").alias("sketch")), "cells")
+    dealt = tiled.join(F.broadcast(counts), "tile").select("tile", block, F.struct("row", "fp", "sketch").alias("member"))
+    cells_of = dealt.groupBy("tile", "block").agg(F.collect_list("member").alias("m"))
+    blocks = staged(cells_of.select("tile", "block", F.col("m.row").alias("row"), F.col("m.fp").alias("fp"), F.col("m.sketch").alias("sketch")), "cells")
     both = F.array(F.col("tile"), F.col("tile") + 1)
     other = blocks.select(F.explode(both).alias("tile"), F.col("tile").alias("tile_a"), F.col("block").alias("block_a"), *[F.col(c).alias(f"{c}_a") for c in ("row", "fp", "sketch")])
     cells = other.join(blocks, "tile").where("tile <> tile_a OR block_a <= block").repartition("tile", "block", "tile_a", "block_a")
@@ -252,15 +297,7 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
             b.append(v)
         return {"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))}
 
-    found = by_batch(cells, names, "a bigint, b bigint", forest)
-    pairs = staged(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    near = components(_checked(pairs, rows, placed)).toDF("row", "root")
-    first = staged(near, "near")
-    held = rows.join(first, "row", "left").select("row", F.greatest("n", F.lit(1)).alias("n"), F.coalesce("root", "row").alias("label"), "rarest")
-    more = staged(remaining(held).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    links = first.toDF("a", "b").union(_checked(more, rows, placed))
-    roots = components(links).toDF("row", "root")
-    return rows.join(roots, "row", "left").select("locator", "id", F.coalesce("root", "row").alias("root"))
+    return by_batch(cells, names, "a bigint, b bigint", forest)
 
 
 def _rareness(texts: DataFrame) -> np.ndarray:
@@ -282,7 +319,7 @@ def _rareness(texts: DataFrame) -> np.ndarray:
 
 
 def _checked(pairs: DataFrame, rows: DataFrame, placed: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) of rows those whose whole texts are similar."""
+    """Pairs (a, b) of rows with `good`: whether their whole texts are similar. Written."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
     needed = ends.join(rows.select("row", "locator"), "row")
     held = staged(placed.select("locator", "_text").join(needed, "locator").select("row", "_text"), "texts")
@@ -294,48 +331,113 @@ def _checked(pairs: DataFrame, rows: DataFrame, placed: DataFrame) -> DataFrame:
             s, t = shingles(x), shingles(y)
             shared = len(s & t)
             good.append(shared >= SIMILARITY * (len(s) + len(t) - shared))
-        mask = pa.array(good, pa.bool_())
-        return {"a": batch.column("a").filter(mask), "b": batch.column("b").filter(mask)}
+        return {"a": batch.column("a"), "b": batch.column("b"), "good": pa.array(good, pa.bool_())}
 
-    return by_batch(texts, ["a", "b", "ta", "tb"], "a bigint, b bigint", verify)
+    told = staged(by_batch(texts, ["a", "b", "ta", "tb"], "a bigint, b bigint, good boolean", verify), "told")
+    release(held)
+    return told
 
 
-def remaining(rows: DataFrame) -> DataFrame:
-    """Rows (row, n, label, rarest) -> every pair (a, b) of different labels that can be similar.
+def lists(rows: DataFrame) -> DataFrame:
+    """Rows (row, rarest) -> (list, row): the rows that meet at one of their rarest shingles, two or more.
 
-    Similar texts share one of their rarest shingles, so pairs meet at a shingle. Shingles whose
-    rows have one label are left out. A shingle's rows are dealt over blocks of bounded size and
-    each pair of blocks is one row. Of a pair the shared ones among the rarest are counted: what
-    else it shares lies in the rest of one of its texts, so a pair for which both together are
-    too few is not similar, and no other pair is left out.
+    Of shingles that the very same rows have (a passage's) one stands for all; which those are
+    is told by two sums of the rows' hashes, 128 bits, and the number of rows.
     """
-    placed = rows.select("row", "n", "label", F.explode("rarest").alias("token"))
-    sizes = placed.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
-    met = placed.join(sizes.where("low <> high").select("token", "m"), "token")
-    block = F.pmod(F.xxhash64("row"), F.ceil(F.col("m") / BUCKET)).alias("block")
-    lists = met.select("token", block, "row", "n", "label").groupBy("token", "block").agg(F.collect_list(F.struct("row", "n", "label")).alias("m"))
-    blocks = staged(lists.select("token", "block", *[F.col(f"m.{c}").alias(c) for c in ("row", "n", "label")]), "buckets")
-    other = blocks.select("token", F.col("block").alias("block_a"), *[F.col(c).alias(f"{c}_a") for c in ("row", "n", "label")])
-    names = ["row_a", "n_a", "label_a", "row", "n", "label"]
-    cells = other.join(blocks, "token").where("block_a <= block")
+    placed = rows.select("row", F.explode("rarest").alias("token"))
+    x = F.xxhash64("row")
+    told = placed.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(x).alias("x"), F.bit_xor(F.xxhash64(x, F.lit(SEED))).alias("y")).where("m > 1")
+    chosen = told.groupBy("m", "x", "y").agg(F.min("token").alias("token")).select("token")
+    return placed.join(chosen, "token").select(F.col("token").alias("list"), "row")
+
+
+def open_pairs(met: DataFrame, rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Lists (list, row), rows (row, n, label, parity) and pairs turned down (a, b) -> pairs (a, b) to
+    check that span, block by block, all pairs of different labels that can be similar and were not turned down.
+
+    Lists whose rows have one label are left out. A list's rows are dealt over blocks of bounded
+    size, a label with many rows over blocks of its own: two of these are never compared. Each
+    other pair of blocks is one row, compared in full: similar sets of n and m shingles differ in
+    (n + m) / 9 at most, so sketches that differ in more bits tell that a pair is not similar.
+    """
+    no = rejected.select(F.col("a").alias("row"), "b").groupBy("row").agg(F.collect_list("b").alias("no"))
+    each = met.join(rows.select("row", "label"), "row")
+    counts = each.groupBy("list", "label").agg(F.count(F.lit(1)).alias("c"))
+    few = F.sum(F.when(F.col("c") <= OWN, F.col("c")).otherwise(0)).alias("few")
+    mixed = counts.groupBy("list").agg(few, F.count(F.lit(1)).alias("labels")).where("labels > 1").select("list", "few")
+    own = counts.join(mixed, "list").select("list", "label", F.when(F.col("c") > OWN, F.col("c")).alias("own"), "few")
+    dealt = each.join(own, ["list", "label"]).select(
+        "list", "row", F.when(F.col("own").isNull(), -1).otherwise(F.col("label")).alias("kind"),
+        F.when(F.col("own").isNull(), F.pmod(F.xxhash64("label"), F.ceil(F.col("few") / BUCKET))).otherwise(F.pmod(F.xxhash64("row"), F.ceil(F.col("own") / BUCKET))).alias("block"),
+    )
+    full = dealt.join(rows, "row").join(no, "row", "left")
+    columns = ["row", "n", "label", "parity", "no"]
+    members = full.groupBy("list", "kind", "block").agg(F.collect_list(F.struct("row", "n", "label", "parity", F.coalesce("no", F.array().cast("array<bigint>")).alias("no"))).alias("m"))
+    blocks = staged(members.select("list", "kind", "block", *[F.col(f"m.{c}").alias(c) for c in columns]), "buckets")
+    other = blocks.select("list", F.col("kind").alias("kind_a"), F.col("block").alias("block_a"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    cells = other.join(blocks, "list").where("(kind_a, block_a) <= (kind, block) AND (kind_a <> kind OR kind = -1)")
+    names = [*[f"{c}_a" for c in columns], *columns]
 
     def meet(batch):
-        found = []
+        a, b = [], []
         for parts in zip(*(batch.column(c) for c in names), strict=True):
-            ra, na, la, rb, nb, lb = (np.asarray(p.values, np.int64) for p in parts)
-            low, high = np.minimum(na[:, None], nb[None, :]), np.maximum(na[:, None], nb[None, :])
-            i, j = np.nonzero((la[:, None] != lb[None, :]) & (_WHOLE * low >= _PARTS * high))
-            a, b, x, y = ra[i], rb[j], na[i], nb[j]
-            turned = a > b
-            both = np.stack([np.where(turned, b, a), np.where(turned, a, b), np.where(turned, y, x), np.where(turned, x, y)])
-            found.append(np.unique(both, axis=1) if both.shape[1] else both)
-        pairs, counts = np.unique(np.concatenate(found, axis=1), axis=1, return_counts=True)
-        return {c: pa.array(v) for c, v in zip(("a", "b", "x", "y", "c"), [*pairs, counts], strict=True)}
-
-    counted = by_batch(cells, names, "a bigint, b bigint, x bigint, y bigint, c bigint", meet).groupBy("a", "b", "x", "y").agg(F.sum("c").alias("c"))
-    larger = F.greatest("x", "y")
-    rest = F.floor((_PARTS * larger + _WHOLE - 1) / _WHOLE) - 1
-    return counted.where((F.col("c") + rest) * (_PARTS + _WHOLE) >= _PARTS * (F.col("x") + F.col("y"))).select("a", "b")
+            (ra, na, la), (rb, nb, lb) = ([np.asarray(p.values, np.int64) for p in parts[k : k + 3]] for k in (0, 5))
+            i, j = np.nonzero((la[:, None] != lb[None, :]) & (_WHOLE * np.minimum(na[:, None], nb[None, :]) >= _PARTS * np.maximum(na[:, None], nb[None, :])))
+            gone = _turned_down(ra, rb, parts[4], parts[9])
+            if len(gone):
+                keep = ~np.isin(i * len(rb) + j, gone)
+                i, j = i[keep], j[keep]
+            apart = _differing(parts[3].as_py(), parts[8].as_py(), i, j)
+            near = 9 * apart <= na[i] + nb[j]
+            u, v = spanning_pairs(ra, rb, i[near], j[near], apart[near] / (na[i[near]] + nb[j[near]]))
+            a.append(np.minimum(u, v))
+            b.append(np.maximum(u, v))
+        return {"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))}
+
+    return by_batch(cells, names, "a bigint, b bigint", meet)
+
+
+def _turned_down(ra: np.ndarray, rb: np.ndarray, no_a, no_b) -> np.ndarray:
+    """Pairs turned down, as i * len(rb) + j; each stands at the smaller of its rows."""
+    out = []
+    for rows, lists_, others, turned in ((ra, no_a, rb, False), (rb, no_b, ra, True)):
+        partner = np.asarray(lists_.values.flatten(), np.int64)
+        if not len(partner):
+            continue
+        owner = np.repeat(np.arange(len(rows)), np.diff(np.asarray(lists_.values.offsets)))
+        order = np.argsort(others)
+        at = np.searchsorted(others[order], partner)
+        hit = (at < len(others)) & (others[order][np.minimum(at, len(others) - 1)] == partner)
+        mine, theirs = owner[hit], order[at[hit]]
+        out.append(theirs * len(rb) + mine if turned else mine * len(rb) + theirs)
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def _differing(xs: list[bytes], ys: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits in which sketches i of xs and j of ys differ, at the size of the smaller one."""
+    out = np.zeros(len(i), np.int64)
+    size_x, size_y = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
+    for width in sorted({*size_x.tolist(), *size_y.tolist()}):
+        some = np.nonzero(np.minimum(size_x[i], size_y[j]) == width)[0]
+        if not len(some):
+            continue
+        left, right = (_of_width(v, width) for v in (xs, ys))
+        step = max(1, (1 << 22) // width)
+        for at in range(0, len(some), step):
+            k = some[at : at + step]
+            out[k] = np.bitwise_count(left[0][left[1][i[k]]] ^ right[0][right[1][j[k]]]).sum(axis=1)
+    return out
+
+
+def _of_width(sketches: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of `width` bytes and those of twice that, folded, as words; and where each of `sketches` is among them."""
+    place, made = np.full(len(sketches), -1), []
+    for times in (1, 2):
+        some = [k for k, s in enumerate(sketches) if len(s) == times * width]
+        place[some] = np.arange(len(some)) + sum(map(len, made))
+        bits = np.frombuffer(b"".join(sketches[k] for k in some), np.uint8).reshape(len(some), times * width)
+        made.append((_folded(bits) if times == 2 and len(some) else bits[:, :width]).copy().view(np.uint64))
+    return np.concatenate(made), place
 
 
 def closest_forest(ra, fa, sa, rb, fb, sb) -> tuple[np.ndarray, np.ndarray]:
@@ -359,6 +461,19 @@ def closest_forest(ra, fa, sa, rb, fb, sb) -> tuple[np.ndarray, np.ndarray]:
         few = order[np.arange(len(order)) - np.searchsorted(sorted_u, sorted_u) < FEW]
         chosen.append((rows[us[-1][few]], rows[vs[-1][few]]))
     u, v, d = np.concatenate(us), np.concatenate(vs), np.concatenate(ds)
+    chosen.append(_forest(rows, u, v, d))
+    return np.concatenate([c[0] for c in chosen]), np.concatenate([c[1] for c in chosen])
+
+
+def spanning_pairs(ra, rb, i, j, d) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs (ra[i], rb[j]), the closest first."""
+    rows, index = np.unique(np.concatenate([ra, rb]), return_inverse=True)
+    u, v = index[: len(ra)][i], index[len(ra) :][j]
+    return _forest(rows, u, v, d)
+
+
+def _forest(rows: np.ndarray, u: np.ndarray, v: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    chosen = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     rank = np.empty(len(u), np.int64)
     rank[np.argsort(d, kind="stable")] = np.arange(len(u))
     label = np.arange(len(rows))
@@ -380,5 +495,4 @@ def closest_forest(ra, fa, sa, rb, fb, sb) -> tuple[np.ndarray, np.ndarray]:
             label, x, y = low[label], low[x], low[y]
         keep = label[u] != label[v]
         u, v, rank = u[keep], v[keep], rank[keep]
-    none = np.zeros(0, np.int64)
-    return np.concatenate([c[0] for c in chosen] or [none]), np.concatenate([c[1] for c in chosen] or [none])
+    return np.concatenate([c[0] for c in chosen]), np.concatenate([c[1] for c in chosen])

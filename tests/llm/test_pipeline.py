@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline as P
+import numpy as np
 from loadkit.llm import simhash
 from pyspark.sql import functions as F
 
@@ -53,10 +54,7 @@ def test_similar_documents_against_all_pairs(spark):
         got = {r.id: r.root for r in simhash.similar_documents(df).collect()}
         want = plain_groups(texts)
         assert len(got) == len(texts)
-        pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
-        assert all((got[i] == got[j]) <= (want[i] == want[j]) for i, j in pairs)
-        true = sum(want[i] == want[j] for i, j in pairs)
-        assert sum(got[i] == got[j] for i, j in pairs) >= 0.97 * true
+        assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(texts)) for j in range(i))
 
 
 def test_stages_on_the_given_table(spark):
@@ -79,9 +77,7 @@ def test_stages_on_the_given_table(spark):
     apart = stages["simhash"](spark, docs, SF)
     ids = sorted(before)
     groups = plain_groups([before[i].text for i in ids])
-    least = {ids[g] for g in groups}
-    got = {r.doc_id for r in apart.collect()}
-    assert least <= got and len(got) <= 1.03 * len(least)
+    assert sorted(r.doc_id for r in apart.collect()) == sorted({ids[g] for g in groups})
 
 
 def test_odd_rows_through_all_stages(spark, folder):
@@ -98,7 +94,9 @@ def test_odd_rows_through_all_stages(spark, folder):
             out = fn(spark, docs, path)
             assert out.columns == docs.columns, stage
             out.collect()
-        assert P.run(spark, path).count() == (0 if name == "none" else P.run(spark, path).count())
+        packed = P.run(spark, path).collect()
+        held = {r.doc_id for r in packed}
+        assert held <= {3, 5, 6, None} and bool(held) == (name == "some")
 
 
 def test_run_packs_the_mix(spark):
@@ -170,3 +168,31 @@ def test_repeated_lines_hide_no_copy(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.id: r.root for r in simhash.similar_documents(df).collect()}
     assert all(got[i] == got[i + 1] for i in range(0, len(texts), 2)) and len(set(got.values())) == len(texts) // 2
+
+
+def test_created_frames_lose_no_row(spark):
+    """A frame that is no table of files has one set of places, however often it is asked for; columns of such names stay."""
+    rows = [(1, "a b c d e f", "s", "mine", "m"), (2, "a B c d e f", "t", "yours", "n"), (3, "z y x w v u", None, "ours", "o")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _locator string, _metadata string")
+    assert sorted(r.doc_id for r in P.drop_copies(spark, docs, SF).collect()) == [2, 3]
+    assert sorted(r.doc_id for r in P.drop_near_copies(spark, docs, SF).collect()) == [1, 3]
+    mixed = P.mix_sources(spark, docs, SF)
+    assert mixed.columns == docs.columns
+    held = {(r.doc_id, r._locator, r._metadata) for r in mixed.collect()}
+    assert held and held <= {(1, "mine", "m"), (2, "yours", "n"), (3, "ours", "o")} and {i for i, *_ in held} == {1, 2, 3}
+
+
+def plain_parity_bound(a, b):
+    x, y = (simhash.hashes(simhash.shingles(" ".join(t).encode())) for t in (a, b))
+    (apart,) = simhash._differing([simhash.parity(x)], [simhash.parity(y)], np.array([0]), np.array([0]))
+    return int(apart), len(set(x.tolist()) ^ set(y.tolist()))
+
+
+def test_parity_sketches_never_exceed_the_difference():
+    rng = random.Random(3)
+    for n in (1, 3, 40, 600, 1020, 1030, 3000, 5000):
+        for share in (0, 0.1, 0.5, 1):
+            a = [f"w{rng.randrange(5000)}" for _ in range(n)]
+            b = [w if rng.random() > share else f"x{rng.random()}" for w in a][: max(1, int(n * rng.choice([1, 0.9, 0.6])))]
+            apart, true = plain_parity_bound(a, b)
+            assert apart <= true and (apart > 0 or true < 5) and apart % 2 == true % 2
