@@ -199,15 +199,22 @@ def clone_schema(df: DataFrame) -> DataFrame:
 # ---- commits to a Table --------------------------------------------------------------------
 
 
-def apply(table: Table, build, as_of, operation="merge") -> DataFrame:
-    """Run build(current rows) -> merged rows and publish them as the next version.
+def apply(table: Table, build, as_of, operation="merge", source: DataFrame | None = None) -> DataFrame:
+    """Run build(current rows) -> merged rows and publish them as the next version; rows by action.
+
+    A table in folders (see folders) whose key `source` has is changed in the folders that
+    the source's keys lie in, and build sees the rows of those. Any other table is written anew.
 
     The surviving rows are written once, with their action as an extra column that readers
     of the table never select. Counts by action come from that one column; deleted rows are
     those missing from the arithmetic. The version fails to publish if another writer was
     first, so no change is lost.
     """
+    from . import folders
+
     base = table.current()
+    if folders.is_foldered(base) and source is not None and base["layout_key"] in source.columns:
+        return folders.change(table, build, as_of, operation, source, base=base).counts(table.spark)
     merged = build(table.read(base["snapshot_id"]))
     load_id = new_load_id()
     survivors = merged.where(F.col("_action") != _DELETE)
@@ -220,18 +227,33 @@ def apply(table: Table, build, as_of, operation="merge") -> DataFrame:
     return table.spark.createDataFrame([(a, n[a]) for a in (_INSERT, _UPDATE, _DELETE) if n.get(a)], "_action string, row_count bigint")
 
 
-def replace_rows(table: Table, build, as_of, operation: str) -> int:
-    """Publish build(current rows) as the next version (DELETE, UPDATE)."""
+def replace_rows(table: Table, build, as_of, operation: str, condition: Column | None = None) -> int:
+    """Publish build(current rows) as the next version (DELETE, UPDATE).
+
+    `condition` holds for all rows that build changes or drops: of a table in folders only
+    those with such rows are written.
+    """
+    from . import folders
+
     base = table.current()
+    if folders.is_foldered(base) and condition is not None:
+        folders.change(table, build, as_of, operation, condition=condition, base=base)
+        return table.current()["snapshot_id"]
     return table.overwrite(build(table.read(base["snapshot_id"])), as_of, operation, base)
 
 
 def archive(table: Table, archived_to: Table, condition: Column, ts: str, as_of, days=30) -> None:
     """Append old rows to the archive, then drop them; a crash in between leaves them in both, never in none."""
+    from . import folders
+
     base = table.current()
     remaining, old = archive_split(table.read(base["snapshot_id"]), condition, ts, as_of, days)
     archived_to.append(old, as_of, "archive")
-    table.overwrite(remaining, as_of, "archive", base)
+    if folders.is_foldered(base):
+        gone = condition & older(ts, as_of, days=days)
+        folders.change(table, lambda now: archive_split(now, condition, ts, as_of, days)[0], as_of, "archive", condition=gone, base=base)
+    else:
+        table.overwrite(remaining, as_of, "archive", base)
 
 
 def load_audit(counts: DataFrame, job: str, table_name: str, as_of) -> DataFrame:
@@ -253,7 +275,7 @@ def load_incremental(spark, table: Table, staging: Table, stage, fmt, columns, k
     source = staging.read()
     if table.current() is None:
         table.append(clone_schema(source), as_of, "create")
-    counts = apply(table, lambda t: upsert(t, source, key, order_by), as_of)
+    counts = apply(table, lambda t: upsert(t, source, key, order_by), as_of, source=source)
     n = source.agg(rows("rows_staged"))
     audit = load_audit(counts, "load_incremental", table.path.rsplit("/", 1)[-1], as_of)
     return audit.withColumn("rows_staged", n.scalar())

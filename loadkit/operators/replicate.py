@@ -23,7 +23,7 @@ def replicate(source: DataFrame, table: Table, as_of, mode: str, primary_key: st
         base = table.current()
         target = table.read(base["snapshot_id"])
         fresh = newer_than_target(source, target, update_key)
-        M.apply(table, lambda t: M.upsert(t, fresh, primary_key, update_key), as_of, "incremental")
+        M.apply(table, lambda t: M.upsert(t, fresh, primary_key, update_key), as_of, "incremental", fresh)
         return table.current()["snapshot_id"]
     raise ValueError("mode is full-refresh, incremental or snapshot")
 

@@ -6,6 +6,9 @@ Layout of a table at `path`:
     snapshots/<n>.json        one line: which load directories make up version n
     history/load_id=<id>/...  per-file load reports (see ledger)
 
+A table in folders (see folders) lists `<id>/_part=<n>` in place of whole load directories, with
+the lower bound and the rows of each.
+
 A version becomes visible by the creation of its snapshot file, so readers see all of a
 write or nothing, and data left behind by a failed job is never part of any version.
 """
@@ -22,7 +25,8 @@ from ..sources import fs
 
 SNAPSHOT_SCHEMA = (
     "snapshot_id bigint, parent_id bigint, committed_at timestamp_ntz, operation string, load_id string, "
-    "load_ids array<string>, rows bigint, files bigint, schema_json string, partition_by array<string>"
+    "load_ids array<string>, rows bigint, files bigint, schema_json string, partition_by array<string>, "
+    "layout_key string, lows array<string>, part_rows array<bigint>, folder_rows bigint"
 )
 
 
@@ -62,7 +66,11 @@ class Table:
 
     def schema(self) -> T.StructType | None:
         now = self.current()
-        return T.StructType.fromJson(json.loads(now["schema_json"])) if now else None
+        return self.schema_of(now) if now else None
+
+    @staticmethod
+    def schema_of(version: dict) -> T.StructType:
+        return T.StructType.fromJson(json.loads(version["schema_json"]))
 
     # ---- reading ---------------------------------------------------------------------
 
@@ -98,16 +106,19 @@ class Table:
             writer = writer.option("maxRecordsPerFile", max_records)
         writer.parquet(f"{self.path}/data/load_id={load_id}")
 
-    def commit(self, load_ids, schema: T.StructType, as_of, operation: str, load_id: str, base: dict | None, partition_by=()) -> int:
-        """Publish a version on top of `base`. Fails if somebody else published first."""
+    def commit(self, load_ids, schema: T.StructType, as_of, operation: str, load_id: str, base: dict | None, partition_by=(), layout: dict | None = None) -> int:
+        """Publish a version on top of `base`. Fails if somebody else published first.
+
+        `layout` describes folders; their rows are known, and `files` then counts folders.
+        """
         number = (base["snapshot_id"] if base else 0) + 1
         # counted from footers of the new directory only, added to the base for appends
-        rows, files = self._count_of(load_ids, schema, base)
+        rows, files = self._count_of(load_ids, schema, base) if layout is None else (sum(layout["part_rows"]), len(load_ids))
         line = json.dumps({
             "snapshot_id": number, "parent_id": base["snapshot_id"] if base else None,
             "committed_at": as_datetime(as_of).isoformat(), "operation": operation, "load_id": load_id, "load_ids": list(load_ids),
             "rows": rows, "files": files, "schema_json": json.dumps(_nullable(schema).jsonValue()),
-            "partition_by": list(partition_by) or (base["partition_by"] if base else []),
+            "partition_by": list(partition_by) or (base["partition_by"] if base else []), **(layout or {}),
         })
         if not fs.create_once(self.spark, f"{self.path}/snapshots/{number:010d}.json", line):
             raise ConcurrentCommit(f"version {number} of {self.path} exists already")
@@ -126,8 +137,12 @@ class Table:
 
     def append(self, df: DataFrame, as_of, operation="append", load_id=None, partition_by=(), attempts=10) -> int:
         """Add rows. Appends by several writers do not conflict: the commit is retried on the newer version."""
+        from . import folders
+
         load_id = load_id or new_load_id()
         base = self.current()
+        if folders.is_foldered(base):
+            return folders.append(self, df, as_of, operation, load_id, attempts)
         partition_by = tuple(partition_by) or tuple(base["partition_by"] if base else ())
         self.write_data(df, load_id, partition_by)
         return self.publish_append(load_id, df.schema, as_of, operation, partition_by, attempts)
@@ -135,11 +150,13 @@ class Table:
     def publish_append(self, load_id, schema, as_of, operation="append", partition_by=(), attempts=10, has_data=True) -> int:
         for _ in range(attempts):
             base = self.current()
-            old = T.StructType.fromJson(json.loads(base["schema_json"])) if base else None
+            if has_data and base and base["layout_key"]:
+                raise ValueError(f"{self.path} is in folders: rows are added by append")
+            old = self.schema_of(base) if base else None
             merged = merge_schemas(old, schema) if old else schema
             ids = (base["load_ids"] if base else []) + ([load_id] if has_data else [])
             try:
-                return self.commit(ids, merged, as_of, operation, load_id, base, partition_by)
+                return self.commit(ids, merged, as_of, operation, load_id, base, partition_by, layout=_layout_of(base))
             except ConcurrentCommit:
                 continue
         raise ConcurrentCommit(f"gave up committing to {self.path} after {attempts} attempts")
@@ -163,7 +180,7 @@ class Table:
         """Schema-only version: old files simply lack the columns and read as NULL."""
         base = self.current()
         schema = T.StructType(self.schema().fields + list(fields))
-        return self.commit(base["load_ids"], schema, as_of, "add columns", new_load_id(), base)
+        return self.commit(base["load_ids"], schema, as_of, "add columns", new_load_id(), base, layout=_layout_of(base))
 
     def committed_loads(self) -> DataFrame:
         """Ids of all loads ever published, those of expired versions included."""
@@ -249,6 +266,10 @@ class Table:
         return self.append(rows, as_of, "add files")
 
 
+def _layout_of(version: dict | None) -> dict | None:
+    return {k: version[k] for k in ("layout_key", "lows", "part_rows", "folder_rows")} if version and version["layout_key"] else None
+
+
 def new_load_id() -> str:
     return uuid.uuid4().hex
 

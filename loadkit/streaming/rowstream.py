@@ -131,7 +131,8 @@ def new_loads(table: Table, consumer: str) -> list[str]:
     """Published loads of appended data that this consumer has not handled."""
     from ..sources import fs
 
-    appended = table.snapshots().where(F.col("operation").isin("append", "copy", "stream", "add files") & F.array_contains("load_ids", F.col("load_id")))
+    whole = F.exists("load_ids", lambda i: (i == F.col("load_id")) | i.startswith(F.concat("load_id", F.lit("/"))))
+    appended = table.snapshots().where(F.col("operation").isin("append", "copy", "stream", "add files") & whole)
     done = f"{table.path}/consumers/{consumer}"
     if fs.exists(table.spark, done):
         appended = appended.join(table.spark.read.schema("load_id string").json(done), "load_id", "left_anti")
@@ -178,7 +179,7 @@ def cdc_merge_stream(documents: DataFrame, table: Table, content: str, key: str,
     def apply(batch: DataFrame, _: int) -> None:
         changes = staged(M.cdc_changes(batch, content, key, columns), "changes")
         if not changes.isEmpty():
-            M.apply(table, lambda now: M.merge_cdc(now, changes, key), as_of, "cdc merge")
+            M.apply(table, lambda now: M.merge_cdc(now, changes, key), as_of, "cdc merge", changes)
         release(changes)
 
     writer = documents.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
@@ -194,7 +195,7 @@ def late_merge_stream(source: DataFrame, table: Table, key: str, event_time: str
             return release(rows)
         if table.current() is None:
             table.append(M.clone_schema(rows), as_of, "create")
-        M.apply(table, lambda now: M.upsert(now, rows, key, event_time), as_of, "late merge")
+        M.apply(table, lambda now: M.upsert(now, rows, key, event_time), as_of, "late merge", rows)
         release(rows)
 
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
