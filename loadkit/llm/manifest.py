@@ -154,11 +154,11 @@ def siblings(known: dict, level: int, low: int, high: int, n: int, top: int) ->
     return out
 
 
-def proofs(blocks: list[DataFrame], roots: DataFrame, levels: int = LEVELS) -> DataFrame:
+def proofs(blocks: list[DataFrame], roots: DataFrame | None = None, levels: int = LEVELS) -> DataFrame:
     """Every leaf: tree, rank, digest, the columns kept, sides and siblings (a letter and, but for the
     lone, a digest of 64 digits for each level up to the root of all).
 
-    roots: (tree, above_sides, above_siblings) tells what stands above each tree's root. From the
+    roots: (tree, above_sides, above_siblings) tells what stands above each tree's root; None: nothing. From the
     highest bucket down, each block is joined with the block of the next bucket whose interval
     contains its own; the siblings of its top there, and what stands above that, become its own.
     `levels` is that of `build`.
@@ -168,7 +168,8 @@ def proofs(blocks: list[DataFrame], roots: DataFrame, levels: int = LEVELS) -> D
     above = None
     for bucket in reversed(range(len(blocks))):
         b = blocks[bucket]
-        ends = b.where(_WHOLE).join(roots, "tree")
+        ends = b.where(_WHOLE)
+        ends = ends.join(roots, "tree") if roots is not None else ends.withColumns({"above_sides": F.lit(""), "above_siblings": F.lit("")})
         if above is not None:
             shift = levels * (bucket + 2)
             a = above.select("tree", F.shiftright("low", shift).alias("at"), F.col("low").alias("outer_low"), F.col("high").alias("outer_high"), F.col("nodes").alias("outer"), "above_sides", "above_siblings")
@@ -265,8 +266,7 @@ def manifest(docs: DataFrame, tree: str, order: str, columns: list[str], altered
         subroots = subroots.union(more)
     over = build(ranked(subroots.select(F.lit(TOP).alias("all"), F.col("tree").alias("name"), "digest"), "all", ["name"]).withColumnRenamed("all", "tree"), ["name"], levels)
     root = over[-1].select(F.element_at("nodes", -1)["digest"].alias("root"))
-    none = docs.sparkSession.range(1).select(F.lit(TOP).alias("tree"), F.lit("").alias("above_sides"), F.lit("").alias("above_siblings"))
-    above = proofs(over, none, levels)
+    above = proofs(over, levels=levels)
     ends = staged(above.select(F.col("name").alias("tree"), F.col("digest").alias("subroot"), F.col("sides").alias("above_sides"), F.col("siblings").alias("above_siblings")), "subroots")
     found = proofs(blocks, ends.drop("subroot"), levels)
     found = found.join(ends.select("tree", "subroot"), "tree").withColumn("root", F.lit(root.first()["root"]))
