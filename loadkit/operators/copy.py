@@ -22,7 +22,7 @@ from ..session import release, staged
 from ..sources import fs
 from ..sources.formats import FileFormat, reader
 from ..sources.stage import file_name, list_stage, number_in_file, rows_by_file, select_files, untracked, with_row_number
-from . import ledger
+from . import folders, ledger
 from .versioned import Table, cluster, new_load_id
 
 # Default policy and the policy by environment.
@@ -116,7 +116,7 @@ def _text_schema(names) -> T.StructType:
 def scan(load, root: str, fmt: FileFormat, cols: Columns) -> DataFrame:
     """Raw rows with `_file`, `_block`, `_size` and, for text formats, `_corrupt`.
 
-    `load(kind, options, schema)` reads the files, once (spark.read) or as a stream.
+    `load(kind, options, schema)` reads the files.
     """
     names = [f.name for f in cols.schema]
     whole_lines = fmt.kind == "json" and not (fmt.multi_line or fmt.strip_outer_array) and (cols.raw_column or cols.match == "CASE_INSENSITIVE")
@@ -408,32 +408,32 @@ def copy_into(
 def load_files(
     spark, table, stage, fmt, cols, as_of, chosen, *, on_error, select=None, where=None, distinct=False, target_columns=None,
     audit=False, purge=False, return_failed_only=False, table_name="table", pipe=None, partition_by=(), cluster_by=(), load_id=None, paths=(),
-    work=None,
+    stream=None,
 ) -> DataFrame:
-    """The load proper, for files already chosen or rows already parsed and stored (`work`)."""
+    """The load proper, for files already chosen. `stream` (name, batch) is published with the rows."""
     load_id = load_id or new_load_id()
     policy = Policy.parse(on_error)
-    broken = None
-    if work is None and not fmt.text:
+    broken = work = None
+    if not fmt.text:
         broken = unreadable_files(spark, list(paths), stage, fmt, chosen)
         dead = {r["path"] for r in broken.select("path").collect()}
         paths = [p for p in paths if p not in dead]
         broken = broken if dead else None
         if dead and policy.kind == "ABORT_STATEMENT":
             raise LoadAborted(f"{table_name}: {len(dead)} files cannot be read, first {sorted(dead)[0]}")
-    if work is None and paths and trusted(spark, list(paths), fmt, cols, select, where, audit):
+    if paths and trusted(spark, list(paths), fmt, cols, select, where, audit):
         try:
             return _load_trusted(
                 spark, table, stage, fmt, cols, as_of, chosen, list(paths), policy, broken, distinct=distinct, target_columns=target_columns,
                 return_failed_only=return_failed_only, purge=purge, table_name=table_name, pipe=pipe, partition_by=partition_by,
-                cluster_by=cluster_by, load_id=load_id)
+                cluster_by=cluster_by, load_id=load_id, stream=stream)
         except UNREADABLE as error:
             if not _is_read_error(error):
                 raise
             # a file is damaged inside: nothing was published; the checked way below finds out which one
             load_id = new_load_id()
     copy = None
-    if work is None and paths:
+    if paths:
         with _duplicate_keys(spark, fmt):
             copy = staged(parse_all(spark, list(paths), stage, fmt, cols), "parsed")
         work = _drop_header_rows(copy, fmt)
@@ -457,7 +457,7 @@ def load_files(
             skipped = report.where("status = 'LOAD_FAILED'").select(F.col("file_name").alias("_file"))
             good = good.join(skipped, "_file", "left_anti")
         rows = _project(work, good, cols, select, where, distinct, target_columns, audit, as_of)
-        _publish(table, rows, load_id, as_of, partition_by, cluster_by)
+        _publish(table, rows, load_id, as_of, partition_by, cluster_by, stream)
     finally:
         # the report is read from the history, so the parsed copy has served
         if copy is not None:
@@ -477,11 +477,14 @@ def _abort_on_error(policy: Policy, report: DataFrame, table_name: str) -> None:
             f"column {first['first_error_column_name']}")
 
 
-def _publish(table: Table, rows: DataFrame, load_id: str, as_of, partition_by, cluster_by) -> None:
+def _publish(table: Table, rows: DataFrame, load_id: str, as_of, partition_by, cluster_by, stream=None) -> None:
     if cluster_by:
         rows = cluster(rows, cluster_by)
+    if folders.is_foldered(table.current()):
+        table.append(rows, as_of, "copy", load_id, stream=stream)
+        return
     table.write_data(rows, load_id, partition_by)
-    table.publish_append(load_id, rows.schema, as_of, "copy", partition_by)
+    table.publish_append(load_id, rows.schema, as_of, "copy", partition_by, stream=stream)
 
 
 def _purge(spark: SparkSession, report: DataFrame, chosen: DataFrame) -> None:
@@ -513,7 +516,7 @@ def trusted(spark, paths: list[str], fmt: FileFormat, cols: Columns, select, whe
 
 def _load_trusted(
     spark, table, stage, fmt, cols, as_of, chosen, paths, policy, broken, *, distinct, target_columns, return_failed_only, purge, table_name,
-    pipe, partition_by, cluster_by, load_id,
+    pipe, partition_by, cluster_by, load_id, stream=None,
 ) -> DataFrame:
     """Columnar load without a working copy: counts come from footers, rows are written straight from the source."""
     source = reader(spark, fmt, mergeSchema="true").load(paths)
@@ -530,7 +533,7 @@ def _load_trusted(
     report = ledger.record(table, _report_rows(splits, no_errors, chosen, policy, as_of, table_name, stage, pipe, broken), load_id)
     if target_columns:
         rows = rows.toDF(*target_columns)
-    _publish(table, rows.dropDuplicates() if distinct else rows, load_id, as_of, partition_by, cluster_by)
+    _publish(table, rows.dropDuplicates() if distinct else rows, load_id, as_of, partition_by, cluster_by, stream)
     if purge:
         _purge(spark, report, chosen)
     return ledger.load_report(report, return_failed_only)

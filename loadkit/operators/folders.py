@@ -165,7 +165,7 @@ def change(
     return Written(actions, len(found), len(kept), len(hit))
 
 
-def append(table: Table, rows: DataFrame, as_of, operation: str, load_id: str, attempts: int = 10) -> int:
+def append(table: Table, rows: DataFrame, as_of, operation: str, load_id: str, attempts: int = 10, stream=None) -> int:
     """Add rows as folders of their own beside those of the same ranges; the next change of a range joins them."""
     base = table.current()
     now = _Now(table, base)
@@ -177,7 +177,7 @@ def append(table: Table, rows: DataFrame, as_of, operation: str, load_id: str, a
         lows = [[None, *now.bounds][p] for p, _ in found]
         layout = _layout(now.key, base["lows"] + lows, base["part_rows"] + [sum(n.values()) for _, n in found], base["folder_rows"])
         try:
-            return table.commit(base["load_ids"] + [f"{load_id}/_part={p}" for p, _ in found], merge_schemas(table.schema_of(base), rows.schema), as_of, operation, load_id, base, layout=layout)
+            return table.commit(base["load_ids"] + [f"{load_id}/_part={p}" for p, _ in found], merge_schemas(table.schema_of(base), rows.schema), as_of, operation, load_id, base, layout=layout, stream=stream)
         except ConcurrentCommit:
             continue
     raise ConcurrentCommit(f"gave up committing to {table.path}")

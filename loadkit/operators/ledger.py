@@ -20,22 +20,39 @@ HISTORY_SCHEMA = (
 
 
 def record(table: Table, rows: DataFrame, load_id: str) -> DataFrame:
-    """Store the rows of one load and return them as stored."""
-    path = f"{table.path}/history/load_id={load_id}"
-    rows.drop("load_id").write.mode("overwrite").parquet(path)
-    return _read(table, [path])
+    """Store the rows of one load, by the day the files were last changed, and return them as stored.
 
+    Whoever looks for a file reads the days of its change only, however long the history is.
+    """
+    root = f"{table.path}/history"
+    day = F.coalesce(F.date_format("file_modified", "yyyy-MM-dd"), F.lit("none"))
+    out = rows.drop("load_id").withColumns({"file_day": day, "load_id": F.lit(load_id)})
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_day", "load_id").parquet(root)
+    return _read(table, [f"{root}/{d}/load_id={load_id}" for d in _days(table) if fs.exists(table.spark, f"{root}/{d}/load_id={load_id}")])
 
-def _read(table: Table, paths) -> DataFrame:
-    return table.spark.read.schema(HISTORY_SCHEMA).option("basePath", f"{table.path}/history").parquet(*paths)
 
+def _days(table: Table) -> list[str]:
+    return [d for d in fs.children(table.spark, f"{table.path}/history") if d.startswith("file_day=")]
 
-def history(table: Table, committed_only: bool = True) -> DataFrame:
-    """Load history of a table. Rows of loads that never published a version do not count."""
-    if not fs.children(table.spark, f"{table.path}/history"):
+
+def _read(table: Table, paths: list[str]) -> DataFrame:
+    if not paths:
         return table.spark.createDataFrame([], HISTORY_SCHEMA)
-    rows = _read(table, [f"{table.path}/history"])
-    return rows.join(table.committed_loads(), "load_id", "left_semi") if committed_only else rows
+    rows = table.spark.read.schema(HISTORY_SCHEMA + ", file_day string").option("basePath", f"{table.path}/history").parquet(*paths)
+    return rows.drop("file_day")
+
+
+def history(table: Table, committed_only: bool = True, days: list[str] | None = None) -> DataFrame:
+    """Load history of a table, or its part on files last changed on some days (`yyyy-MM-dd`).
+
+    Rows of loads that never published a version do not count; which did is looked up only if there are rows.
+    """
+    known = _days(table)
+    chosen = known if days is None else [d for d in known if d in {f"file_day={x}" for x in days} | {"file_day=none"}]
+    rows = _read(table, [f"{table.path}/history/{d}" for d in chosen])
+    if not committed_only or not chosen or (days is not None and rows.isEmpty()):
+        return rows
+    return rows.join(table.committed_loads(), "load_id", "left_semi")
 
 
 def load_report(history_rows: DataFrame, return_failed_only: bool = False) -> DataFrame:

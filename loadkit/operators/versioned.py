@@ -4,7 +4,7 @@ Layout of a table at `path`:
 
     data/load_id=<id>/...     immutable Parquet written by one ordinary Spark job
     snapshots/<n>.json        one line: which load directories make up version n
-    history/load_id=<id>/...  per-file load reports (see ledger)
+    history/file_day=<day>/load_id=<id>/...  per-file load reports (see ledger)
 
 A table in folders (see folders) lists `<id>/_part=<n>` in place of whole load directories, with
 the lower bound and the rows of each.
@@ -26,7 +26,7 @@ from ..sources import fs
 SNAPSHOT_SCHEMA = (
     "snapshot_id bigint, parent_id bigint, committed_at timestamp_ntz, operation string, load_id string, "
     "load_ids array<string>, rows bigint, files bigint, schema_json string, partition_by array<string>, "
-    "layout_key string, lows array<string>, part_rows array<bigint>, folder_rows bigint"
+    "layout_key string, lows array<string>, part_rows array<bigint>, folder_rows bigint, streams map<string,bigint>"
 )
 
 
@@ -50,6 +50,11 @@ class Table:
         names = [n for n in fs.children(self.spark, f"{self.path}/snapshots") if n.endswith(".json")]
         return self._snapshot(int(names[-1].split(".")[0])) if names else None
 
+    def streamed(self, stream: str) -> int:
+        """Last batch of a stream that is in the table, -1 if none is. Reads the current version only."""
+        now = self.current()
+        return ((now["streams"] if now else None) or {}).get(stream, -1)
+
     def _snapshot(self, snapshot_id: int) -> dict:
         path = f"{self.path}/snapshots/{snapshot_id:010d}.json"
         return self.spark.read.schema(SNAPSHOT_SCHEMA).json(path).head().asDict()
@@ -106,10 +111,10 @@ class Table:
             writer = writer.option("maxRecordsPerFile", max_records)
         writer.parquet(f"{self.path}/data/load_id={load_id}")
 
-    def commit(self, load_ids, schema: T.StructType, as_of, operation: str, load_id: str, base: dict | None, partition_by=(), layout: dict | None = None) -> int:
+    def commit(self, load_ids, schema: T.StructType, as_of, operation: str, load_id: str, base: dict | None, partition_by=(), layout: dict | None = None, stream: tuple[str, int] | None = None) -> int:
         """Publish a version on top of `base`. Fails if somebody else published first.
 
-        `layout` describes folders; their rows are known, and `files` then counts folders.
+        `stream` (name, batch) is remembered as that stream's last batch. `layout` describes folders; their rows are known, and `files` then counts folders.
         """
         number = (base["snapshot_id"] if base else 0) + 1
         # counted from footers of the new directory only, added to the base for appends
@@ -118,7 +123,8 @@ class Table:
             "snapshot_id": number, "parent_id": base["snapshot_id"] if base else None,
             "committed_at": as_datetime(as_of).isoformat(), "operation": operation, "load_id": load_id, "load_ids": list(load_ids),
             "rows": rows, "files": files, "schema_json": json.dumps(_nullable(schema).jsonValue()),
-            "partition_by": list(partition_by) or (base["partition_by"] if base else []), **(layout or {}),
+            "partition_by": list(partition_by) or (base["partition_by"] if base else []),
+            "streams": {**((base["streams"] if base else None) or {}), **({stream[0]: stream[1]} if stream else {})}, **(layout or {}),
         })
         if not fs.create_once(self.spark, f"{self.path}/snapshots/{number:010d}.json", line):
             raise ConcurrentCommit(f"version {number} of {self.path} exists already")
@@ -135,19 +141,19 @@ class Table:
             rows, files = rows + got["r"], files + got["f"]
         return rows, files
 
-    def append(self, df: DataFrame, as_of, operation="append", load_id=None, partition_by=(), attempts=10) -> int:
+    def append(self, df: DataFrame, as_of, operation="append", load_id=None, partition_by=(), attempts=10, stream=None) -> int:
         """Add rows. Appends by several writers do not conflict: the commit is retried on the newer version."""
         from . import folders
 
         load_id = load_id or new_load_id()
         base = self.current()
         if folders.is_foldered(base):
-            return folders.append(self, df, as_of, operation, load_id, attempts)
+            return folders.append(self, df, as_of, operation, load_id, attempts, stream)
         partition_by = tuple(partition_by) or tuple(base["partition_by"] if base else ())
         self.write_data(df, load_id, partition_by)
-        return self.publish_append(load_id, df.schema, as_of, operation, partition_by, attempts)
+        return self.publish_append(load_id, df.schema, as_of, operation, partition_by, attempts, stream=stream)
 
-    def publish_append(self, load_id, schema, as_of, operation="append", partition_by=(), attempts=10, has_data=True) -> int:
+    def publish_append(self, load_id, schema, as_of, operation="append", partition_by=(), attempts=10, has_data=True, stream=None) -> int:
         for _ in range(attempts):
             base = self.current()
             if has_data and base and base["layout_key"]:
@@ -156,7 +162,7 @@ class Table:
             merged = merge_schemas(old, schema) if old else schema
             ids = (base["load_ids"] if base else []) + ([load_id] if has_data else [])
             try:
-                return self.commit(ids, merged, as_of, operation, load_id, base, partition_by, layout=_layout_of(base))
+                return self.commit(ids, merged, as_of, operation, load_id, base, partition_by, layout=_layout_of(base), stream=stream)
             except ConcurrentCommit:
                 continue
         raise ConcurrentCommit(f"gave up committing to {self.path} after {attempts} attempts")

@@ -42,9 +42,16 @@ def rows_by_file(df: DataFrame, root: str, file: str = "name", count: str = "row
     return counted.select(name.alias(file), count)
 
 
+#: What Spark tells about files of any kind.
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def list_stage(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """(path, name, size, last_modified) of every file below the stage; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return listed(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root), root, prefix)
+
+
+def listed(files: DataFrame, root: str, prefix: str = "") -> DataFrame:
     listing = files.select(
         "path", relative_name(F.col("path"), root).alias("name"), F.col("length").alias("size"),
         F.col("modificationTime").cast("timestamp_ntz").alias("last_modified"),

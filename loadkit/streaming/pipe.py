@@ -1,8 +1,12 @@
 """A file pipe: each new file of a stage is loaded once, continuously.
 
-The checkpoint remembers seen files, the table's history remembers loaded ones. A
-micro-batch publishes one version under an id made of checkpoint and batch number, so a
-batch replayed after a crash finds its id published and does nothing.
+The stream is one of files, not of rows: each micro-batch is a list of files, which are loaded
+as by a bulk load, with its checks. The checkpoint remembers the names it has seen. The table's
+history remembers what was loaded, by stage, name, size and time of change: so files of other
+stages with equal names, and files rewritten or repaired since, are loaded too, and a file that
+a bulk load or another pipe has loaded is not. A batch reads the history of the days on which
+its files were changed, and the table's current version: neither grows with the table's age. A
+version tells the last batch of each stream in it, so a batch replayed after a crash does nothing.
 """
 
 from __future__ import annotations
@@ -12,12 +16,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.times import as_datetime, back, ntz
+from ..functions.times import as_datetime
 from ..operators import copy as C, ledger
 from ..operators.versioned import Table
-from ..session import release, staged
 from ..sources.formats import FileFormat
-from ..sources.stage import list_stage
+from ..sources.stage import FILES, list_stage, listed, untracked
 
 RUNNING, PAUSED, STALLED = "RUNNING", "PAUSED", "STALLED"
 
@@ -39,46 +42,55 @@ class Pipe:
         """The given `as_of`, or the wall clock of an unattended run."""
         return as_datetime(self.as_of) if self.as_of else datetime.now(timezone.utc).replace(tzinfo=None)
 
-    def rows(self, prefix: str = "") -> DataFrame:
-        """The stream of raw rows. Columnar sources take the columns' schema."""
-        def load(kind, options, schema):
-            r = self.spark.readStream.format(kind).options(**options).schema(schema if schema is not None else self.columns.schema)
-            if self.max_files:
-                r = r.option("maxFilesPerTrigger", self.max_files)
-            return r.load(self.stage)
-
-        out = C.scan(load, self.stage, self.fmt, self.columns)
-        return out.where(F.col("_file").startswith(prefix)) if prefix else out
+    def files(self, prefix: str = "") -> DataFrame:
+        """The stream of the stage's files: path, name, size, last_modified. Their contents are not read."""
+        r = self.spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", "true")
+        if self.max_files:
+            r = r.option("maxFilesPerTrigger", self.max_files)
+        return listed(r.load(self.stage), self.stage, prefix)
+
+    def _fresh(self, files: DataFrame, at) -> DataFrame:
+        """Those of some files that no load on record has loaded."""
+        days = [r["d"] for r in files.select(F.date_format("last_modified", "yyyy-MM-dd").alias("d")).distinct().collect()]
+        return untracked(files, ledger.history(self.table, days=days), at, self.tracking_days, True, self.stage)
+
+    def _load(self, files: DataFrame, at, **kw) -> DataFrame | None:
+        # the names of one batch, which its micro-batch plan holds on the driver anyway
+        chosen = self._fresh(files, at).collect()
+        if not chosen:
+            return None
+        return C.load_files(
+            self.spark, self.table, self.stage, self.fmt, self.columns, at, self.spark.createDataFrame(chosen, files.schema), on_error=self.on_error,
+            select=self.select, where=self.where, audit=self.audit, table_name=self.table_name, pipe=self.name, paths=[r["path"] for r in chosen], **kw)
 
     def _load_batch(self, batch: DataFrame, batch_id: int, run: str) -> None:
-        load_id = f"{self.name}-{run}-{batch_id}"
-        if not self.table.committed_loads().where(F.col("load_id") == load_id).isEmpty():
+        stream = f"{self.name}-{run}"
+        if self.table.streamed(stream) >= batch_id:
             return
-        at = self._now()
-        recent = ledger.history(self.table).where(F.col("last_load_time") > ntz(back(at, days=self.tracking_days))).select(
-            F.col("file_name").alias("_file")).distinct()
-        # the batch is read once; the working copy also fixes row order
-        sized = C.parse_rows(batch, self.fmt, self.columns)
-        work = staged(sized.join(recent, "_file", "left_anti").select(*sized.columns), "pipe")
-        if work.isEmpty():
-            return release(work)
-        sizes = list_stage(self.spark, self.stage)
-        chosen = sizes.join(work.select(F.col("_file").alias("name")).distinct(), "name", "left_semi").select("path", "name", "size", "last_modified")
-        C.load_files(
-            self.spark, self.table, self.stage, self.fmt, self.columns, at, chosen, on_error=self.on_error, select=self.select, where=self.where,
-            audit=self.audit, table_name=self.table_name, pipe=self.name, load_id=load_id, work=work)
-        release(work)
+        files = self.spark.createDataFrame(batch.collect(), batch.schema)
+        self._load(files, self._now(), load_id=f"{stream}-{batch_id}", stream=(stream, batch_id))
 
     def _writer(self, prefix: str = "", checkpoint: str | None = None):
         where = checkpoint or self.checkpoint
         run = hashlib.md5(where.encode()).hexdigest()[:8]
         return (
-            self.rows(prefix).writeStream.option("checkpointLocation", where).queryName(f"pipe-{self.name}-{run}")
+            self.files(prefix).writeStream.option("checkpointLocation", where).queryName(f"pipe-{self.name}-{run}")
             .foreachBatch(lambda batch, batch_id: self._load_batch(batch, batch_id, run))
         )
 
+    def reload_changed(self, prefix: str = "") -> DataFrame | None:
+        """Load files that were rewritten, or repaired after a failure, under a name that is on record.
+
+        A stream of files takes a name once. This lists the stage and compares; `refresh` and
+        `start` do it first. Returns the load's report, None if there was no such file.
+        """
+        at = self._now()
+        seen = ledger.history(self.table).where(F.regexp_replace("stage_location", "/+$", "") == self.stage.rstrip("/")).select(F.col("file_name").alias("name")).distinct()
+        return self._load(list_stage(self.spark, self.stage, prefix).join(seen, "name", "left_semi").select("path", "name", "size", "last_modified"), at)
+
     def start(self, seconds: int = 60):
         """Run until paused, one micro-batch per interval."""
+        self.reload_changed()
         self.query = self._writer().trigger(processingTime=f"{seconds} seconds").start()
         return self.query
 
@@ -86,6 +98,7 @@ class Pipe:
         """Load all files not loaded yet, then stop. With a prefix, a separate checkpoint
         is used so that the pipe's own one keeps its place; the history prevents double loads.
         """
+        self.reload_changed(prefix)
         where = f"{self.checkpoint}-{hashlib.md5(prefix.encode()).hexdigest()[:8]}" if prefix else None
         query = self._writer(prefix, where).trigger(availableNow=True).start()
         query.awaitTermination(timeout) if timeout else query.awaitTermination()
@@ -117,9 +130,8 @@ class Pipe:
         return RUNNING if self.query.isActive else PAUSED
 
     def pending(self) -> DataFrame:
-        """Staged files without a load on record."""
-        done = ledger.history(self.table).select(F.col("file_name").alias("name")).distinct()
-        return list_stage(self.spark, self.stage).join(done, "name", "left_anti")
+        """Staged files that no load on record has loaded; failed ones wait too."""
+        return untracked(list_stage(self.spark, self.stage), ledger.history(self.table), self._now(), self.tracking_days, True, self.stage)
 
     def status(self) -> DataFrame:
         """One row: pipe, state, pending files, newest file seen."""
@@ -140,6 +152,6 @@ def backfill_if_behind(pipe: Pipe, limit: int = 500) -> DataFrame | None:
 
 
 def if_new_files(spark: SparkSession, stage: str, table: Table, action):
-    """Run `action` when the stage holds files the table has no load of."""
-    done = ledger.history(table).select(F.col("file_name").alias("name")).distinct()
-    return None if list_stage(spark, stage).join(done, "name", "left_anti").isEmpty() else action()
+    """Run `action` when the stage holds files the table has no load of, ever."""
+    always = untracked(list_stage(spark, stage), ledger.history(table), "9999-01-01 00:00:00", 3_000_000, True, stage)
+    return None if always.isEmpty() else action()

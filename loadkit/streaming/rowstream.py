@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -12,14 +13,10 @@ from ..operators.versioned import SNAPSHOT_SCHEMA, Table
 from ..session import release, staged
 
 
-def _published(table: Table, load_id: str) -> bool:
-    return not table.committed_loads().where(F.col("load_id") == load_id).isEmpty()
-
-
-def _append_once(table: Table, df: DataFrame, as_of, load_id: str) -> None:
-    """Append under a fixed id; a replay of the same id does nothing."""
-    if not _published(table, load_id):
-        table.append(df, as_of, "stream", load_id)
+def _append_once(table: Table, df: DataFrame, as_of, stream: str, batch_id: int) -> None:
+    """Append a batch of a stream; a replay of the same batch does nothing."""
+    if table.streamed(stream) < batch_id:
+        table.append(df, as_of, "stream", f"{stream}-{batch_id:010d}", stream=(stream, batch_id))
 
 
 def row_stream(
@@ -36,21 +33,21 @@ def row_stream(
     run = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_id = f"{channel}-{run}-{batch_id:010d}"
-        if _published(table, load_id):
+        stream = f"{channel}-{run}"
+        if table.streamed(stream) >= batch_id:
             return
         if not casts:
-            return _append_once(table, batch, as_of, load_id)
+            return _append_once(table, batch, as_of, stream, batch_id)
         bad = F.lit(False)
         for c, t in casts.items():
             bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())
         marked = staged(batch.withColumn("_bad", bad), "rows")
         if dead_letters is not None:
             lost = marked.where("_bad").select(F.to_json(F.struct(*batch.columns)).alias("rejected_data"), F.lit(channel).alias("channel"))
-            _append_once(dead_letters, lost, as_of, load_id)
+            _append_once(dead_letters, lost, as_of, stream, batch_id)
         # published last: a replay after a crash in between repeats only this step
         good = marked.where("not _bad").select(*[F.col(c).try_cast(casts[c]).alias(c) if c in casts else F.col(c) for c in batch.columns])
-        _append_once(table, good, as_of, load_id)
+        _append_once(table, good, as_of, stream, batch_id)
         release(marked)
 
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
@@ -59,9 +56,10 @@ def row_stream(
 
 
 def offset_token(table: Table, channel: str) -> DataFrame:
-    """Last batch of a channel that is in the table."""
-    mine = table.committed_loads().where(F.col("load_id").startswith(f"{channel}-"))
-    return mine.agg(F.max(F.regexp_extract("load_id", "([0-9]+)$", 1).cast("bigint")).alias("offset_token"))
+    """Last batch of a channel that is in the table, as its current version tells."""
+    now = table.current()
+    mine = [n for stream, n in ((now["streams"] if now else None) or {}).items() if re.fullmatch(re.escape(channel) + "-[0-9a-f]{8}", stream)]
+    return table.spark.createDataFrame([(max(mine, default=None),)], "offset_token bigint")
 
 
 def latest_offsets(messages: DataFrame) -> DataFrame:
@@ -110,7 +108,7 @@ def ingest_topics(messages: DataFrame, topic_tables: dict[str, Table], checkpoin
     def load(batch: DataFrame, batch_id: int) -> None:
         stored = staged(batch.select("topic", "value"), "messages")
         for topic, table in topic_tables.items():
-            _append_once(table, land(stored.where(F.col("topic") == topic), landing), as_of, f"{topic}-{run}-{batch_id:010d}")
+            _append_once(table, land(stored.where(F.col("topic") == topic), landing), as_of, f"{topic}-{run}", batch_id)
         release(stored)
 
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
