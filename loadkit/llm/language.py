@@ -15,6 +15,8 @@ DIMENSIONS, SEED = 1024, 7
 UNKNOWN = "und"
 #: Code points that are worked on at once, about.
 _CHUNK = 1 << 20
+#: Sequences whose vectors are held at once.
+_SLICE = 1 << 14
 _vectors: dict[int, np.ndarray] = {}
 _table: list[np.ndarray] = []
 
@@ -41,6 +43,12 @@ def bundles(parts: list[str], owners: list[int], n: int) -> np.ndarray:
     (rotated by 2, 1 and 0). What is not a letter parts words; runs of it, the start and the end
     count as one. A text without letters has no sequence.
     """
+    if sum(map(len, parts)) > 2 * _CHUNK and (len(parts) > 1 or len(_cuts(parts[0])) > 1):
+        out = np.zeros((n, DIMENSIONS))
+        for part, owner in zip(parts, owners, strict=True):
+            for piece in _cuts(part):
+                out[owner] += bundles([piece], [0], 1)[0]
+        return out
     joined = "\0".join(["", *(p.replace("\0", " ").lower() for p in parts), ""])
     codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
     is_letter, ends = _letters()[codes], codes == 0
@@ -63,15 +71,35 @@ def bundles(parts: list[str], owners: list[int], n: int) -> np.ndarray:
     else:
         used, gram = np.unique(gram, return_inverse=True)
     base = np.stack([letter(int(c)) for c in known])
-    vectors = np.roll(base, 2, axis=1)[used // (m * m)] * np.roll(base, 1, axis=1)[used // m % m] * base[used % m]
-    for low in range(0, n, 512):
-        some = (owner >= low) & (owner < low + 512)
-        rows = min(512, n - low)
-        counts = np.bincount((owner[some] - low) * len(used) + gram[some], minlength=rows * len(used)).reshape(rows, len(used))
-        out[low : low + rows] = counts.astype(np.float32) @ vectors.astype(np.float32)
+    first, second = np.roll(base, 2, axis=1), np.roll(base, 1, axis=1)
+    exact = np.float32 if len(middle) < 1 << 24 else np.float64
+    if len(used) > _SLICE:
+        order = np.argsort(gram, kind="stable")
+        gram, owner = gram[order], owner[order]
+    for begin in range(0, len(used), _SLICE):
+        some = used[begin : begin + _SLICE]
+        vectors = (first[some // (m * m)] * second[some // m % m] * base[some % m]).astype(exact)
+        a, b = (0, len(gram)) if len(used) <= _SLICE else np.searchsorted(gram, [begin, begin + _SLICE])
+        for low in range(0, n, 512):
+            mine = slice(a, b) if n <= 512 else a + np.nonzero((owner[a:b] >= low) & (owner[a:b] < low + 512))[0]
+            rows = min(512, n - low)
+            counts = np.bincount((owner[mine] - low) * len(some) + gram[mine] - begin, minlength=rows * len(some)).reshape(rows, len(some))
+            out[low : low + rows] += counts.astype(exact) @ vectors
     return out
 
 
+def _cuts(text: str) -> list[str]:
+    """A text in pieces of about _CHUNK code points, cut at blanks: what lies between words parts them anyway."""
+    out, low = [], 0
+    while len(text) - low > _CHUNK:
+        cut = text.rfind(" ", low, low + _CHUNK) + 1 or text.find(" ", low + _CHUNK) + 1
+        if not cut:
+            break
+        out.append(text[low:cut])
+        low = cut
+    return [*out, text[low:]]
+
+
 def chunks(found: list[str]) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about _CHUNK code points, with the number of the first."""
     low, size = 0, 0

@@ -61,6 +61,23 @@ def scopes(text: str) -> list[int]:
     return [m.end() for m in _BLANK.finditer(text)] + [len(text)]
 
 
+class Stretches:
+    """Places that some spans cover, as sorted stretches apart from each other: one sweep to make, one bisection to ask."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for a, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(b, self.ends[-1])
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meet(self, a: int, b: int) -> bool:
+        k = bisect.bisect_right(self.ends, a)
+        return k < len(self.starts) and self.starts[k] < b
+
+
 def linked(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Weak parts of a credential whose complements lie in their scope.
 
@@ -68,44 +85,32 @@ def linked(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int,
     or long words of high entropy) and endpoints (locations with a scheme). A weak identifier is
     reported if a secret and an endpoint, or an assigned secret alone, meet it; a weak secret if
     an identifier meets it; an endpoint if an identifier and a secret do. Two parts meet if their
-    intervals, widened by REACH within their block, overlap: both lists are sorted by their
-    start and each part looks only at the run of others that can reach it.
+    intervals, widened by REACH within their block, overlap. Intervals of a kind are joined to
+    stretches once, so time grows with the number of parts and not with their pairs. An
+    identifier has 3 to 64 characters, and the 64 before it tell whether its name is a secret's.
     """
-    strong = [(a, b) for _, a, b in spans]
-    covered = lambda a, b: any(x < b and a < y for x, y in strong)
+    strong = Stretches(s[1:] for s in spans)
     ids = [m.span() for m in _ID.finditer(text) if not _OF_SECRET.search(_NAME.search(text[max(0, m.start() - 64) : m.start()])[0])]
-    ends = [(m.start(), m.end()) for m in _ENDPOINT.finditer(text)]
+    ends = [m.span() for m in _ENDPOINT.finditer(text)]
     known_ids, known_secrets = [s[1:] for s in spans if s[0] == "access"], [s[1:] for s in spans if s[0] != "access"]
     if not (ids or known_ids):
         return []
-    weak_ids = [s for s in ids if not covered(*s)]
-    weak_secrets = [m.span() for m in _LONG.finditer(text) if entropy(m[0]) >= 3.5 and re.search(r"\d", m[0]) and not covered(*m.span()) and not any(a < m.end() and m.start() < b for a, b in [*ends, *ids])]
+    weak_ids = [s for s in ids if not strong.meet(*s)]
+    other = Stretches([*ends, *ids])
+    weak_secrets = [m.span() for m in _LONG.finditer(text) if not strong.meet(*m.span()) and not other.meet(*m.span()) and entropy(m[0]) >= 3.5 and re.search(r"\d", m[0])]
     blocks = scopes(text)
 
-    def widened(spans):
-        out = []
-        for a, b in spans:
-            k = bisect.bisect_right(blocks, a)
-            out.append((max(a - REACH, blocks[k - 1] if k else 0), min(b + REACH, blocks[min(k, len(blocks) - 1)]), k))
-        return sorted(out)
-
-    def meets(spans, others):
-        wide, longest = widened(others), max((b - a for a, b in others), default=0) + 2 * REACH
-        found = []
-        for span, (low, high, block) in ((s, widened([s])[0]) for s in spans):
-            k = bisect.bisect_left(wide, (low - longest, 0, 0))
-            hit = False
-            while k < len(wide) and wide[k][0] < high and not hit:
-                hit = wide[k][1] > low and wide[k][2] == block
-                k += 1
-            found.append(hit)
-        return found
-
-    all_ids, all_secrets = sorted([*weak_ids, *known_ids]), sorted([*weak_secrets, *known_secrets])
-    assigned = [s[1:] for s in spans if s[0] == "assign"]
-    out = [("weak_secret", *s) for s, near in zip(weak_secrets, meets(weak_secrets, all_ids), strict=True) if near]
-    out += [("weak_id", *s) for s, x, y, z in zip(weak_ids, meets(weak_ids, all_secrets), meets(weak_ids, ends), meets(weak_ids, assigned), strict=True) if x and y or z]
-    out += [("endpoint", *s) for s, x, y in zip(ends, meets(ends, all_ids), meets(ends, all_secrets), strict=True) if x and y and not covered(*s)]
+    def widened(span):
+        """Blocks are apart and a widened interval stays in its own, so those of two blocks never overlap."""
+        k = bisect.bisect_right(blocks, span[0])
+        return max(span[0] - REACH, blocks[k - 1] if k else 0), min(span[1] + REACH, blocks[min(k, len(blocks) - 1)])
+
+    near = {name: Stretches(map(widened, parts)) for name, parts in (
+        ("id", [*weak_ids, *known_ids]), ("secret", [*weak_secrets, *known_secrets]), ("end", ends), ("assigned", [s[1:] for s in spans if s[0] == "assign"]))}
+    meets = lambda span, name: near[name].meet(*widened(span))
+    out = [("weak_secret", *s) for s in weak_secrets if meets(s, "id")]
+    out += [("weak_id", *s) for s in weak_ids if meets(s, "assigned") or meets(s, "secret") and meets(s, "end")]
+    out += [("endpoint", *s) for s in ends if meets(s, "id") and meets(s, "secret") and not strong.meet(*s)]
     return out
 
 
@@ -124,7 +129,9 @@ def find_secrets(docs: DataFrame, keys: list, text: str = "text") -> DataFrame:
     """`keys`, counts of the base kinds, base (its spans as text) and spans (all of them).
 
     A row's text is all that its spans depend on, so nothing is shuffled: the interval join of
-    parts runs within the row, over sorted lists. Null and empty texts have no span.
+    parts runs within the row, over sorted lists, in time that grows with the text. Null and empty
+    texts have no span; equal rows are returned each, null keys as they are; other columns are not
+    read, and an empty table gives an empty result.
     """
     kept = docs.select(*keys, F.col(text).alias("_text"))
     names = kept.columns[:-1]

@@ -16,6 +16,7 @@ from .common import remembered
 CACHE = 900_000
 END = 1
 _MARKS = string.punctuation.encode()
+_GROWS = "\u0130".encode()
 _PROBE = ["Word".encode(), "\u00c9t\u00e9".encode(), "\u65e5\u672c".encode(), b"theonward", "stra\u00dfe".encode()]
 #: Byte-level vocabularies write a byte without a visible character of its own as the next one from U+0100.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -31,7 +32,9 @@ class Encoder:
     for merges, as the word vocabularies do; `whole=True` encodes texts as they are. Words of
     letters, with or without marks after them, go to the library's merge model directly; the
     few steps before it are no work for them. A probe at the start tells if that holds, and
-    if case matters; if not, A-Z is lowered first (unless a special token may be meant).
+    if case matters; if not, A-Z is lowered first (unless a special token may be meant). The one
+    character whose lower case is longer than itself (U+0130) makes the library part the marks
+    after it in another way; texts that hold it are encoded whole.
     """
 
     def __init__(self, path: str, whole: bool = False):
@@ -49,7 +52,10 @@ class Encoder:
         if self.whole:
             found = self.tokenizer.encode_batch([r.decode() for r in raws], add_special_tokens=False)
             return [np.array(e.ids, self.dtype).tobytes() for e in found]
-        return [self._words((r if self.cased or b"<|" in r else r.lower()).split()) for r in raws]
+        return [self._whole(r) if _GROWS in r else self._words((r if self.cased or b"<|" in r else r.lower()).split()) for r in raws]
+
+    def _whole(self, raw: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(raw.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _words(self, words: list[bytes]) -> bytes:
         ids = list(map(self.cache.get, words))

@@ -45,3 +45,26 @@ def test_odd_rows(spark):
     assert language.identify(df.limit(0), model, ["doc_id"]).collect() == []
     nothing = language.learn(df.limit(0), held_out)
     assert nothing == {} and {r.lang_pred for r in language.identify(df, nothing, ["doc_id"]).collect()} == {"und"}
+
+
+def test_memory_is_bounded_for_texts_of_many_letters_and_long_texts():
+    """A million random Han letters have nearly as many sequences; a text of many chunks is cut at blanks."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA0, 1_000_000)))
+    tracemalloc.start()
+    whole = language.bundles([text], [0], 1)
+    assert tracemalloc.get_traced_memory()[1] < 700e6
+    tracemalloc.stop()
+    parts = [text[:300_000], text[300_000:]]
+    # only the sequences around the cut differ
+    assert np.abs(whole[0] - language.bundles(parts, [0, 1], 2).sum(axis=0)).max() <= 4
+    words = " ".join(["alpha", "beta", "gamma\u03a3", "d"] * 200_000)
+    pieces = language._cuts(words)
+    assert len(pieces) > 2 and "".join(pieces) == words
+    one = language.bundles(["alpha beta gamma\u03a3 d"], [0], 1)
+    assert (language.bundles([words], [0], 1) == 200_000 * one).all()
+    assert (language.bundles([words, "alpha"], [1, 0], 2)[1] == 200_000 * one[0]).all()

@@ -24,6 +24,19 @@ def test_words_give_the_ids_of_whole_texts(spark, sf):
     assert [[*np.frombuffer(g, "<u2").tolist(), 1] for g in got] == [ids_of(t) for t in found]
 
 
+def test_words_of_hard_characters_give_the_ids_of_whole_texts():
+    """Every character below U+20000 among marks and letters, and random strings of those that change when lowered or composed."""
+    import random
+
+    fast, whole = Encoder(queries.VOCABULARY), Encoder(queries.VOCABULARY, True)
+    for low in range(0, 0x20000, 8192):
+        found = [f"x {c}! a{c}b {c}{c}? {c}\u0301".encode() for c in map(chr, range(low, low + 8192)) if not 0xD800 <= ord(c) < 0xE000]
+        assert fast(found) == whole(found)
+    rng, hard = random.Random(1), "\u0130\u0131\u01c5\u00df\u017f\ufb01\u212b\u00c9e\u0301\u0300\u03a3\u03c2\u200b\u00a0\u3000\ufeff\u00ad\uff8a\uff9e\ud55c\u6f22\u5b57\U0001f600\u200d<|>~^'\"?!.,;:()[]{}_-/ab \n\t09\u0663\u2167\u00b2"
+    found = ["".join(rng.choices(hard, k=rng.randint(1, 9))).encode() for _ in range(8000)]
+    assert any("\u0130".encode() in t for t in found) and fast(found) == whole(found)
+
+
 def test_files_of_whole_table(spark, sf):
     got = sorted(tuple(r) for r in queries.op4(spark, sf).collect())
     want, start = [], 0
