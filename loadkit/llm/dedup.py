@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadkit.session import staged, work_path
+from loadkit.session import release, staged, work_path
+from loadkit.sources import fs
 
 from .common import located
 
@@ -80,9 +81,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     full = located(docs).select(F.col(id_col).cast("long").alias("id"), F.col("_locator").alias("locator"), lowered(F.col(text)).alias("text"))
     hashed = full.select("id", "locator", digest(F.col("text")).alias("digest"))
     rows = staged(hashed, "digests")
-    state = staged(remember(rows, work_path(spark, "dedup-state"), work_path(spark, "dedup-checkpoint")), "state")
+    kept, checkpoint = work_path(spark, "dedup-state"), work_path(spark, "dedup-checkpoint")
+    state = staged(remember(rows, kept, checkpoint), "state")
+    for folder in (kept, checkpoint):
+        fs.delete(spark, folder)
     # two written tables, so that the join's shuffle is its own and a hot digest's rows can be split
     told = staged(rows.join(state, "digest"), "told")
+    release(rows)
+    release(state)
     seen = told.where("size > 1").select("locator", "digest")
     bytes_of = full.select("locator", "text").join(seen, "locator")
     clash = staged(

@@ -251,29 +251,35 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
 
     made = by_batch(placed, ["locator", "id", "_text"], "locator string, id bigint, fp bigint, n bigint, sketch binary, parity binary, rarest array<bigint>", fn)
     rows = staged(made.withColumn("row", F.monotonically_increasing_id()), "simhash")
-    pairs = staged(_first_pairs(rows).withColumn("a_", F.least("a", "b")).select(F.col("a_").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    cells = _cells(rows)
+    pairs = staged(_first_pairs(cells).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    release(cells)
     told = _checked(pairs, rows, placed)
     met = staged(lists(rows), "lists")
     found = staged(components(told.where("good").select("a", "b")).toDF("row", "root"), "near")
     while True:
         labelled = rows.join(found, "row", "left").select("row", F.greatest("n", F.lit(1)).alias("n"), F.coalesce("root", "row").alias("label"), "parity")
-        more = staged(open_pairs(met, labelled, told.where("NOT good").select("a", "b")).distinct(), "pairs")
+        buckets = blocks_of(met, labelled, told.where("NOT good").select("a", "b"))
+        more = staged(open_pairs(buckets).distinct(), "pairs")
+        release(buckets)
         if more.isEmpty():
             release(more)
             break
         now = _checked(more, rows, placed)
         linked_now = now.where("good").select("a", "b").union(found.toDF("a", "b"))
         before, found = found, staged(components(linked_now).toDF("row", "root"), "near")
-        told = staged(told.union(now), "told")
-        release(before)
-        release(more)
-    release(met)
-    release(pairs)
-    return rows.join(found, "row", "left").select("locator", "id", F.coalesce("root", "row").alias("root"))
+        all_told = staged(told.union(now), "told")
+        for old in (told, now, before, more):
+            release(old)
+        told = all_told
+    out = staged(rows.join(found, "row", "left").select("locator", "id", F.coalesce("root", "row").alias("root")), "groups")
+    for old in (met, pairs, told, found, rows):
+        release(old)
+    return out
 
 
-def _first_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of rows whose fingerprints and sketches are near: enough to span what they connect, block by block."""
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows by tile, in blocks of bounded size. Written."""
     tile = F.when(F.col("n") == 0, -1).otherwise(F.floor(F.log("n") / -np.log(SIMILARITY) + 1e-9)).cast("long")
     tiled = rows.select("row", "fp", "sketch", tile.alias("tile"))
     # tiles are few whatever the table: their number is the logarithm of the largest text's shingles, to the base 1.25
@@ -281,7 +287,11 @@ def _first_pairs(rows: DataFrame) -> DataFrame:
     block = F.pmod(F.xxhash64("row"), F.ceil(F.col("m") / CELL)).alias("block")
     dealt = tiled.join(F.broadcast(counts), "tile").select("tile", block, F.struct("row", "fp", "sketch").alias("member"))
     cells_of = dealt.groupBy("tile", "block").agg(F.collect_list("member").alias("m"))
-    blocks = staged(cells_of.select("tile", "block", F.col("m.row").alias("row"), F.col("m.fp").alias("fp"), F.col("m.sketch").alias("sketch")), "cells")
+    return staged(cells_of.select("tile", "block", F.col("m.row").alias("row"), F.col("m.fp").alias("fp"), F.col("m.sketch").alias("sketch")), "cells")
+
+
+def _first_pairs(blocks: DataFrame) -> DataFrame:
+    """Pairs (a, b) of rows whose fingerprints and sketches are near: enough to span what they connect, block by block."""
     both = F.array(F.col("tile"), F.col("tile") + 1)
     other = blocks.select(F.explode(both).alias("tile"), F.col("tile").alias("tile_a"), F.col("block").alias("block_a"), *[F.col(c).alias(f"{c}_a") for c in ("row", "fp", "sketch")])
     cells = other.join(blocks, "tile").where("tile <> tile_a OR block_a <= block").repartition("tile", "block", "tile_a", "block_a")
@@ -351,14 +361,11 @@ def lists(rows: DataFrame) -> DataFrame:
     return placed.join(chosen, "token").select(F.col("token").alias("list"), "row")
 
 
-def open_pairs(met: DataFrame, rows: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Lists (list, row), rows (row, n, label, parity) and pairs turned down (a, b) -> pairs (a, b) to
-    check that span, block by block, all pairs of different labels that can be similar and were not turned down.
+def blocks_of(met: DataFrame, rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Lists (list, row), rows (row, n, label, parity) and pairs turned down (a, b) -> the rows of each
+    list, in blocks of bounded size. Written.
 
-    Lists whose rows have one label are left out. A list's rows are dealt over blocks of bounded
-    size, a label with many rows over blocks of its own: two of these are never compared. Each
-    other pair of blocks is one row, compared in full: similar sets of n and m shingles differ in
-    (n + m) / 9 at most, so sketches that differ in more bits tell that a pair is not similar.
+    Lists whose rows have one label are left out. A label with many rows has blocks of its own.
     """
     no = rejected.select(F.col("a").alias("row"), "b").groupBy("row").agg(F.collect_list("b").alias("no"))
     each = met.join(rows.select("row", "label"), "row")
@@ -371,9 +378,21 @@ def open_pairs(met: DataFrame, rows: DataFrame, rejected: DataFrame) -> DataFram
         F.when(F.col("own").isNull(), F.pmod(F.xxhash64("label"), F.ceil(F.col("few") / BUCKET))).otherwise(F.pmod(F.xxhash64("row"), F.ceil(F.col("own") / BUCKET))).alias("block"),
     )
     full = dealt.join(rows, "row").join(no, "row", "left")
-    columns = ["row", "n", "label", "parity", "no"]
     members = full.groupBy("list", "kind", "block").agg(F.collect_list(F.struct("row", "n", "label", "parity", F.coalesce("no", F.array().cast("array<bigint>")).alias("no"))).alias("m"))
-    blocks = staged(members.select("list", "kind", "block", *[F.col(f"m.{c}").alias(c) for c in columns]), "buckets")
+    return staged(members.select("list", "kind", "block", *[F.col(f"m.{c}").alias(c) for c in _MEMBER]), "buckets")
+
+
+_MEMBER = ["row", "n", "label", "parity", "no"]
+
+
+def open_pairs(blocks: DataFrame) -> DataFrame:
+    """Pairs (a, b) to check that span, block by block, all pairs of different labels that can be similar and were not turned down.
+
+    Two blocks of one label's own are never compared. Each other pair of a list's blocks is one
+    row, compared in full: similar sets of n and m shingles differ in (n + m) / 9 at most, so
+    sketches that differ in more bits tell that a pair is not similar.
+    """
+    columns = _MEMBER
     other = blocks.select("list", F.col("kind").alias("kind_a"), F.col("block").alias("block_a"), *[F.col(c).alias(f"{c}_a") for c in columns])
     cells = other.join(blocks, "list").where("(kind_a, block_a) <= (kind, block) AND (kind_a <> kind OR kind = -1)")
     names = [*[f"{c}_a" for c in columns], *columns]
