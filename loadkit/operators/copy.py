@@ -1,7 +1,9 @@
 """Bulk load of staged files with per-file error policies, validation and tracking.
 
-A load is: choose files, parse them once into a working table, judge files and rows from
-that table, write the good rows as one Spark job, record the history, publish the version.
+A load of text is: choose files, parse them and write every row once, good and bad ones in
+folders of their own below the load's, judge files from narrow columns of what was written,
+record the history, publish the folder of good rows. Only if a policy skips files, or rows are
+numbered, ordered or made distinct, are good rows read again and written anew.
 Text formats are parsed to text fields and cast with try_cast, so that a bad value is an
 error of its row and column, never a failed job. Everything per row stays inside built-in
 expressions; the only shuffles are the per-file counts, combined before they are sent.
@@ -324,9 +326,9 @@ def unreadable_files(spark: SparkSession, paths: list[str], root: str, fmt: File
 def _file_report(
     work: DataFrame, chosen: DataFrame, policy: Policy, where: Column | None, as_of, table_name: str, root: str, pipe: str | None, broken: DataFrame | None,
 ) -> DataFrame:
-    """One history row per chosen file."""
+    """One history row per chosen file. Rows that `where` (or a class given to them) leaves out are no errors."""
     bad = F.col("_error").isNotNull()
-    kept = ~bad & (F.coalesce(where, F.lit(False)) if where is not None else F.lit(True))
+    kept = F.col("_class") == _GOOD if "_class" in work.columns else ~bad & (F.coalesce(where, F.lit(False)) if where is not None else F.lit(True))
     # one small row per split carries the counts and the offset that numbers its rows
     splits = work.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_count"), F.min("_mid").alias("_first"), F.count_if(bad).alias("_bad"), F.count_if(kept).alias("_kept"))
@@ -432,6 +434,10 @@ def load_files(
                 raise
             # a file is damaged inside: nothing was published; the checked way below finds out which one
             load_id = new_load_id()
+    if paths and fmt.text and fmt.skip_header <= 1 and not (audit or distinct or cluster_by or folders.is_foldered(table.current())) and not _numbered(select):
+        return _load_once(
+            spark, table, stage, fmt, cols, as_of, chosen, list(paths), policy, select=select, where=where, target_columns=target_columns,
+            return_failed_only=return_failed_only, purge=purge, table_name=table_name, pipe=pipe, partition_by=partition_by, load_id=load_id, stream=stream)
     copy = None
     if paths:
         with _duplicate_keys(spark, fmt):
@@ -467,6 +473,62 @@ def load_files(
     return ledger.load_report(report, return_failed_only)
 
 
+#: Classes of the rows of a load: taken, left out by `where`, in error.
+_GOOD, _OUT, _BAD = "good", "out", "bad"
+_PLACE = ["_file", "_block", "_mid", "_error", "_error_column", "_error_value", "_record"]
+_PLACE_SCHEMA = "_file string, _block bigint, _mid bigint, _error string, _error_column string, _error_value string, _record string, _class string"
+
+
+def _numbered(select) -> bool:
+    """Whether expressions use the rows' numbers, which are known only when all rows of a file are counted."""
+    return bool(select) and any(re.search(r"\b_row\b", str(c)) for c in select)
+
+
+def _load_once(
+    spark, table, stage, fmt, cols, as_of, chosen, paths, policy, *, select, where, target_columns, return_failed_only, purge, table_name,
+    pipe, partition_by, load_id, stream,
+) -> DataFrame:
+    """Load of text in one write: `_class=good` below the load's folder is what the version lists.
+
+    Rows that are not taken have no values, only their place and error. Numbers of rows are
+    stored as differences, so the place adds next to nothing to the good rows.
+    """
+    with _duplicate_keys(spark, fmt):
+        parsed = parse_all(spark, paths, stage, fmt, cols)
+        taken = F.coalesce(where, F.lit(False)) if where is not None else F.lit(True)
+        marked = parsed.withColumn("_class", F.when(F.col("_error").isNotNull(), _BAD).when(taken, _GOOD).otherwise(_OUT))
+        base = [f.name for f in cols.schema] + ([cols.raw_column] if cols.raw_column else [])
+        picked = select if select is not None else [F.col(f"`{c}`") for c in base]
+        rows = marked.select(*picked)
+        names = [*(target_columns or []), *rows.columns[len(target_columns or []):]]
+        good = F.col("_class") == _GOOD
+        out = marked.select(*[F.when(good, c).alias(n) for c, n in zip(picked, names, strict=True)], *_PLACE, "_class")
+        path = f"{table.path}/data/load_id={load_id}"
+        table.write_data(out, load_id, ("_class", *partition_by), version="PARQUET_2_0")
+    some = any(c.startswith("_class=") for c in fs.children(spark, path))
+    work = spark.read.schema(_PLACE_SCHEMA).parquet(path) if some else spark.createDataFrame([], _PLACE_SCHEMA)
+    report = ledger.record(table, _file_report(work, chosen, policy, None, as_of, table_name, stage, pipe, None), load_id)
+    try:
+        _abort_on_error(policy, report, table_name)
+    except LoadAborted:
+        fs.delete(spark, path)
+        raise
+    schema = rows.toDF(*names).schema
+    part = f"{load_id}/_class={_GOOD}"
+    if policy.kind == "SKIP_FILE" and not (skipped := report.where("status = 'LOAD_FAILED' AND row_parsed > errors_seen")).isEmpty():
+        kept = table.read_part(part, schema, ["_file"]).join(skipped.select(F.col("file_name").alias("_file")), "_file", "left_anti") if fs.exists(spark, f"{table.path}/data/load_id={part}") else spark.createDataFrame([], schema)
+        again = f"{load_id}-kept"
+        table.write_data(kept.select(*[f"`{f.name}`" for f in schema]), again, partition_by)
+        fs.delete(spark, path)
+        table.publish_append(again, schema, as_of, "copy", partition_by, stream=stream, listed=load_id)
+    else:
+        there = fs.exists(spark, f"{table.path}/data/load_id={part}")
+        table.publish_append(part if there else load_id, schema, as_of, "copy", partition_by, has_data=there, stream=stream, listed=load_id)
+    if purge:
+        _purge(spark, report, chosen)
+    return ledger.load_report(report, return_failed_only)
+
+
 def _abort_on_error(policy: Policy, report: DataFrame, table_name: str) -> None:
     if policy.kind != "ABORT_STATEMENT":
         return
@@ -550,7 +612,7 @@ def _work_schema(cols: Columns) -> T.StructType:
 
 def _project(work, good, cols, select, where, distinct, target_columns, audit, as_of) -> DataFrame:
     base = [f.name for f in cols.schema] + ([cols.raw_column] if cols.raw_column else [])
-    if audit or (select and any("_row" in str(c) for c in select)):
+    if audit or _numbered(select):
         # numbers count every record of the file, bad ones included
         good = with_row_number(work, "_file", "_row", good)
     if where is not None:
@@ -610,11 +672,25 @@ def error_summary(errors: DataFrame) -> DataFrame:
 
 
 def load_with_capture(spark, table: Table, stage: str, fmt, columns, as_of, table_name: str, **kw):
-    """Validate, capture rejects, then load the rest: (report, rejects)."""
+    """Load with CONTINUE and capture the rows in error: (report, rejects).
+
+    Text is parsed once: rejects are read from where the load wrote its bad rows.
+    """
     from .rejects import capture_rejects
 
-    rejects = capture_rejects(validate(spark, stage, fmt, columns, "RETURN_ALL_ERRORS"), table_name, as_of)
-    return copy_into(spark, table, stage, fmt, columns, as_of, on_error="CONTINUE", table_name=table_name, **kw), rejects
+    load_id = new_load_id()
+    where = f"{table.path}/data/load_id={load_id}"
+    if not fmt.text:
+        rejects = capture_rejects(validate(spark, stage, fmt, columns, "RETURN_ALL_ERRORS"), table_name, as_of)
+        return copy_into(spark, table, stage, fmt, columns, as_of, on_error="CONTINUE", table_name=table_name, **kw), rejects
+    report = copy_into(spark, table, stage, fmt, columns, as_of, on_error="CONTINUE", table_name=table_name, load_id=load_id, **kw)
+    if any(c.startswith("_class=") for c in fs.children(spark, where)):
+        work = spark.read.schema(_PLACE_SCHEMA).parquet(where)
+    elif report.isEmpty():
+        work = spark.createDataFrame([], _PLACE_SCHEMA)
+    else:
+        return report, capture_rejects(validate(spark, stage, fmt, columns, "RETURN_ALL_ERRORS", files=[r["file"] for r in report.select("file").collect()]), table_name, as_of)
+    return report, capture_rejects(errors_of(work), table_name, as_of)
 
 
 def copy_chunks(spark, table, stage, fmt, columns, as_of, patterns: list[str], **kw) -> DataFrame:

@@ -6,7 +6,7 @@ Layout of a table at `path`:
     snapshots/<n>.json        one line: which load directories make up version n
     history/file_day=<day>/load_id=<id>/...  per-file load reports (see ledger)
 
-A table in folders (see folders) lists `<id>/_part=<n>` in place of whole load directories, with
+A load of text lists its folder of good rows, `<id>/_class=good`. A table in folders (see folders) lists `<id>/_part=<n>` in place of whole load directories, with
 the lower bound and the rows of each.
 
 A version becomes visible by the creation of its snapshot file, so readers see all of a
@@ -90,21 +90,41 @@ class Table:
         return self._read_loads(at["load_ids"], schema)
 
     def _read_loads(self, load_ids, schema) -> DataFrame:
+        """Rows of some loads. Loads in folders below theirs are read apart from whole ones: one scan reads one kind."""
         base = f"{self.path}/data"
         full = T.StructType(schema.fields + [T.StructField("load_id", T.StringType())])
-        df = self.spark.read.schema(full).option("basePath", base).parquet(*[f"{base}/load_id={i}" for i in load_ids])
-        return df.select(*[f"`{f.name}`" for f in schema.fields])
+        out = None
+        for some in _kinds(load_ids):
+            df = self.spark.read.schema(full).option("basePath", base).parquet(*[f"{base}/load_id={i}" for i in some]).select(*[f"`{f.name}`" for f in schema.fields])
+            out = df if out is None else out.unionByName(df)
+        return out
+
+    def read_part(self, part: str, schema: T.StructType, more: list[str]) -> DataFrame:
+        """Rows of one folder of a load with further text columns that its files have."""
+        full = T.StructType(schema.fields + [T.StructField(c, T.StringType()) for c in more])
+        return self.spark.read.schema(full).parquet(f"{self.path}/data/load_id={part}")
 
     def files(self, snapshot: int | None = None) -> DataFrame:
         """Data files of a version: path and rows, from footers only."""
-        return self.read(snapshot).groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")).agg(
-            F.count(F.lit(1)).alias("record_count"))
+        at = self._lookup(snapshot, None)
+        return self._footers(at["load_ids"], self.schema_of(at))
+
+    def _footers(self, load_ids, schema) -> DataFrame:
+        base = f"{self.path}/data"
+        out = self.spark.createDataFrame([], "file_path string, file_size bigint, record_count bigint")
+        for some in _kinds(load_ids):
+            paths = [f"{base}/load_id={i}" for i in some]
+            df = self.spark.read.schema(T.StructType(schema.fields + [T.StructField("load_id", T.StringType())])).option("basePath", base).parquet(*paths)
+            out = out.unionByName(df.groupBy(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")).agg(F.count(F.lit(1)).alias("record_count")))
+        return out
 
     # ---- writing ---------------------------------------------------------------------
 
-    def write_data(self, df: DataFrame, load_id: str, partition_by=(), max_records=None) -> None:
+    def write_data(self, df: DataFrame, load_id: str, partition_by=(), max_records=None, version: str | None = None) -> None:
         """Write one load's files. Not visible until committed; a retried job starts over."""
         writer = df.write.mode("overwrite")
+        if version:
+            writer = writer.option("parquet.writer.version", version)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if max_records:
@@ -136,8 +156,7 @@ class Table:
         new = [i for i in load_ids if i not in kept] if appended else list(load_ids)
         rows, files = (base["rows"] or 0, base["files"] or 0) if base and appended else (0, 0)
         if new:
-            got = self._read_loads(new, schema).groupBy(F.col("_metadata.file_path").alias("p")).count().agg(
-                F.count(F.lit(1)).alias("f"), F.coalesce(F.sum("count"), F.lit(0)).alias("r")).head()
+            got = self._footers(new, schema).agg(F.count(F.lit(1)).alias("f"), F.coalesce(F.sum("record_count"), F.lit(0)).alias("r")).head()
             rows, files = rows + got["r"], files + got["f"]
         return rows, files
 
@@ -153,7 +172,8 @@ class Table:
         self.write_data(df, load_id, partition_by)
         return self.publish_append(load_id, df.schema, as_of, operation, partition_by, attempts, stream=stream)
 
-    def publish_append(self, load_id, schema, as_of, operation="append", partition_by=(), attempts=10, has_data=True, stream=None) -> int:
+    def publish_append(self, load_id, schema, as_of, operation="append", partition_by=(), attempts=10, has_data=True, stream=None, listed: str | None = None) -> int:
+        """Publish written data. `listed` is the load's id where that of its data has more to it."""
         for _ in range(attempts):
             base = self.current()
             if has_data and base and base["layout_key"]:
@@ -162,7 +182,7 @@ class Table:
             merged = merge_schemas(old, schema) if old else schema
             ids = (base["load_ids"] if base else []) + ([load_id] if has_data else [])
             try:
-                return self.commit(ids, merged, as_of, operation, load_id, base, partition_by, layout=_layout_of(base), stream=stream)
+                return self.commit(ids, merged, as_of, operation, listed or load_id, base, partition_by, layout=_layout_of(base), stream=stream)
             except ConcurrentCommit:
                 continue
         raise ConcurrentCommit(f"gave up committing to {self.path} after {attempts} attempts")
@@ -214,7 +234,8 @@ class Table:
         for row in gone:
             fs.delete(self.spark, f"{self.path}/snapshots/{row['snapshot_id']:010d}.json")
         for load_id in dirs:
-            fs.delete(self.spark, f"{self.path}/data/load_id={load_id}")
+            # with a load's good rows go its bad ones
+            fs.delete(self.spark, f"{self.path}/data/load_id={load_id.removesuffix('/_class=good')}")
         return self.spark.createDataFrame([tuple(r) for r in gone], "snapshot_id bigint, committed_at timestamp_ntz, operation string")
 
     def compact(self, as_of, target_mb=128, cluster_by=(), where=None) -> int:
@@ -225,8 +246,9 @@ class Table:
         schema = self.schema()
         ids = base["load_ids"]
         if where is not None:
-            hit = self._with_load_id(ids, schema).where(where).select("load_id").distinct()
-            chosen = {r["load_id"] for r in hit.collect()}
+            hit = [self._with_load_id(some, schema).where(where).select("load_id").distinct() for some in _kinds(ids)]
+            found = {r["load_id"] for df in hit for r in df.collect()}
+            chosen = {i for i in ids if i.partition("/")[0] in found}
         else:
             chosen = set(ids)
         rewrite = [i for i in ids if i in chosen]
@@ -272,6 +294,14 @@ class Table:
         return self.append(rows, as_of, "add files")
 
 
+def _kinds(load_ids: list[str]) -> list[list[str]]:
+    """Loads by the kind of folder that they are in."""
+    out: dict[str, list[str]] = {}
+    for i in load_ids:
+        out.setdefault(i.partition("/")[2].partition("=")[0], []).append(i)
+    return list(out.values())
+
+
 def _layout_of(version: dict | None) -> dict | None:
     return {k: version[k] for k in ("layout_key", "lows", "part_rows", "folder_rows")} if version and version["layout_key"] else None
 

@@ -125,17 +125,17 @@ def flatten_payload(df: DataFrame, text: str, schema: str, out: str = "item") ->
 # ---- change streams ------------------------------------------------------------------------------
 
 
-def new_loads(table: Table, consumer: str) -> list[str]:
-    """Published loads of appended data that this consumer has not handled."""
+def new_loads(table: Table, consumer: str) -> dict[str, list[str]]:
+    """Published loads of appended data that this consumer has not handled, with the folders that each put into the table."""
     from ..sources import fs
 
-    whole = F.exists("load_ids", lambda i: (i == F.col("load_id")) | i.startswith(F.concat("load_id", F.lit("/"))))
-    appended = table.snapshots().where(F.col("operation").isin("append", "copy", "stream", "add files") & whole)
+    mine = F.filter("load_ids", lambda i: (i == F.col("load_id")) | i.startswith(F.concat("load_id", F.lit("/"))) | (i == F.concat("load_id", F.lit("-kept"))))
+    appended = table.snapshots().where(F.col("operation").isin("append", "copy", "stream", "add files")).withColumn("parts", mine).where(F.size("parts") > 0)
     done = f"{table.path}/consumers/{consumer}"
     if fs.exists(table.spark, done):
         appended = appended.join(table.spark.read.schema("load_id string").json(done), "load_id", "left_anti")
     # ids of loads not handled yet, not rows
-    return [r["load_id"] for r in appended.orderBy("snapshot_id").select("load_id").collect()]
+    return {r["load_id"]: r["parts"] for r in appended.orderBy("snapshot_id").select("load_id", "parts").collect()}
 
 
 def consume(table: Table, consumer: str, action: Callable[[DataFrame], None], min_rows: int = 1) -> int:
@@ -146,7 +146,7 @@ def consume(table: Table, consumer: str, action: Callable[[DataFrame], None], mi
     ids = new_loads(table, consumer)
     if not ids:
         return 0
-    fresh = table._read_loads(ids, table.schema())
+    fresh = table._read_loads([part for parts in ids.values() for part in parts], table.schema())
     n = fresh.count()
     if n < min_rows:
         return 0

@@ -97,7 +97,7 @@ def test_streams_write_the_folders_they_touch(spark, folder):
     RS.late_merge_stream(source, t, "k", "ts", folder("ckpt"), AS_OF).awaitTermination()
     assert len(before & set(t.current()["load_ids"])) == 8
     assert sorted(map(tuple, t.read().where("ts > 0").collect())) == [(5, 7), (950, 3)]
-    assert RS.new_loads(t, "c") == []
+    assert RS.new_loads(t, "c") == {}
     t.append(spark.createDataFrame([(2000, 1)], "k bigint, ts bigint"), AS_OF)
     seen = []
     assert RS.consume(t, "c", lambda rows: seen.extend(map(tuple, rows.collect()))) == 1 and seen == [(2000, 1)]
