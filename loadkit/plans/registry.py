@@ -9,7 +9,7 @@ _ORACLE: dict = {}
 
 MODULES = (
     "history", "costs", "quality", "reconcile", "freshness", "filesize", "schema", "alerts",
-    "scalars", "joins", "copying", "rejects", "merging", "folders", "versions", "external", "replicate", "streams",
+    "scalars", "joins", "copying", "rejects", "merging", "folders", "versions", "external", "replicate", "streams", "landing",
 )
 
 
