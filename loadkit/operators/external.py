@@ -111,15 +111,14 @@ def date_layout(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns({"year": F.year(ts), "month": F.month(ts), "day": F.day(ts)})
 
 
-def repartition_layout(df: DataFrame, ts: str, path: str, mode: str = "overwrite", tasks_per_day: int = 8) -> None:
+def repartition_layout(df: DataFrame, ts: str, path: str, mode: str = "overwrite") -> None:
     """Write rows into year / month / day directories.
 
-    Rows are spread by date and a hash, so that a heavy day is written by `tasks_per_day`
-    tasks and no task opens every directory.
+    Rows of a day come together, and adaptive execution parts a day by its size: a heavy one is
+    written by as many tasks as its bytes need, several light ones by one.
     """
-    out = date_layout(df, ts)
-    spread = F.pmod(F.xxhash64(ts), F.lit(tasks_per_day))
-    out.repartition("year", "month", "day", spread).write.mode(mode).partitionBy("year", "month", "day").parquet(path)
+    out = date_layout(df, ts).hint("rebalance", "year", "month", "day")
+    out.write.mode(mode).partitionBy("year", "month", "day").parquet(path)
 
 
 def pruning_report(full: DataFrame, filtered: DataFrame) -> DataFrame:

@@ -50,21 +50,25 @@ def reconcile_files(expected: DataFrame, hist: DataFrame) -> DataFrame:
 def reconcile_manifest(manifest: DataFrame, hist: DataFrame) -> DataFrame:
     """Manifest rows against loads whose file name is contained in the manifest's name.
 
-    Containment as an equi-join: the lengths of loaded names are few (paths are short), so
-    each manifest name yields its substrings of just those lengths and joins on the whole
-    loaded name. Work grows with the manifest, never with manifest x history.
+    Containment as an equi-join: a loaded name is known by its last 1, 2, 4, 8 ... characters,
+    the most that it has, and a manifest's name yields its pieces of just those lengths. Pieces
+    that meet are verified on the whole loaded name. However many lengths loaded names have,
+    a manifest's name yields no more pieces than a few times its length.
     """
     loads = hist.groupBy("file_name").agg(F.max_by("row_count", "last_load_time").alias("row_count"))
-    lengths = loads.agg(F.collect_set(F.length("file_name")).alias("_lengths")).scalar()
+    n = F.length("file_name")
+    loads = loads.withColumn("_size", F.when(n == 0, 0).otherwise(F.expr("shiftleft(1, length(bin(length(file_name))) - 1)")))
+    sizes = loads.agg(F.collect_set("_size").alias("_sizes")).scalar()
     name = F.col("file_name")
 
     def cut(size: Column) -> Column:
         starts = F.sequence(F.lit(1), F.length(name) - size + 1)
         return F.when(F.length(name) >= size, F.transform(starts, lambda p: F.substring(name, p, size))).otherwise(F.array().cast("array<string>"))
 
-    parts = F.array_distinct(F.flatten(F.transform(F.col("_lengths"), cut)))
-    pieces = manifest.withColumn("_lengths", lengths).withColumn("_piece", F.explode(parts))
-    found = pieces.join(loads.select(F.col("file_name").alias("_piece"), "row_count"), "_piece")
+    parts = F.array_distinct(F.flatten(F.transform(F.col("_sizes"), cut)))
+    pieces = manifest.withColumn("_sizes", sizes).withColumn("_piece", F.explode(parts))
+    known = loads.select(F.expr("right(file_name, _size)").alias("_piece"), F.col("file_name").alias("_loaded"), "row_count")
+    found = pieces.join(known, "_piece").where(F.contains(name, F.col("_loaded")))
     keys = ["file_name", "expected_rows"]
     hits = found.groupBy(*keys).agg(F.max("row_count").alias("_hit"))
     actual = F.coalesce("_hit", F.lit(0))
