@@ -16,7 +16,8 @@ def replicate(source: DataFrame, table: Table, as_of, mode: str, primary_key: st
         return table.overwrite(source, as_of, "full refresh") if table.current() else table.append(source, as_of, "full refresh")
     if mode == "snapshot":
         stamped = source.withColumn("_snapshot_at", ntz(as_of))
-        return table.append(stamped, as_of, "snapshot")
+        # a folder for each copy, so that reading one prunes the others
+        return table.append(stamped, as_of, "snapshot", partition_by=("_snapshot_at",))
     if mode == "incremental":
         if table.current() is None:
             return table.append(M.latest(source, [primary_key], update_key), as_of, "initial")
