@@ -257,9 +257,17 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
     told = _checked(pairs, rows, placed)
     met = staged(lists(rows), "lists")
     found = staged(components(told.where("good").select("a", "b")).toDF("row", "root"), "near")
+    open_rows = rows
     while True:
-        labelled = rows.join(found, "row", "left").select("row", F.greatest("n", F.lit(1)).alias("n"), F.coalesce("root", "row").alias("label"), "parity")
+        labelled = open_rows.join(found, "row", "left").select("row", F.greatest("n", F.lit(1)).alias("n"), F.coalesce("root", "row").alias("label"), "parity")
         buckets = blocks_of(met, labelled, told.where("NOT good").select("a", "b"))
+        # labels only grow together: a list that has one now is done, and so is a row that no other list has
+        left = staged(buckets.select("list", F.explode("row").alias("row")), "lists")
+        few = staged(open_rows.select("row", "n", "parity").join(left.select("row").distinct(), "row", "left_semi"), "open")
+        release(met)
+        if open_rows is not rows:
+            release(open_rows)
+        met, open_rows = left, few
         more = staged(open_pairs(buckets).distinct(), "pairs")
         release(buckets)
         if more.isEmpty():
@@ -273,7 +281,7 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
             release(old)
         told = all_told
     out = staged(rows.join(found, "row", "left").select("locator", "id", F.coalesce("root", "row").alias("root")), "groups")
-    for old in (met, pairs, told, found, rows):
+    for old in (met, open_rows, pairs, told, found, rows):
         release(old)
     return out
 
