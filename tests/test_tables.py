@@ -211,7 +211,9 @@ def test_row_stream_replay(spark, folder):
     RS.row_stream(source, t, "ch", ckpt, AS_OF).awaitTermination()
     assert t.read().count() == 100
     last = sorted(r["load_id"] for r in t.committed_loads().collect())[-1]
-    RS._append_once(t, spark.createDataFrame([(1, "x")], "id bigint, v string"), AS_OF, last)
+    stream, batch = last.rsplit("-", 1)
+    assert t.streamed(stream) == int(batch)
+    RS._append_once(t, spark.createDataFrame([(1, "x")], "id bigint, v string"), AS_OF, stream, int(batch))
     assert t.read().count() == 100
 
 
