@@ -100,7 +100,7 @@ def _token(s, d):
 query("offset_token", STAGED + "SELECT ceil(count(*) / 60.0)::BIGINT - 1 AS offset_token FROM files")(_token)
 
 
-def _topics(s, d):
+def _landed(s, d, landing):
     """Messages of two topics in files of (topic, value), each to its own table."""
     def make():
         path = work_path(s, "messages")
@@ -111,14 +111,35 @@ def _topics(s, d):
 
     path = G.once(s, (d, "messages"), make)
     tables = {"orders": Table(s, work_path(s, "t1")), "events": Table(s, work_path(s, "t2"))}
-    messages = s.readStream.schema("topic string, value string").json(path)
-    R.ingest_topics(messages, tables, work_path(s, "ckpt"), AS_OF, landing=T.StructType.fromDDL("event_id bigint, value double")).awaitTermination()
+    messages = s.readStream.schema("topic string, value string").option("maxFilesPerTrigger", 4).json(path)
+    R.ingest_topics(messages, tables, work_path(s, "ckpt"), AS_OF, landing=landing).awaitTermination()
     return tables["orders"].read().unionByName(tables["events"].read())
 
 
+def _topics(s, d):
+    return _landed(s, d, T.StructType.fromDDL("event_id bigint, value double"))
+
+
 query("ingest_topics", W + "SELECT event_id, value, CASE WHEN event_type = 'purchase' THEN 'orders' ELSE 'events' END AS record_topic FROM raw_events")(_topics)
 
 
+_LANDED = "SELECT event_id, value, CASE WHEN event_type = 'purchase' THEN 'orders' ELSE 'events' END AS record_topic FROM raw_events"
+
+
+def _landed_variant(s, d):
+    part = lambda key, kind: F.variant_get("record_content", f"$.{key}", kind).alias(key)
+    return _landed(s, d, "variant").select(part("event_id", "bigint"), part("value", "double"), "record_topic")
+
+
+def _landed_inferred(s, d):
+    """Columns and their types come from the payloads alone."""
+    return _landed(s, d, "inferred").select("event_id", "value", "record_topic", F.col("record_content").isNull().alias("is_object"))
+
+
+query("ingest_topics_variant", W + _LANDED)(_landed_variant)
+query("ingest_topics_inferred", W + _LANDED.replace(" FROM", ", true AS is_object FROM"))(_landed_inferred)
+
+
 def _flattened(s, d):
     """Array payloads flattened on a stream."""
     def make():

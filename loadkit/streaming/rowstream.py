@@ -91,16 +91,54 @@ def land(messages: DataFrame, landing: str | T.StructType = "variant") -> DataFr
     return messages.select(doc.alias("d"), F.col("topic").alias("record_topic")).select("d.*", "record_topic")
 
 
+def _is_object():
+    return F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))
+
+
 def inferred_schema(sample: DataFrame) -> T.StructType:
-    """Schema of a batch of payloads, for landing with columns made from the data."""
-    names = sample.select(F.schema_of_variant_agg(F.try_parse_json("value")).alias("s")).head()["s"]
-    found = T._parse_datatype_string(names.replace("OBJECT<", "struct<"))
-    return found if isinstance(found, T.StructType) else T.StructType([T.StructField("value", found)])
+    """Schema of a batch of payloads, for landing with columns made from those that are objects.
+
+    Numbers that aren't all whole are doubles, keys whose kinds differ are VARIANT, and a key that
+    is always null has no column yet.
+    """
+    names = sample.select(F.schema_of_variant_agg(F.when(_is_object(), F.try_parse_json("value"))).alias("s")).head()["s"]
+    found = _landing_type(T._parse_datatype_string(names.replace("OBJECT<", "struct<")))
+    return found if isinstance(found, T.StructType) else T.StructType()
+
+
+def _landing_type(found: T.DataType) -> T.DataType:
+    if isinstance(found, T.StructType):
+        return T.StructType([T.StructField(f.name, _landing_type(f.dataType)) for f in found if not isinstance(f.dataType, T.NullType)])
+    if isinstance(found, T.ArrayType):
+        return T.ArrayType(T.StringType() if isinstance(found.elementType, T.NullType) else _landing_type(found.elementType))
+    return T.DoubleType() if isinstance(found, T.DecimalType) else found
+
+
+def land_inferred(messages: DataFrame, table: Table) -> DataFrame:
+    """Columns made from the payloads of a batch, in the types that the table has for them already.
+
+    `record_content` keeps the text of payloads that are no objects, so none is lost. Whole numbers
+    go into a column of doubles; any other change of a column's type is an error that stops the load.
+    """
+    held = {f.name: f.dataType for f in table.schema() or []}
+    fields = []
+    for f in inferred_schema(messages):
+        old = held.get(f.name, f.dataType)
+        if old != f.dataType and not (isinstance(old, T.DoubleType) and isinstance(f.dataType, T.LongType)):
+            raise ValueError(f"column {f.name} is {old.simpleString()}, its payloads are {f.dataType.simpleString()}")
+        fields.append(T.StructField(f.name, old))
+    kept = [F.when(~_is_object(), F.col("value")).alias("record_content"), F.col("topic").alias("record_topic")]
+    if not fields:
+        return messages.select(*kept)
+    doc = F.when(_is_object(), F.from_json("value", T.StructType(fields))).alias("d")
+    return messages.select(doc, *kept).select("d.*", "record_content", "record_topic")
 
 
 def ingest_topics(messages: DataFrame, topic_tables: dict[str, Table], checkpoint: str, as_of, landing="variant", interval: str | None = None):
     """Write each topic of a (topic, value) stream to its table, each at most once per batch.
 
+    `landing` is "variant", "inferred" (`land_inferred`; tables get new columns as keys appear) or a schema.
+
     The batch is stored once with its topic as directory, so that every table reads only its own.
     """
     run = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
@@ -108,7 +146,9 @@ def ingest_topics(messages: DataFrame, topic_tables: dict[str, Table], checkpoin
     def load(batch: DataFrame, batch_id: int) -> None:
         stored = staged(batch.select("topic", "value"), "messages")
         for topic, table in topic_tables.items():
-            _append_once(table, land(stored.where(F.col("topic") == topic), landing), as_of, f"{topic}-{run}", batch_id)
+            own = stored.where(F.col("topic") == topic)
+            landed = land_inferred(own, table) if landing == "inferred" else land(own, landing)
+            _append_once(table, landed, as_of, f"{topic}-{run}", batch_id)
         release(stored)
 
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
