@@ -24,8 +24,8 @@ STAGED_SQL = """
 
 
 def once(spark: SparkSession, key, make):
-    """Make a stage once per session; a stage is only read afterwards."""
-    full = (spark.sparkContext.applicationId, *key)
+    """Make a stage once per session; a stage is only read afterwards. What makes it is part of its key: makers don't share stages."""
+    full = (spark.sparkContext.applicationId, make.__module__, make.__qualname__, *key)
     if full not in _MADE:
         _MADE[full] = make()
     return _MADE[full]

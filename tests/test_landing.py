@@ -1,8 +1,10 @@
 """Messages landed by inferred columns."""
 
+import oracle
 import pytest
 
 from loadkit.operators.versioned import Table
+from loadkit.plans import registry, stages
 from loadkit.streaming import rowstream as R
 
 AS_OF = "2024-02-01 00:00:00"
@@ -31,3 +33,11 @@ def test_a_change_of_type_stops_the_load(spark, tmp_path):
     with pytest.raises(ValueError, match="id is bigint"):
         landed(spark, table, ['{"id": "a"}'])
     assert table.read().count() == 1
+
+
+@pytest.mark.parametrize("order", [("stream_flatten", "copy_json_arrays"), ("copy_json_arrays", "stream_flatten")])
+def test_stages_of_one_name_are_not_shared(spark, sf, monkeypatch, order):
+    monkeypatch.setattr(stages, "_MADE", {})
+    con = oracle.connect(sf)
+    for name in order:
+        assert oracle.difference(registry.all_queries()[name](spark, sf), con, registry.all_oracles()[name]) is None
