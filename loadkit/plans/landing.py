@@ -27,16 +27,22 @@ def _counted(t: Table) -> int:
 
 
 # ---- stages ---------------------------------------------------------------------------------
-def array_stage(s, d) -> str:
-    """One JSON array of events for each day and batch, over several lines."""
+#: Events of a file's array, about.
+_ARRAY = 50_000
+
+
+def array_stage(s, d, most: int = _ARRAY) -> str:
+    """One JSON array of events for each day, batch and part of about `most` events, over several lines."""
     def make():
         path = work_path(s, "stage-arrays")
         e = D.raw_events(s, d).select(F.date_format("event_timestamp", "yyyy-MM-dd").alias("d"), (F.col("event_id") % 4).alias("batch"), F.struct("event_id", "event_type", "value").alias("e"))
-        arrays = e.groupBy("d", "batch").agg(F.regexp_replace(F.to_json(F.collect_list("e")), r"\},\{", "},\n{").alias("value"))
-        arrays.write.partitionBy("d", "batch").text(path)
+        parts = e.groupBy("d", "batch").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
+        e = e.join(parts, ["d", "batch"]).withColumn("part", F.pmod(F.xxhash64("e.event_id", "e.event_type", "e.value"), "parts"))
+        arrays = e.groupBy("d", "batch", "part").agg(F.regexp_replace(F.to_json(F.collect_list("e")), r"\},\{", "},\n{").alias("value"))
+        arrays.write.partitionBy("d", "batch", "part").text(path)
         return path
 
-    return G.once(s, (d, "arrays"), make)
+    return G.once(s, (d, "arrays", most), make)
 
 
 def _arrays(s, d):

@@ -87,7 +87,11 @@ class FileFormat:
             if self.record_delimiter:
                 o["lineSep"] = self.record_delimiter
         if self.kind == "json":
-            o |= {"multiLine": str(self.multi_line or self.strip_outer_array).lower(), "primitivesAsString": "true"}
+            o |= {"primitivesAsString": "true"}
+            if self.multi_line or self.strip_outer_array:
+                # a NUL is no character of JSON, so the whole file is one record. `multiLine` would do too, but it goes
+                # back into the file for the text of every number, some KB each time
+                o["lineSep"] = "\0"
         if self.kind == "parquet":
             o |= {"binaryAsString": str(self.binary_as_text).lower()}
         if self.date_format:

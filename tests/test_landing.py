@@ -2,9 +2,11 @@
 
 import oracle
 import pytest
+from pyspark.sql import functions as F
 
 from loadkit.operators.versioned import Table
-from loadkit.plans import registry, stages
+from loadkit.plans import landing, registry, stages
+from loadkit.sources.formats import FileFormat, reader
 from loadkit.streaming import rowstream as R
 
 AS_OF = "2024-02-01 00:00:00"
@@ -41,3 +43,24 @@ def test_stages_of_one_name_are_not_shared(spark, sf, monkeypatch, order):
     con = oracle.connect(sf)
     for name in order:
         assert oracle.difference(registry.all_queries()[name](spark, sf), con, registry.all_oracles()[name]) is None
+
+
+def test_an_array_is_read_about_once(spark, tmp_path):
+    """Number texts come as written, without going back into the file for each of them."""
+    rows = [f'{{"id": {i}, "v": {i}.10}}' for i in range(20_000)]
+    (tmp_path / "a.json").write_text("[" + ",\n".join(rows) + "]")
+    (tmp_path / "b.json").write_text('[{"id": 7, "v": 1')
+    size = (tmp_path / "a.json").stat().st_size
+    read = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = read()
+    got = reader(spark, FileFormat.json(strip_outer_array=True), columnNameOfCorruptRecord="_c").schema("id string, v string, _c string").load(str(tmp_path))
+    assert got.where("v = id || '.10'").count() == 20_000
+    assert read() - before < 3 * size
+    assert [r._c for r in got.where("_c is not null").collect()] == ['[{"id": 7, "v": 1']
+
+
+def test_arrays_are_bounded(spark, sf):
+    path = landing.array_stage(spark, sf, most=5)
+    sizes = [r.n for r in reader(spark, FileFormat.json(strip_outer_array=True)).schema("event_id string").load(path).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == spark.read.parquet(f"{sf}/events.parquet").count()
+    assert max(sizes) <= 20
