@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from loadkit.functions.windows import exact_percentile, lag_over_time, latest_by
+from loadkit.streaming.latency import latency_stream
 from pyspark.sql import functions as F
 
 
@@ -33,3 +34,15 @@ def test_rows_without_a_time_stay(spark):
     df = spark.createDataFrame([("a", None), ("a", "2024-01-01 01:00:00"), (None, "2024-01-01 02:00:00")], "k string, t string")
     df = df.withColumn("t", F.col("t").cast("timestamp_ntz"))
     assert lag_over_time(df, ["k"], "t", "before").count() == 3
+
+
+def test_streamed_percentile_is_exact(spark, tmp_path):
+    """One window of many latencies; an arrival an hour later closes it."""
+    at = spark.range(20_000, numPartitions=7).selectExpr("timestamp_ntz'2024-01-01 00:00:30' a", "(id * 7919) % 5000 lat")
+    rows = at.union(spark.sql("select timestamp_ntz'2024-01-01 01:00:00', 0L")).selectExpr("a - make_dt_interval(0, 0, 0, lat) src", "a")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    latency_stream(stream, "src", "a", "0 seconds").writeStream.option("checkpointLocation", str(tmp_path / "c")).outputMode("append").format(
+        "parquet").option("path", str(tmp_path / "out")).trigger(availableNow=True).start().awaitTermination()
+    (row,) = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert (row.row_count, row.p95_latency_sec, row.max_latency_sec) == (20_000, 4749, 4999)
