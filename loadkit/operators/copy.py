@@ -304,6 +304,10 @@ def _drop_header_rows(df: DataFrame, fmt: FileFormat) -> DataFrame:
     return with_row_number(df, "_file", "_n").where(F.col("_n") > fmt.skip_header - 1).drop("_n")
 
 
+#: The mark that whole files of a kind end with; in ORC one byte more, the length of the part before, comes after it.
+_TAIL = {"parquet": "substring(content, -4) = cast('PAR1' as binary)", "orc": "substring(content, -4, 3) = cast('ORC' as binary)"}
+
+
 def unreadable_files(spark: SparkSession, paths: list[str], root: str, fmt: FileFormat, listing: DataFrame) -> DataFrame:
     """Columnar files whose footer cannot be read.
 
@@ -317,9 +321,9 @@ def unreadable_files(spark: SparkSession, paths: list[str], root: str, fmt: File
     suspects = [r["path"] for r in silent.select("path").collect()]
     if not suspects:
         return silent
-    if fmt.kind != "parquet":
+    if fmt.kind not in _TAIL:
         return silent
-    tail = spark.read.format("binaryFile").load(suspects).where(F.expr("substring(content, -4) = cast('PAR1' as binary)")).select("path")
+    tail = spark.read.format("binaryFile").load(suspects).where(_TAIL[fmt.kind]).select("path")
     return silent.join(tail, "path", "left_anti")
 
 

@@ -93,3 +93,18 @@ def test_deletes_outlive_older_changes_in_later_batches(spark):
         for op, hour in order:
             state = M.result(M.merge_cdc(state, change(op, hour), "id"))
         assert M.cdc_live(state).count() == 0 and state.count() == 1
+
+
+@pytest.mark.parametrize("kind", ["parquet", "orc"])
+def test_file_without_rows_is_not_damaged(spark, folder, kind):
+    """Spark writes a file for its first partition even if that has no rows; a cut file beside it still fails."""
+    stage, table = folder("stage"), Table(spark, folder("table"))
+    spark.range(0, 100, 1, 4).where("id >= 50").selectExpr("id", "cast(id as int) v").write.format(kind).save(stage)
+    report = copy.copy_into(spark, table, stage, FileFormat(kind), SCHEMA, AS_OF, load_uncertain=True)
+    assert sorted((r.status, r.rows_loaded) for r in report.collect()) == [("LOADED", 0), ("LOADED", 25), ("LOADED", 25)]
+    assert table.read().agg(F.sum("id")).first()[0] == sum(range(50, 100))
+    cut = os.path.join(stage, min(f for f in os.listdir(stage) if f.startswith("part-")))
+    os.remove(os.path.join(stage, f".{os.path.basename(cut)}.crc"))
+    truncate(cut)
+    with pytest.raises(copy.LoadAborted, match="1 files cannot be read"):
+        copy.copy_into(spark, Table(spark, folder("other")), stage, FileFormat(kind), SCHEMA, AS_OF, load_uncertain=True)
