@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import staged
 from .times import trunc
 
 
@@ -67,9 +68,10 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, out:
     """PERCENTILE_CONT(p) per key, exact, without gathering a group's values.
 
     A mergeable sketch brackets the quantile; only values inside the bracket (about
-    10 / accuracy of the distinct values) are ranked, everything below is just counted. The
+    10 / accuracy of the distinct values) are grouped and ranked, everything below is just counted. The
     sketch is off by n / accuracy ranks at most, so the bracket holds both neighbours once its
     other four parts in `accuracy` are two rows or more; a group too small for that is ranked whole.
+    The brackets, a row per group, are stored, so that Spark knows their size when it joins the rows to them.
     """
     if not keys:
         return exact_percentile(df.withColumn("_all", F.lit(0)), ["_all"], value, p, out, accuracy).drop("_all")
@@ -82,22 +84,16 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, out:
         F.array(F.min(value), F.max(value)).alias("_ends"),
     )
     bounds = bounds.select(*keys, "_n", F.when(F.col("_n") < accuracy, F.col("_ends")).otherwise(F.col("_near")).alias("_b"))
-    counted = present.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    placed = counted.join(bounds, keys)
-    below = placed.groupBy(*keys).agg(
-        F.sum(F.when(F.col("_v") < F.col("_b")[0], F.col("_c")).otherwise(0)).alias("_below")
-    )
-    run = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = (
-        placed.where(F.col("_v").between(F.col("_b")[0], F.col("_b")[1]))
-        .withColumn("_cum", F.sum("_c").over(run))
-        .join(below, keys)
-        .withColumn("_pos", F.lit(p) * (F.col("_n") - 1))
-    )
-    reach = F.col("_below") + F.col("_cum")
-    ends = inside.groupBy(*keys).agg(
-        F.min(F.when(reach > F.floor("_pos"), F.col("_v"))).cast("double").alias("_lo"),
-        F.min(F.when(reach > F.ceil("_pos"), F.col("_v"))).cast("double").alias("_hi"),
+    bounds = staged(bounds.toDF(*[f"_k{i}" for i in range(len(keys))], "_n", "_b"), "brackets")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    near = present.join(bounds, same).where(F.col(value) <= F.col("_b")[1])
+    # rows below the bracket are one row of their group, without a value, ahead of the others
+    counted = near.groupBy(*keys, "_n", F.when(F.col(value) >= F.col("_b")[0], F.col(value)).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_reach", F.sum("_c").over(run)).withColumn("_pos", F.lit(p) * (F.col("_n") - 1))
+    ends = ranked.groupBy(*keys).agg(
+        F.min(F.when(F.col("_reach") > F.floor("_pos"), F.col("_v"))).cast("double").alias("_lo"),
+        F.min(F.when(F.col("_reach") > F.ceil("_pos"), F.col("_v"))).cast("double").alias("_hi"),
         F.first("_pos").alias("_pos"),
     )
     fraction = F.col("_pos") - F.floor("_pos")

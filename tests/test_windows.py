@@ -46,3 +46,12 @@ def test_streamed_percentile_is_exact(spark, tmp_path):
         "parquet").option("path", str(tmp_path / "out")).trigger(availableNow=True).start().awaitTermination()
     (row,) = spark.read.parquet(str(tmp_path / "out")).collect()
     assert (row.row_count, row.p95_latency_sec, row.max_latency_sec) == (20_000, 4749, 4999)
+
+
+def test_percentile_joins_brackets_by_their_size(spark):
+    """Rows meet their group's bracket where they are, and only those in it are shuffled; a NULL group is a group."""
+    df = spark.range(3_000_000).selectExpr("if(id % 3 = 0, null, id % 3) k", "cast(id as double) v")
+    got = exact_percentile(df, ["k"], "v", 0.5, "p")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {r.k: r.p for r in got.collect()} == {None: 1499998.5, 1: 1499999.5, 2: 1500000.5}
