@@ -20,6 +20,8 @@ from .versioned import ConcurrentCommit, Table, merge_schemas, new_load_id
 
 #: Rows of a folder, about; one that outgrows twice that is parted when it is written next.
 FOLDER_ROWS = 1_000_000
+#: Bounds on each level of the tree in which a key's range is looked up.
+_FAN = 16
 #: Keys looked at for each bound that is chosen.
 _SAMPLE = 200
 
@@ -39,15 +41,29 @@ class Written:
 
 
 def range_of(key: Column, bounds: list[str], kind: T.DataType) -> Column:
-    """How many of the sorted lower bounds are not above the key; 0 for NULL. Looks at about twice the root of their number."""
+    """How many of the sorted lower bounds are not above the key; 0 for NULL. Looks at about _FAN bounds on each level of a tree."""
     if not bounds:
         return F.lit(0)
-    step = max(1, int(len(bounds) ** 0.5))
-    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    typed = lambda values: F.array(*[F.lit(v).cast(kind) for v in values])
-    ahead = F.size(F.filter(typed([g[0] for g in groups]), lambda x: x <= key))
-    inside = F.size(F.filter(F.get(F.array(*[typed(g) for g in groups]), ahead - 1), lambda x: x <= key))
-    return F.when(key.isNull() | (ahead == 0), 0).otherwise((ahead - 1) * step + inside)
+    steps = [1]
+    while len(bounds) > steps[-1] * _FAN:
+        steps.append(steps[-1] * _FAN)
+
+    def below(level: Column) -> Callable[[Column], Column]:
+        # the bounds of this level from the last one that is not above the key on the level over it
+        some = lambda before: F.slice(level, F.greatest(before - 1, F.lit(0)) * _FAN + 1, _FAN)
+        return lambda before: F.when(before == 0, 0).otherwise((before - 1) * _FAN + F.size(F.filter(some(before), lambda x: x <= key)))
+
+    found = F.size(F.filter(_array(bounds[:: steps[-1]], kind), lambda x: x <= key))
+    for step in reversed(steps[:-1]):
+        # a list of one, so that the number found is worked out once
+        found = F.transform(F.array(found), below(_array(bounds[::step], kind)))[0]
+    return F.when(key.isNull(), 0).otherwise(found)
+
+
+def _array(values: list[str], kind: T.DataType) -> Column:
+    """A constant array from one text: an expression of a few nodes, whatever the number of values."""
+    mark = next(c for c in map(chr, range(1, 0xD800)) if not any(c in v for v in values))
+    return F.split(F.lit(mark.join(values)), f"\\Q{mark}\\E").cast(T.ArrayType(kind))
 
 
 def _chosen(rows: DataFrame, key: str, n: int, folders: int) -> list[str]:
@@ -99,7 +115,8 @@ def create(table: Table, rows: DataFrame, key: str, as_of, bounds: list | None =
         bounds = _chosen(rows, key, n, -(-n // folder_rows))
     bounds = _sorted([str(b) for b in bounds], kind)
     found = _write(table, rows.withColumn("_action", F.lit(M._INSERT)), key, bounds, load_id)
-    layout = _layout(key, [[None, *bounds][p] for p, _ in found], [sum(n.values()) for _, n in found], folder_rows)
+    lows = [None, *bounds]
+    layout = _layout(key, [lows[p] for p, _ in found], [sum(n.values()) for _, n in found], folder_rows)
     return table.commit([f"{load_id}/_part={p}" for p, _ in found], rows.schema, as_of, "create folders", load_id, base, layout=layout)
 
 
@@ -158,7 +175,8 @@ def change(
     found = _write(table, survivors, now.key, bounds, load_id)
     actions = {a: sum(n.get(a, 0) for _, n in found) for a in (M._KEEP, M._UPDATE, M._INSERT)}
     actions[M._DELETE] = sum(now.rows[i] for i in hit) + actions[M._INSERT] - sum(actions.values())
-    lows = [now.lows[i] for i in kept] + [[None, *bounds][p] for p, _ in found]
+    starts = [None, *bounds]
+    lows = [now.lows[i] for i in kept] + [starts[p] for p, _ in found]
     counts = [now.rows[i] for i in kept] + [sum(n.values()) for _, n in found]
     ids = [now.ids[i] for i in kept] + [f"{load_id}/_part={p}" for p, _ in found]
     table.commit(ids, survivors.drop("_action").schema, as_of, operation, load_id, base, layout=_layout(now.key, lows, counts, base["folder_rows"]))
@@ -170,11 +188,12 @@ def append(table: Table, rows: DataFrame, as_of, operation: str, load_id: str, a
     base = table.current()
     now = _Now(table, base)
     found = _write(table, rows.withColumn("_action", F.lit(M._INSERT)), now.key, now.bounds, load_id)
+    starts = [None, *now.bounds]
     for _ in range(attempts):
         base = table.current()
         if not is_foldered(base):
             break
-        lows = [[None, *now.bounds][p] for p, _ in found]
+        lows = [starts[p] for p, _ in found]
         layout = _layout(now.key, base["lows"] + lows, base["part_rows"] + [sum(n.values()) for _, n in found], base["folder_rows"])
         try:
             return table.commit(base["load_ids"] + [f"{load_id}/_part={p}" for p, _ in found], merge_schemas(table.schema_of(base), rows.schema), as_of, operation, load_id, base, layout=layout, stream=stream)

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from loadkit.operators import folders as B, merge as M
 from loadkit.operators.versioned import ConcurrentCommit, Table
@@ -101,3 +101,15 @@ def test_streams_write_the_folders_they_touch(spark, folder):
     t.append(spark.createDataFrame([(2000, 1)], "k bigint, ts bigint"), AS_OF)
     seen = []
     assert RS.consume(t, "c", lambda rows: seen.extend(map(tuple, rows.collect()))) == 1 and seen == [(2000, 1)]
+
+
+def test_ranges_of_many_bounds(spark):
+    """Every key meets its range whatever the number of bounds, by an expression that doesn't grow with them."""
+    for n in (1, 15, 16, 17, 256, 257, 5000):
+        at = B.range_of(F.col("id"), [str(3 * i) for i in range(n)], T.LongType())
+        wrong = spark.range(-5, 3 * n + 5).withColumn("p", at).where(f"p <> if(id < 0, 0, least(id div 3 + 1, {n}))")
+        assert wrong.count() == 0
+        assert str(at).count("split") <= 5
+    texts = B.range_of(F.col("v"), ["", "\x01b", "a.b", "é"], T.StringType())
+    rows = spark.createDataFrame([(None, 0), ("", 1), ("\x01c", 2), ("a.c", 3), ("é", 4)], "v string, n int")
+    assert rows.withColumn("p", texts).where("p <> n").count() == 0
