@@ -7,6 +7,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -158,14 +159,12 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text="text", keys: tuple =
 #: Near-duplicate stages: words of a shingle, least similarity (also as a fraction), and bits of fingerprints that make a first candidate.
 WORDS, SIMILARITY, REACH = 5, 0.8, 18
 _PARTS, _WHOLE = 4, 5
-#: Smallest hashes in a text's sketch (a byte of each), and agreement that makes a first candidate.
-SKETCH, LEAST = 64, 0.65
-CELL, FEW = 2048, 4
-#: Counters of the shingles' rareness, rows of a list's block at most, about, and rows of a label that get blocks of their own.
-SLOTS, BUCKET, OWN = 1 << 18, 512, 64
+#: Shingles that are counted at a time, about, and shingles of a chunk of texts that is sent to be counted.
+COUNTED, CHUNK = 1 << 19, 1 << 20
+#: Rows of a list's block at most, about, and rows of a label that get blocks of their own.
+BUCKET, OWN = 512, 64
 #: Least bits of a parity sketch.
 PARITY = 2048
-_MULTIPLY = np.random.default_rng(SEED).integers(1, 2**63, SKETCH, dtype=np.uint64) | np.uint64(1)
 
 
 def shingles(raw: bytes, n: int = WORDS) -> set[bytes]:
@@ -178,26 +177,11 @@ def hashes(found: set[bytes]) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in found], np.uint64))
 
 
-def prefix(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The rarest of a text's shingles, by their hashes: so many that each similar text has one of its own rarest among them."""
-    order = np.lexsort((values, counts[values % SLOTS]))
-    return values[order[: len(values) - _rest(len(values))]]
-
-
 def _rest(n):
     """Shingles out of `n` that are not among the rarest: one fewer than a similar text shares at least."""
     return (_PARTS * n + _WHOLE - 1) // _WHOLE - 1
 
 
-def sketch(values: np.ndarray) -> bytes:
-    """Of SKETCH orders of the shingles' hashes a byte of the first one: equal bytes estimate the similarity."""
-    least = np.full(SKETCH, 2**64 - 1, np.uint64)
-    for low in range(0, len(values), 4096):
-        mixed = values[low : low + 4096, None] * _MULTIPLY
-        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(29))).min(axis=0))
-    return ((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes()
-
-
 def parity(values: np.ndarray) -> bytes:
     """A bit for each of 2 len(values) or more slots of hashes, a power of two: whether an odd number
     of values falls there. A value that only one of two sets has turns one bit, so the bits in which
@@ -217,63 +201,58 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
     """Every row of `docs`: locator, id, root. Rows of one root are linked by pairs of texts
     whose sets of five-word shingles have a similarity (shared by all) of 0.8 or more.
 
-    First candidates come from SimHash fingerprints of those sets at most REACH bits apart, compared tile by
-    tile: a tile holds texts whose numbers of shingles lie within a factor of 1 / 0.8, and only
-    equal or adjoining tiles can hold similar texts. Of a pair of blocks' candidates a spanning
-    forest of the most similar pairs, as sketches estimate it, is taken, so that a dense group
-    gives as many pairs as members; each of its pairs is then checked on whole texts. These only
-    spare work: what they leave apart is found exactly. Similar texts share one of their rarest
-    shingles (see `lists`). Where rows that are not linked yet meet at such a shingle, all their
-    pairs are compared by sketches that never call a similar pair unlike (see `open_pairs`), a
-    spanning forest of those left is checked on whole texts, and so on, without the pairs turned
-    down, until no pair is left. So no link is lost, and what is written stays in proportion to
-    the rows that meet. Texts without words are similar to each other. Equal rows are returned
-    each, null ids as they are; an empty table gives an empty result.
+    Similar texts share one of their rarest shingles (see `rarest`), so only rows that meet at
+    such a shingle are looked at (see `lists`). First candidates pair each row of a list with
+    the list's least row, if the SimHash fingerprints of their sets are at most REACH bits
+    apart; they are checked on whole texts. These only spare work: what they leave apart is
+    found exactly. Where rows that are not linked yet meet, all their pairs are compared by
+    sketches that never call a similar pair unlike (see `open_pairs`), a spanning forest of
+    those left is checked on whole texts, and so on in the lists where one was turned down,
+    without it, until no pair is left. So no link is lost, and what is written stays in
+    proportion to the rows that meet. Texts without words are similar to each other. Equal rows
+    are returned each, null ids as they are; an empty table gives an empty result.
     """
     placed = located(docs).select(F.col("_locator").alias("locator"), F.col(id_col).cast("long").alias("id"), F.col(text).alias("_text"))
 
-    rareness = _rareness(placed.select("_text"))
-
     def fn(batch):
         raws = raw_texts(batch.column("_text"))
-        fps, sizes, sketches, parities, rarest = [], [], [], [], []
+        fps, sizes, parities = [], [], []
         for b in raws:  # one text's shingles at a time
             values = hashes(shingles(b))
             fps.append(set_fingerprint(values))
             sizes.append(len(values) if b.split(None, 1) else 0)
-            sketches.append(sketch(values))
             parities.append(parity(values))
-            rarest.append(prefix(values, rareness).view(np.int64))
         return {
             "locator": batch.column("locator"), "id": batch.column("id"), "fp": pa.array(np.array(fps, np.uint64).view(np.int64)), "n": pa.array(sizes, pa.int64()),
-            "sketch": pa.array(sketches, pa.binary()), "parity": pa.array(parities, pa.binary()), "rarest": pa.array(rarest, pa.list_(pa.int64())),
+            "parity": pa.array(parities, pa.binary()),
         }
 
-    made = by_batch(placed, ["locator", "id", "_text"], "locator string, id bigint, fp bigint, n bigint, sketch binary, parity binary, rarest array<bigint>", fn)
+    made = by_batch(placed, ["locator", "id", "_text"], "locator string, id bigint, fp bigint, n bigint, parity binary", fn)
     rows = staged(made.withColumn("row", F.monotonically_increasing_id()), "simhash")
-    cells = _cells(rows)
-    pairs = staged(_first_pairs(cells).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    release(cells)
+    total = rows.agg(F.sum(F.greatest("n", F.lit(1)))).first()[0] or 0
+    rare = rarest(placed, max(1, -(-total // COUNTED))).join(rows.select("locator", "row"), "locator").select("row", "rarest")
+    met = staged(lists(rare), "lists")
+    pairs = staged(_first_pairs(met, rows), "pairs")
     told = _checked(pairs, rows, placed)
-    met = staged(lists(rows), "lists")
     found = staged(components(told.where("good").select("a", "b")).toDF("row", "root"), "near")
     open_rows = rows
     while True:
         labelled = open_rows.join(found, "row", "left").select("row", F.greatest("n", F.lit(1)).alias("n"), F.coalesce("root", "row").alias("label"), "parity")
         buckets = blocks_of(met, labelled, told.where("NOT good").select("a", "b"))
-        # labels only grow together: a list that has one now is done, and so is a row that no other list has
-        left = staged(buckets.select("list", F.explode("row").alias("row")), "lists")
+        more = staged(open_pairs(buckets), "pairs")
+        release(buckets)
+        if more.isEmpty():
+            release(more)
+            break
+        now = _checked(more.select("a", "b").distinct(), rows, placed)
+        # a list without pairs, or whose pairs are all good, has nothing left that is not linked
+        again = more.join(now.where("NOT good"), ["a", "b"]).select("list").distinct()
+        left = staged(met.join(again, "list", "left_semi"), "lists")
         few = staged(open_rows.select("row", "n", "parity").join(left.select("row").distinct(), "row", "left_semi"), "open")
         release(met)
         if open_rows is not rows:
             release(open_rows)
         met, open_rows = left, few
-        more = staged(open_pairs(buckets).distinct(), "pairs")
-        release(buckets)
-        if more.isEmpty():
-            release(more)
-            break
-        now = _checked(more, rows, placed)
         linked_now = now.where("good").select("a", "b").union(found.toDF("a", "b"))
         before, found = found, staged(components(linked_now).toDF("row", "root"), "near")
         all_told = staged(told.union(now), "told")
@@ -286,61 +265,133 @@ def similar_documents(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
     return out
 
 
-def _cells(rows: DataFrame) -> DataFrame:
-    """Rows by tile, in blocks of bounded size. Written."""
-    tile = F.when(F.col("n") == 0, -1).otherwise(F.floor(F.log("n") / -np.log(SIMILARITY) + 1e-9)).cast("long")
-    tiled = rows.select("row", "fp", "sketch", tile.alias("tile"))
-    # tiles are few whatever the table: their number is the logarithm of the largest text's shingles, to the base 1.25
-    counts = tiled.groupBy("tile").agg(F.count(F.lit(1)).alias("m"))
-    block = F.pmod(F.xxhash64("row"), F.ceil(F.col("m") / CELL)).alias("block")
-    dealt = tiled.join(F.broadcast(counts), "tile").select("tile", block, F.struct("row", "fp", "sketch").alias("member"))
-    cells_of = dealt.groupBy("tile", "block").agg(F.collect_list("member").alias("m"))
-    return staged(cells_of.select("tile", "block", F.col("m.row").alias("row"), F.col("m.fp").alias("fp"), F.col("m.sketch").alias("sketch")), "cells")
+def rarest(placed: DataFrame, parts: int) -> DataFrame:
+    """Texts (locator, _text) -> locator, rarest: those of a text's rarest shingles that another one has
+    too. Texts without any are left out.
 
+    Rarest are so many that each similar text has one of its own rarest among them, whatever the
+    order, if it is the same for all texts; here it is by the number of texts that have the
+    shingle. Shingles are counted in `parts` parts of their hashes, about COUNTED at a time. A
+    chunk of texts sends each part 32 bits of the hashes that fall there and gets the counts of
+    those back that are not the only ones, so a text's others are known by their number alone.
+    Two shingles whose bits are equal are counted as one, in every text.
+    """
+    ship(placed.sparkSession)
 
-def _first_pairs(blocks: DataFrame) -> DataFrame:
-    """Pairs (a, b) of rows whose fingerprints and sketches are near: enough to span what they connect, block by block."""
-    both = F.array(F.col("tile"), F.col("tile") + 1)
-    other = blocks.select(F.explode(both).alias("tile"), F.col("tile").alias("tile_a"), F.col("block").alias("block_a"), *[F.col(c).alias(f"{c}_a") for c in ("row", "fp", "sketch")])
-    cells = other.join(blocks, "tile").where("tile <> tile_a OR block_a <= block").repartition("tile", "block", "tile_a", "block_a")
-    names = ["row_a", "fp_a", "sketch_a", "row", "fp", "sketch"]
-
-    def forest(batch):
-        a, b = [], []
-        for parts in zip(*(batch.column(c) for c in names), strict=True):
-            ra, fa, rb, fb = (np.asarray(parts[k].values, np.int64) for k in (0, 1, 3, 4))
-            sa, sb = (np.frombuffer(b"".join(parts[k].as_py()), np.uint8).reshape(-1, SKETCH) for k in (2, 5))
-            u, v = closest_forest(ra, fa, sa, rb, fb, sb)
-            a.append(u)
-            b.append(v)
-        return {"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))}
-
-    return by_batch(cells, names, "a bigint, b bigint", forest)
-
-
-def _rareness(texts: DataFrame) -> np.ndarray:
-    """Texts that hold a shingle of each slot of hashes, summed over its shingles: one number a slot, whatever the corpus."""
-
-    def run(batches):
-        held = np.zeros(SLOTS, np.int64)
+    def send(batches):
+        task, number, held, places, size = TaskContext.get().partitionId(), 0, [], [], 0
         for batch in batches:
-            for b in raw_texts(batch.column("_text")):
-                held += np.bincount((hashes(shingles(b)) % SLOTS).astype(np.int64), minlength=SLOTS)
-        some = np.nonzero(held)[0]
-        yield pa.RecordBatch.from_pydict({"slot": pa.array(some), "n": pa.array(held[some])})
-
-    ship(texts.sparkSession)
-    found = texts.mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(SLOTS, np.int64)
-    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    return counts
+            for place, raw in zip(batch.column("locator").to_pylist(), raw_texts(batch.column("_text")), strict=True):
+                held.append(hashes(shingles(raw)))
+                places.append(place)
+                size += len(held[-1])
+                if size >= CHUNK or len(held) == 1 << 16:
+                    yield _parted((task << 32) + number, places, held, parts)
+                    number, held, places, size = number + 1, [], [], 0
+        if held:
+            yield _parted((task << 32) + number, places, held, parts)
+
+    def count(batches):
+        of, records = None, []
+        for batch in batches:
+            for record in batch.to_pylist():
+                if record["part"] != of and records:
+                    yield _shared(of, records)
+                    records = []
+                of = record["part"]
+                if record["locators"] is None:
+                    records.append(record)
+                else:
+                    yield pa.RecordBatch.from_pylist([record | {"counts": None}], _COUNTED)
+        if records:
+            yield _shared(of, records)
+
+    def choose(batches):
+        of, records = None, []
+        for batch in batches:
+            for record in batch.to_pylist():
+                if record["chunk"] != of and records:
+                    yield _chosen(records)
+                    records = []
+                of = record["chunk"]
+                records.append(record)
+        if records:
+            yield _chosen(records)
+
+    sent = placed.select("locator", "_text").mapInArrow(send, "part bigint, chunk bigint, bits binary, owners binary, locators array<string>")
+    counted = sent.repartition("part").sortWithinPartitions("part").mapInArrow(count, "part bigint, chunk bigint, bits binary, owners binary, locators array<string>, counts binary")
+    return counted.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(choose, "locator string, rarest array<bigint>")
+
+
+_SENT = pa.schema([("part", pa.int64()), ("chunk", pa.int64()), ("bits", pa.binary()), ("owners", pa.binary()), ("locators", pa.list_(pa.string()))])
+_COUNTED = _SENT.append(pa.field("counts", pa.binary()))
+
+
+def _parted(chunk: int, places: list[str], held: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """A chunk's shingles by part, each with the number of its text in the chunk; and, in a part of its own, the texts' places and sizes."""
+    sizes = np.array([len(v) for v in held], np.int64)
+    values = np.concatenate(held)
+    keys = ((values % np.uint64(parts)) << np.uint64(32)) | (values >> np.uint64(32))
+    order = np.argsort(keys)
+    keys, owners = keys[order], np.repeat(np.arange(len(held), dtype=np.uint16), sizes)[order]
+    part = (keys >> np.uint64(32)).astype(np.int64)
+    starts = np.nonzero(np.diff(part, prepend=-1))[0]
+    ends = np.append(starts[1:], len(part))
+    bits = keys.astype(np.uint32)
+    out = [{"part": -1 - chunk, "chunk": chunk, "owners": sizes.tobytes(), "locators": places}]
+    out += [{"part": int(part[s]), "chunk": chunk, "bits": bits[s:e].tobytes(), "owners": owners[s:e].tobytes()} for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+    return pa.RecordBatch.from_pylist(out, _SENT)
+
+
+def _shared(part: int, records: list[dict]) -> pa.RecordBatch:
+    """Of a part's records those shingles that are there more than once, with their counts."""
+    bits = [np.frombuffer(r["bits"], np.uint32) for r in records]
+    _, index, n = np.unique(np.concatenate(bits), return_inverse=True, return_counts=True)
+    counts = np.split(n[index], np.cumsum([len(b) for b in bits])[:-1])
+    out = []
+    for r, b, c in zip(records, bits, counts, strict=True):
+        some = c > 1
+        if some.any():
+            owners = np.frombuffer(r["owners"], np.uint16)[some]
+            out.append({"part": part, "chunk": r["chunk"], "bits": b[some].tobytes(), "owners": owners.tobytes(), "counts": c[some].astype(np.int64).tobytes()})
+    return pa.RecordBatch.from_pylist(out, _COUNTED)
+
+
+def _chosen(records: list[dict]) -> pa.RecordBatch:
+    """The rarest shingles of a chunk's texts, as far as others have them."""
+    (head,), rest = ([r for r in records if (r["locators"] is not None) == is_head] for is_head in (True, False))
+    sizes = np.frombuffer(head["owners"], np.int64)
+    owners, counts = (np.concatenate([np.zeros(0, kind), *[np.frombuffer(r[c], kind) for r in rest]]) for c, kind in (("owners", np.uint16), ("counts", np.int64)))
+    tokens = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r["bits"], np.uint32).astype(np.int64) + (r["part"] << 32) for r in rest]])
+    alone = sizes - np.bincount(owners, minlength=len(sizes))
+    wanted = sizes - _rest(sizes) - alone
+    some = wanted[owners] > 0
+    owners, counts, tokens = owners[some], counts[some], tokens[some]
+    order = np.lexsort((tokens, counts, owners))
+    owners, tokens = owners[order], tokens[order]
+    take = np.arange(len(owners)) - np.searchsorted(owners, owners) < wanted[owners]
+    owners, tokens = owners[take], tokens[take]
+    texts, starts = np.unique(owners, return_index=True)
+    found = [np.unique(t) for t in np.split(tokens, starts[1:])] if len(texts) else []
+    return pa.RecordBatch.from_pydict({"locator": pa.array([head["locators"][t] for t in texts], pa.string()), "rarest": pa.array(found, pa.list_(pa.int64()))})
+
+
+def _first_pairs(met: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of rows with near fingerprints and sizes: each row of a list with the list's least one."""
+    least = met.groupBy("list").agg(F.min("row").alias("a"))
+    pairs = met.join(least, "list").where("row <> a").select("a", F.col("row").alias("b")).distinct()
+    a, b = (rows.select(F.col("row").alias(c), F.col("fp").alias(f"f{c}"), F.greatest("n", F.lit(1)).alias(f"n{c}")) for c in "ab")
+    near = f"bit_count(fa ^ fb) <= {REACH} AND {_WHOLE} * least(na, nb) >= {_PARTS} * greatest(na, nb)"
+    return pairs.join(a, "a").join(b, "b").where(near).select("a", "b")
 
 
 def _checked(pairs: DataFrame, rows: DataFrame, placed: DataFrame) -> DataFrame:
     """Pairs (a, b) of rows with `good`: whether their whole texts are similar. Written."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    needed = ends.join(rows.select("row", "locator"), "row")
+    # written, so that its size is known: all texts are shuffled only where many are needed
+    needed = staged(ends.join(rows.select("row", "locator"), "row"), "needed")
     held = staged(placed.select("locator", "_text").join(needed, "locator").select("row", "_text"), "texts")
+    release(needed)
     texts = pairs.join(held.toDF("a", "ta"), "a").join(held.toDF("b", "tb"), "b")
 
     def verify(batch):
@@ -394,7 +445,7 @@ _MEMBER = ["row", "n", "label", "parity", "no"]
 
 
 def open_pairs(blocks: DataFrame) -> DataFrame:
-    """Pairs (a, b) to check that span, block by block, all pairs of different labels that can be similar and were not turned down.
+    """Pairs (list, a, b) to check that span, block by block, all pairs of different labels that can be similar and were not turned down.
 
     Two blocks of one label's own are never compared. Each other pair of a list's blocks is one
     row, compared in full: similar sets of n and m shingles differ in (n + m) / 9 at most, so
@@ -406,8 +457,8 @@ def open_pairs(blocks: DataFrame) -> DataFrame:
     names = [*[f"{c}_a" for c in columns], *columns]
 
     def meet(batch):
-        a, b = [], []
-        for parts in zip(*(batch.column(c) for c in names), strict=True):
+        of, a, b = [], [], []
+        for key, *parts in zip(batch.column("list").to_pylist(), *(batch.column(c) for c in names), strict=True):
             (ra, na, la), (rb, nb, lb) = ([np.asarray(p.values, np.int64) for p in parts[k : k + 3]] for k in (0, 5))
             i, j = np.nonzero((la[:, None] != lb[None, :]) & (_WHOLE * np.minimum(na[:, None], nb[None, :]) >= _PARTS * np.maximum(na[:, None], nb[None, :])))
             gone = _turned_down(ra, rb, parts[4], parts[9])
@@ -417,11 +468,12 @@ def open_pairs(blocks: DataFrame) -> DataFrame:
             apart = _differing(parts[3].as_py(), parts[8].as_py(), i, j)
             near = 9 * apart <= na[i] + nb[j]
             u, v = spanning_pairs(ra, rb, i[near], j[near], apart[near] / (na[i[near]] + nb[j[near]]))
+            of.append(np.full(len(u), key, np.int64))
             a.append(np.minimum(u, v))
             b.append(np.maximum(u, v))
-        return {"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))}
+        return {"list": pa.array(np.concatenate(of)), "a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))}
 
-    return by_batch(cells, names, "a bigint, b bigint", meet)
+    return by_batch(cells, ["list", *names], "list bigint, a bigint, b bigint", meet)
 
 
 def _turned_down(ra: np.ndarray, rb: np.ndarray, no_a, no_b) -> np.ndarray:
@@ -467,31 +519,6 @@ def _of_width(sketches: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(made), place
 
 
-def closest_forest(ra, fa, sa, rb, fb, sb) -> tuple[np.ndarray, np.ndarray]:
-    """Of the pairs (one row of a, one of b) with fingerprints within REACH and sketches that
-    agree, a spanning forest: each part takes its closest pair to another part, round by round.
-    The closest few of each row of a come along, since the pair that sketches call closest may
-    be the one that the check of whole texts turns down."""
-    rows, index = np.unique(np.concatenate([ra, rb]), return_inverse=True)
-    index = index.astype(np.int32)
-    ia, ib, ua, ub = index[: len(ra)], index[len(ra) :], fa.view(np.uint64), fb.view(np.uint64)
-    us, vs, ds, chosen = [], [], [], []
-    for at in range(0, len(ua), 64):
-        i, j = np.nonzero(np.bitwise_count(ua[at : at + 64, None] ^ ub[None, :]) <= REACH)
-        apart = SKETCH - (sa[i + at] == sb[j]).sum(axis=1)
-        near = (apart <= SKETCH * (1 - LEAST)) & (ia[i + at] != ib[j])
-        us.append(ia[i[near] + at])
-        vs.append(ib[j[near]])
-        ds.append(apart[near].astype(np.int16))
-        order = np.lexsort((ds[-1], us[-1]))
-        sorted_u = us[-1][order]
-        few = order[np.arange(len(order)) - np.searchsorted(sorted_u, sorted_u) < FEW]
-        chosen.append((rows[us[-1][few]], rows[vs[-1][few]]))
-    u, v, d = np.concatenate(us), np.concatenate(vs), np.concatenate(ds)
-    chosen.append(_forest(rows, u, v, d))
-    return np.concatenate([c[0] for c in chosen]), np.concatenate([c[1] for c in chosen])
-
-
 def spanning_pairs(ra, rb, i, j, d) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the pairs (ra[i], rb[j]), the closest first."""
     rows, index = np.unique(np.concatenate([ra, rb]), return_inverse=True)

@@ -196,3 +196,59 @@ def test_parity_sketches_never_exceed_the_difference():
             b = [w if rng.random() > share else f"x{rng.random()}" for w in a][: max(1, int(n * rng.choice([1, 0.9, 0.6])))]
             apart, true = plain_parity_bound(a, b)
             assert apart <= true and (apart > 0 or true < 5) and apart % 2 == true % 2
+
+
+def watched(monkeypatch, name):
+    """Rows of the first argument of each call of simhash.`name`."""
+    seen, real = [], getattr(simhash, name)
+
+    def spy(first, *rest):
+        seen.append(first.count())
+        return real(first, *rest)
+
+    monkeypatch.setattr(simhash, name, spy)
+    return seen
+
+
+def test_chance_meetings_make_no_lists(spark, monkeypatch):
+    """Unlike texts that share some shingles by chance don't meet, however many shingles the corpus has."""
+    rng = random.Random(11)
+    words = [[f"u{i}_{k}" for k in range(400)] for i in range(2500)]
+    for k in range(6000):
+        for i in rng.sample(range(2500), 2):
+            words[i][rng.randrange(400) : 0] = [f"c{k}_{j}" for j in range(9)]
+    texts = [" ".join(w) for w in words]
+    texts.append(" ".join(words[0][:-1]))
+    seen = watched(monkeypatch, "blocks_of")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.root for r in simhash.similar_documents(df).collect()}
+    assert got[0] == got[2500] and len(set(got.values())) == 2500
+    assert seen[0] <= 4
+
+
+def test_later_rounds_take_lists_with_a_pair_turned_down_only(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    texts = [*[" ".join(changed(rng, base, 0.797)) for _ in range(12)], " ".join(base)]
+    for k in range(40):  # unlike texts made of one passage, with nothing to check
+        passage = [f"p{k}_{i}" for i in range(40)]
+        texts += [" ".join(passage + [f"x{k}_{j}_{i}" for i in range(6 * j)]) for j in (1, 4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = watched(monkeypatch, "blocks_of")
+    got = {r.id: r.root for r in simhash.similar_documents(df).collect()}
+    want = plain_groups(texts)
+    assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(texts)) for j in range(i))
+    assert len(seen) > 1 and seen[1] < seen[0] - 20
+
+
+def test_counted_in_parts_and_chunks(spark, monkeypatch):
+    """Rarest shingles are those of a plain count, however they are dealt; words that bits confuse cost nothing."""
+    texts = [*near_copies(4), "", None, "", "one two", "x", "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = plain_groups(texts)
+    for counted, chunk in ((50, 100), (10**6, 1)):
+        monkeypatch.setattr(simhash, "COUNTED", counted)
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        got = {r.id: r.root for r in simhash.similar_documents(df).collect()}
+        assert len(got) == len(texts)
+        assert all((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(texts)) for j in range(i))
