@@ -81,6 +81,13 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of `rows` rows at most, without copies; what is made of a part is all that is held."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts(column: pa.Array) -> list[str]:
     return [s or "" for s in column.to_pylist()]
 

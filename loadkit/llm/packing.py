@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from loadkit.session import staged
 
-from .common import raw_texts, ship
-from .tokens import END, encoder, widened
+from .common import forget, raw_texts, ship, slices
+from .tokens import CACHE, END, encoder, widened
 
 WINDOW = 2048
 #: Ids of an index shard, about; the number of shards grows with the corpus.
 SHARD_IDS = 1 << 18
 #: Ranges of keys that rows are dealt to hold about this many shards, until there are so many ranges.
 RANGE_SHARDS, RANGES = 4, 1 << 14
+#: Rows that are encoded and sent at a time.
+SENT = 512
 #: Rows a range whose keys are looked at to place the ranges' bounds.
 SAMPLE = 16
 K1, B = 1.2, 0.75
@@ -120,7 +122,7 @@ def fill(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WIN
                 sequence, offset, room = sequence + 1, 0, (1 << used.bit_length()) >> 1
 
 
-def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, shard_ids: int = SHARD_IDS, whole: bool = False) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, shard_ids: int = SHARD_IDS, whole: bool = False, words: int = CACHE) -> DataFrame:
     """Pieces of documents in sequences of at most `window` ids: id, start, length, doc_tokens,
     sequence_id, offset, ids (little-endian unsigned 32-bit).
 
@@ -132,6 +134,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "
     holds `shard_ids` ids, whatever the number and length of its documents, and only one is in
     memory. Copies are parted by their rows' hashes. Rows that repeat are packed each, null ids
     stay null, an empty table gives none. A range's shards share one count of sequences.
+    A worker remembers the ids of `words` words while it encodes, and drops them afterwards.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -139,17 +142,16 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "
     dtype, size = encoder(vocabulary, whole).dtype, encoder(vocabulary, whole).tokenizer.get_vocab_size()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = encoder(vocabulary, whole)
+        to_ids = encoder(vocabulary, whole, words)
         end, held, ids, n = np.array([END], to_ids.dtype).tobytes(), np.zeros(size, np.int64), 0, 0
-        for batch in batches:
-            if batch.num_rows:
-                raws = [raw + end for raw in to_ids(raw_texts(batch.column("text")))]
-                for raw in raws:
-                    found = np.frombuffer(raw, to_ids.dtype)
-                    held[np.unique(found)] += 1
-                    ids += len(found)
-                n += len(raws)
-                yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "ids": pa.array(raws, pa.binary()), "held": pa.nulls(len(raws), pa.binary())})
+        for batch in slices(batches, SENT):
+            raws = [raw + end for raw in to_ids(raw_texts(batch.column("text")))]
+            for raw in raws:
+                found = np.frombuffer(raw, to_ids.dtype)
+                held[np.unique(found)] += 1
+                ids += len(found)
+            n += len(raws)
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "ids": pa.array(raws, pa.binary()), "held": pa.nulls(len(raws), pa.binary())})
         counts = np.concatenate([[n, ids], held]).tobytes()
         yield pa.RecordBatch.from_pydict({"id": pa.nulls(1, pa.int64()), "ids": pa.nulls(1, pa.binary()), "held": pa.array([counts], pa.binary())})
 
@@ -158,6 +160,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "
     rows = written.where("held is null").drop("held")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts = np.zeros(size + 2, np.int64)
         for batch in batches:
             for raw in batch.column("held").to_pylist():
@@ -177,6 +180,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "
         return keys([np.frombuffer(raw, dtype) for raw in batch.column("ids").to_pylist()], batch.column("row").to_numpy())
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"key": pa.array(keyed(batch))})
 
@@ -188,6 +192,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "
         bounds = seen[np.arange(1, ranges) * len(seen) // ranges] if len(seen) else bounds
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             key = keyed(batch)
             part = np.searchsorted(bounds, key, side="right")
@@ -206,6 +211,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         part, first, owners, raws, used = None, 0, [], [], 0
         for batch in batches:
             for of, owner, raw in zip(batch.column("part").to_pylist(), batch.column("id").to_pylist(), batch.column("ids").to_pylist(), strict=True):

@@ -12,7 +12,7 @@ import numpy as np
 
 from .common import remembered
 
-#: Words that a worker remembers; then it starts anew.
+#: Words that a worker remembers unless told otherwise; then it starts anew. So many take about 250 MB.
 CACHE = 900_000
 END = 1
 _MARKS = string.punctuation.encode()
@@ -37,11 +37,11 @@ class Encoder:
     after it in another way; texts that hold it are encoded whole.
     """
 
-    def __init__(self, path: str, whole: bool = False):
+    def __init__(self, path: str, whole: bool = False, words: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.whole = Tokenizer.from_file(path), whole
+        self.tokenizer, self.whole, self.words = Tokenizer.from_file(path), whole, words
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache: dict[bytes, bytes] = {}
         self.direct = sys.byteorder == "little"
@@ -62,7 +62,7 @@ class Encoder:
         if None in ids:
             self._learn(list({w for w, i in zip(words, ids, strict=True) if i is None}))
             ids = [self.cache[w] if i is None else i for w, i in zip(words, ids, strict=True)]
-            if len(self.cache) > CACHE:
+            if len(self.cache) > self.words:
                 self.cache.clear()
         return b"".join(ids)
 
@@ -114,6 +114,6 @@ def widened(raw: bytes, dtype: np.dtype) -> bytes:
     return np.frombuffer(raw, dtype).astype("<u4").tobytes()
 
 
-def encoder(path: str, whole: bool = False) -> Encoder:
+def encoder(path: str, whole: bool = False, words: int = CACHE) -> Encoder:
     """One per file and worker; Spark reuses workers, so later tasks find the cache filled."""
-    return remembered(("encoder", path, whole), lambda: Encoder(path, whole))
+    return remembered(("encoder", path, whole, words), lambda: Encoder(path, whole, words))

@@ -1,8 +1,10 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from loadkit.llm import packing, queries, token_files
+from loadkit.llm.common import slices
 from loadkit.llm.tokens import Encoder
 from tokenizers import Tokenizer
 
@@ -169,3 +171,26 @@ def test_copies_are_parted_and_keep_their_key():
     docs = [np.array([5, 5, 9, 1])] * 4000 + [np.array([1])]
     keys = packing.Keys(np.ones(10), np.full(10, 2), 4.0)(docs, np.arange(4001))
     assert len({k >> 47 for k in keys[:4000].tolist()}) == 1 and len(set(keys.tolist())) > 3500
+
+
+def test_few_remembered_words_give_the_same_ids():
+    raws = [" ".join(f"w{i * j} Word, {i}" for j in range(20)).encode() for i in range(60)]
+    encode = Encoder(queries.VOCABULARY, words=50)
+    for raw, ids in zip(raws, Encoder(queries.VOCABULARY)(raws), strict=True):
+        assert encode([raw]) == [ids]
+        assert len(encode.cache) <= 50
+
+
+def test_slices_hold_all_rows_in_order():
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array([f"{k}.{i}" for i in range(n)], pa.string())}) for k, n in enumerate((0, 3, 7, 1))]
+    parts = list(slices(batches, 3))
+    assert [p.num_rows for p in parts] == [3, 3, 3, 1, 1]
+    assert [x for p in parts for x in p.column("text").to_pylist()] == [x for b in batches for x in b.column("text").to_pylist()]
+
+
+def test_packing_in_slices_with_few_words_is_the_same(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").coalesce(1)
+    many = packing.pack(docs, queries.VOCABULARY).toArrow().to_pylist()
+    monkeypatch.setattr(packing, "SENT", 7)
+    few = packing.pack(docs, queries.VOCABULARY, words=100).toArrow().to_pylist()
+    assert many and sorted(map(repr, few)) == sorted(map(repr, many))
